@@ -252,16 +252,31 @@ def sql(body: str, *views: str, **extra: str) -> str:
     return head + _dialect(body, 1)
 
 
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Keep the unevaluated frame per session and folder, so its files are listed once."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _once(spark, sf_dir, name, lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, override: Callable | None = None) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame."""
-    frames = {}
-    for n in needs(name):
-        frames[n] = view(spark, sf_dir, n) if n in VIEWS else table(spark, sf_dir, n)
-    return spark.sql(_dialect(VIEWS[name], 0), **frames)
+
+    def build() -> DataFrame:
+        frames = {
+            n: view(spark, sf_dir, n) if n in VIEWS else table(spark, sf_dir, n) for n in needs(name)
+        }
+        return spark.sql(_dialect(VIEWS[name], 0), **frames)
+
+    return _once(spark, sf_dir, name, build)
 
 
 # ---- landed shapes ---------------------------------------------------------

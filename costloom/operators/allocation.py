@@ -54,22 +54,23 @@ def allocate(
     both give equal results.
     """
     items = items.filter(~any_null(keys))
-    sums = [F.sum(weight).alias(total_as)]
     counter = count_as or "__count"
-    if even_split or count_as:
-        sums.append(F.count(F.lit(1)).alias(counter))
     if form == "window":
         group = Window.partitionBy(*keys)
-        weighed = items.withColumn(total_as, F.sum(weight).over(group))
-        if len(sums) > 1:
-            weighed = weighed.withColumn(counter, F.count(F.lit(1)).over(group))
+        weighed = items.withColumn(total_as, F.sum(weight).over(group)).withColumn(
+            counter, F.count(F.lit(1)).over(group)
+        )
         shared = weighed.join(pool.select(*keys, pool_cost), list(keys), "left")
     else:
-        totals = grouped_for_join(items, keys, *sums)
-        # Totals and pool are both one row per group, so they meet first and the
-        # large side is shuffled once.
-        terms = totals.join(pool.select(*keys, pool_cost), list(keys), "left")
-        shared = items.join(_detach(terms, keys), list(keys), "inner")
+        # Weights and pools are summed in one grouping, so the items are shuffled once,
+        # to meet its result.
+        weights = items.select(*keys, F.col(weight).alias("__w"), F.lit(1).alias("__one"))
+        both = weights.unionByName(pool.select(*keys, pool_cost), allowMissingColumns=True)
+        terms = grouped_for_join(
+            both, keys, F.sum("__w").alias(total_as), F.count("__one").alias(counter),
+            F.sum(pool_cost).alias(pool_cost),
+        )
+        shared = items.join(terms, list(keys))
     cost, total = F.col(pool_cost).cast("double"), F.col(total_as)
     part = cost * F.try_divide(F.col(weight).cast("double"), total.cast("double"))
     if even_split:
@@ -89,12 +90,6 @@ def allocate(
     )
 
 
-def _detach(terms: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Carry the small side through a grouping the final join cannot reuse."""
-    values = [c for c in terms.columns if c not in keys]
-    return grouped_for_join(terms, keys, *[F.first(c).alias(c) for c in values])
-
-
 def reconcile(attributed: DataFrame, pool: DataFrame, keys: Sequence[str],
               pool_cost: str = "pool_cost_usd", share: str = "attributed_cost_usd") -> DataFrame:
     """Pool, allocated sum, what is left and the item count per key, pools without items

@@ -92,7 +92,8 @@ class Daily:
         return read_appended(self.spark, f"{self.landed}/{name}", self.landed_schemas[name])
 
     def snapshot(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.landed_schemas[name]).parquet(f"{self.landed}/{name}")
+        reader = self.spark.read.schema(self.landed_schemas[name]).option("recursiveFileLookup", "true")
+        return reader.parquet(f"{self.landed}/{name}")
 
     def current(self, name: str) -> DataFrame:
         """A table, or its empty form with sentinels when it was never written."""

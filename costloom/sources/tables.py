@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _VERSION = re.compile(r"^version-(\d+)$")
-_SCHEMA = "_schema.json"
+_SCHEMA = "schema.json"
 
 
 class Tables:

@@ -111,9 +111,9 @@ def run_all(queries: Mapping[str, StreamingQuery]) -> None:
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Stream over an append-only table. A table that is rewritten has no place here:
-    read it in batch."""
-    return spark.readStream.schema(schema).parquet(path)
+    """Stream over an append-only table and its sub-folders. A table that is rewritten has
+    no place here: read it in batch."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def extract(source: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

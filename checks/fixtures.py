@@ -168,7 +168,7 @@ select concat('st-',event_id) as statement_cd, concat('acct-',user_id%2) as acco
  case when event_type='signup' then cast(floor(value*50) as bigint) end as start_ms,
  case when event_type='error' then 'FAILED' else 'FINISHED' end as status_lb,
  case when user_id%7=0 then '' when user_id%7=1 then cast(null as varchar(20)) else concat('app ',user_id%7) end as client_lb,
- cast(floor(value*1000003) as bigint) as read_bytes_nb,
+ cast(floor(value*977001703) as bigint) as read_bytes_nb,
  concat('user',user_id,'@x.org') as executed_by_lb
 from {events}
 """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Environment by name pattern, first hit wins, with its sort order.
 ENVIRONMENTS = [("dev", "Development", 3), ("staging", "Staging", 2), ("prod", "Production", 1)]
@@ -50,28 +52,40 @@ def type_label(column: str | Column) -> Column:
     return F.replace(F.col(column) if isinstance(column, str) else column, F.lit("_"), F.lit(" "))
 
 
-def struct_or_json(df, column: str, path: str) -> Column:
-    """Read ``path`` (dotted) from a column that is either a struct or JSON text.
+def nested_text(df: DataFrame, column: str, paths: Mapping[str, str]) -> dict[str, Column]:
+    """Text fields, by dotted path, of a column that is either a struct or JSON text.
 
-    A field the struct does not have reads as NULL.
+    JSON is parsed once for all paths. A field the struct does not have reads as NULL.
     """
-    from pyspark.sql import types as T
-
     kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        return F.get_json_object(F.col(column), "$." + path)
     value = F.col(column)
-    for step in path.split("."):
+    if isinstance(kind, T.StringType):
+        kind = _schema_of(paths.values())
+        value = F.from_json(value, kind)
+    return {name: _field(value, kind, path.split(".")) for name, path in paths.items()}
+
+
+def _schema_of(paths: Iterable[str]) -> T.StructType:
+    """Smallest struct of strings holding the given dotted paths."""
+    tree: dict[str, list[str]] = {}
+    for path in paths:
+        head, _, rest = path.partition(".")
+        tree.setdefault(head, []).extend([rest] if rest else [])
+    return T.StructType([
+        T.StructField(name, _schema_of(rest) if rest else T.StringType()) for name, rest in tree.items()
+    ])
+
+
+def _field(value: Column, kind: T.DataType, steps: list[str]) -> Column:
+    for step in steps:
         if not isinstance(kind, T.StructType) or step not in kind.fieldNames():
             return F.lit(None).cast("string")
         value, kind = value.getField(step), kind[step].dataType
     return value.cast("string")
 
 
-def map_or_json(df, column: str) -> Column:
+def map_or_json(df: DataFrame, column: str) -> Column:
     """A string map from a column that is either a map already or JSON text."""
-    from pyspark.sql import types as T
-
     if isinstance(df.schema[column].dataType, T.MapType):
         return F.col(column)
     return F.from_json(F.col(column), "map<string,string>")

@@ -6,7 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.labels import flag, map_or_json
+from ..functions.labels import flag, map_or_json, nested_text
+from ..operators.allocation import statement_weight
 from ..operators.compare import any_null
 from ..operators.latest import latest
 from ..schemas import dimension_sentinels
@@ -426,27 +427,22 @@ def billing_entity(landed: DataFrame, spec: BillingEntity, keep: str = "last") -
 
 
 def statements(query_history: DataFrame) -> DataFrame:
-    """Statements that ran on a warehouse, with their billable weight."""
-    from ..functions.labels import struct_or_json
-    from ..operators.allocation import statement_weight
-
-    warehouse = struct_or_json(query_history, "compute", "warehouse_id")
+    """Statements that ran on a warehouse, with their billable weight and origin."""
     origin = {
         "dashboard_cd": "dashboard_id",
         "notebook_cd": "notebook_id",
         "job_cd": "job_info.job_id",
         "genie_space_cd": "genie_space_id",
     }
+    weight = statement_weight("from_result_cache_fl", "total_duration_ms_nb", "waiting_at_capacity_ms_nb")
     return (
-        query_history.withColumn("warehouse_cd", warehouse)
+        query_history.withColumns(nested_text(query_history, "compute", {"warehouse_cd": "warehouse_id"}))
         .filter(F.col("warehouse_cd").isNotNull())
-        .withColumn("usage_dt", F.to_date("start_dt"))
-        .withColumn(
-            "billable_duration_ms_nb",
-            statement_weight("from_result_cache_fl", "total_duration_ms_nb", "waiting_at_capacity_ms_nb")
-            .cast("bigint"),
-        )
-        .withColumns({c: struct_or_json(query_history, "query_source", p) for c, p in origin.items()})
+        .withColumns({
+            "usage_dt": F.to_date("start_dt"),
+            "billable_duration_ms_nb": weight.cast("bigint"),
+            **nested_text(query_history, "query_source", origin),
+        })
     )
 
 

@@ -32,32 +32,37 @@ def global_rank(
 ) -> DataFrame:
     """Rank every row by descending ``value`` over the whole table; NULL ranks last.
 
-    Approximate percentiles (one aggregate, ``cuts`` numbers) slice the value range;
-    equal values share a slice, so ranking inside a slice plus the counts of the
-    slices above is exact whatever the cut points are.
+    Distinct values are ranked, rows only look their rank up, so a value that most
+    rows share costs one row. Approximate percentiles of the distinct values (one
+    aggregate, ``cuts`` numbers) slice the value range; a running count inside a slice
+    plus the counts of the slices above is exact whatever the cut points are.
     """
-    points = df.agg(
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    points = counted.agg(
         F.percentile_approx(F.col(value).cast("double"), [i / cuts for i in range(1, cuts)])
     ).first()[0] or []
     edges = F.array(*[F.lit(float(p)) for p in sorted(set(points))]).cast("array<double>")
     slice_no = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
         F.size(F.filter(edges, lambda e: e < F.col(value).cast("double")))
     )
-    sliced = df.withColumn("__slice", slice_no)
-    inside = Window.partitionBy("__slice").orderBy(F.col(value).desc_nulls_last())
-    local = (F.dense_rank() if dense else F.rank()).over(inside)
+    step = F.lit(1) if dense else F.col("__n")
+    sliced = counted.withColumn("__slice", slice_no).withColumn("__step", step)
+    inside = (
+        Window.partitionBy("__slice").orderBy(F.col(value).desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     # One row per slice (at most `cuts` + 1): a bounded window and broadcast.
-    size = F.count_distinct(value) if dense else F.count(F.lit(1))
     above = Window.orderBy(F.col("__slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sliced.groupBy("__slice").agg(size.alias("__n")).select(
-        "__slice", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__above")
+    offsets = sliced.groupBy("__slice").agg(F.sum("__step").alias("__size")).select(
+        "__slice", F.coalesce(F.sum("__size").over(above), F.lit(0)).alias("__above")
     )
-    return (
-        sliced.withColumn("__local", local)
+    ranks = (
+        sliced.withColumn("__before", F.coalesce(F.sum("__step").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "__slice")
-        .withColumn(rank_as, (F.col("__local") + F.col("__above")).cast("int"))
-        .select(*df.columns, rank_as)
+        .select(F.col(value).alias("__value"),
+                (F.col("__before") + F.col("__above") + 1).cast("int").alias(rank_as))
     )
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("__value"))).select(*df.columns, rank_as)
 
 
 def percentile_inc(

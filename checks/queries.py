@@ -19,7 +19,7 @@ from costloom.operators.merge import merge
 from costloom.operators.pricing import price_lines, price_overlaps, reprice
 from costloom.operators.quality import expectation_report
 from costloom.plans import calendar as cal, costing, gold, identities as ids, measures as kpi
-from costloom.plans import periods, reports, resources as res, silver
+from costloom.plans import marked, periods, reports, resources as res, silver
 from costloom.schemas import WORKSPACE_SENTINELS
 from costloom.sources import directory, lookups
 
@@ -579,6 +579,84 @@ def _assign(spark, sf):
                         F.min("part_id").alias("lowest_nb"), F.max("part_id").alias("highest_nb"))
 
 
+# ---- loads by stored mark --------------------------------------------------
+
+@query("usage_identity_origin", sql("""
+    select record_cd, coalesce(run_as_cd,run_by_cd,created_by_cd,owned_by_cd) as run_as_cd,
+     case when run_as_cd is not null then 'run_as' when run_by_cd is not null then 'run_by' when created_by_cd is not null then 'created_by'
+      when owned_by_cd is not null then 'owned_by' else 'No identity found' end as identity_origin_lb from fx_usage""", "fx_usage"))
+def _origin(spark, sf):
+    return marked.usage_with_origin(landed_usage(view(spark, sf, "fx_usage"))).select("record_cd", "run_as_cd", "identity_origin_lb")
+
+
+@query("marked_usage_merge", sql("""
+    select record_cd, usage_quantity_nb + case when product_lb in ('JOBS','SQL') then 1 else 0 end as usage_quantity_nb,
+     case when product_lb='JOBS' then 'kept' else 'loaded' end as state_lb from fx_usage""", "fx_usage"))
+def _marked_usage(spark, sf):
+    """Stored: jobs and SQL lines, one unit more. SQL lines arrive again: values stay, load time moves."""
+    seen = F.lit(dt.datetime(2020, 1, 1))
+    fresh = usage(spark, sf).filter("product_lb <> 'JOBS'")
+    stored = usage(spark, sf).filter("product_lb in ('JOBS','SQL')").withColumns(
+        {"usage_quantity_nb": (F.col("usage_quantity_nb") + 1).cast("decimal(18,4)"), "sys_load_dt": seen})
+    out = marked.merge_usage(stored, fresh)
+    state = F.when(F.col("sys_load_dt") == seen, "kept").otherwise("loaded")
+    return out.select("record_cd", F.col("usage_quantity_nb").cast("decimal(19,4)").alias("usage_quantity_nb"), state.alias("state_lb"))
+
+
+@query("marked_entity_merge", sql("""
+    select account_cd, workspace_cd, app_cd, product_lb, upper(app_cd) as app_name_lb, case when substr(app_cd,5)<'5' then cast(substr(app_cd,5) as bigint) end as kept_id from (
+     select account_cd, workspace_cd, app_cd, product_lb, row_number() over (partition by account_cd, workspace_cd, app_cd
+      order by ingestion_dt, usage_end_dt, record_cd) as rn from fx_usage where app_cd is not null) where rn=1""", "fx_usage"))
+def _marked_entities(spark, sf):
+    """Some apps are known under an older name."""
+    landed = landed_usage(view(spark, sf, "fx_usage"))
+    seen = F.lit(dt.datetime(2020, 1, 1))
+    known = silver.billing_entity(landed, silver.APP, "first").filter(F.substring("app_cd", 5, 20) < "5").withColumns({
+        "app_id": F.substring("app_cd", 5, 20).cast("bigint"), "app_name_lb": F.lit("old"), "sys_create_dt": seen, "sys_update_dt": seen}).select(
+        "app_id", "account_cd", "workspace_cd", "app_cd", "run_as_cd", "product_lb", "app_name_lb", "tags", "sys_create_dt", "sys_update_dt")
+    out = marked.merge_entities(known, landed, silver.APP)
+    return out.select("account_cd", "workspace_cd", "app_cd", "product_lb", "app_name_lb",
+                      F.when(F.col("sys_create_dt") == seen, F.col("app_id")).alias("kept_id"))
+
+
+def _marked_versions(spark, sf):
+    c = changes(spark, sf).withColumn("sal_load_dt", F.col("change_time")).withColumn("delete_dt", F.col("delete_time"))
+    old = c.filter(F.col("change_time") <= F.lit(MARK))
+    history = cdc.scd2(old, CHANGE_KEYS, "change_time", inclusive_end=True)
+    current = cdc.current_of(history).drop("valid_to_dt", "is_current_fl")
+    return marked.load_versions(history, current, c, CHANGE_KEYS, "change_time", MARK)
+
+
+@query("marked_history_load", sql(_SCD2.format(minus="- interval 1 microsecond"), "fx_change"))
+def _marked_history(spark, sf):
+    return _marked_versions(spark, sf).history.select(*_WINDOW)
+
+
+@query("marked_current_load", sql(_SCD1, "fx_change"))
+def _marked_current(spark, sf):
+    return _now(_marked_versions(spark, sf).current)
+
+
+@query("marked_prices_newest", sql("""
+    select account_cd, sku_name_lb, cloud_lb, price_start_dt, default_price_nb from fx_price where currency_code_lb='EUR'
+     and price_start_dt > timestamp '1996-06-01 00:00:00'""", "fx_price"))
+def _marked_prices(spark, sf):
+    """Two loads of each window pile up; the later (EUR) one counts."""
+    p = view(spark, sf, "fx_price").withColumn(
+        "sal_load_dt", F.when(F.col("currency_code_lb") == "EUR", F.col("price_start_dt") + F.expr("interval 1 hour")).otherwise(F.col("price_start_dt")))
+    keys = ["account_cd", "sku_name_lb", "cloud_lb", "price_start_dt"]
+    return marked.newest_since(p, keys, dt.datetime(1996, 6, 1)).select(*keys, "default_price_nb")
+
+
+@query("marked_workspace_merge", sql("""
+    select t.account_cd, t.workspace_cd, coalesce(s.workspace_lb, t.workspace_lb) as workspace_lb, t.is_deleted_fl
+    from fx_workspace t left join snap s on t.account_cd=s.account_cd and t.workspace_cd=s.workspace_cd
+    union all select s.account_cd, s.workspace_cd, s.workspace_lb, 0 from snap s where not exists (select 1 from fx_workspace t where t.workspace_cd=s.workspace_cd)""", "fx_workspace", snap=_WS_SNAPSHOT))
+def _marked_workspaces(spark, sf):
+    snap = spark.sql(_WS_SNAPSHOT.replace("from nation", "from {nation}"), nation=table(spark, sf, "nation"))
+    return marked.merge_workspaces(view(spark, sf, "fx_workspace"), snap).select("account_cd", "workspace_cd", "workspace_lb", "is_deleted_fl")
+
+
 # ---- directory -------------------------------------------------------------
 
 def landed_users(spark, sf) -> DataFrame:

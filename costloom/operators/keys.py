@@ -102,15 +102,15 @@ def resolve_fk(
     on: Mapping[str, str | Column] | Sequence[str],
     key: str,
     fallback: Column | int,
-    prefer: Sequence[Column] = (),
+    prefer: Sequence[str] = (),
     alias: str | None = None,
 ) -> DataFrame:
     """Add the surrogate ``key`` of ``dim`` to ``fact``; misses get ``fallback``.
 
     ``on`` maps a dimension column to the fact column (or expression) it must
     equal. The fact never changes its row count: a dimension key that is not
-    unique is first reduced to one row, ordered by ``prefer`` and then by the
-    smallest surrogate. Only the join columns of the dimension are read. No
+    unique is first reduced to one row, highest ``prefer`` columns first and then
+    the smallest surrogate. Only the columns needed for this are read. No
     broadcast hint is given: dimensions can reach millions of rows, so the size
     measured at run time decides between a broadcast and a shuffle join, and
     adaptive execution splits a shuffle partition swollen by a hot key.
@@ -119,8 +119,9 @@ def resolve_fk(
     out = alias or key
     usable = dim.filter(F.col(key).isNotNull())
     if prefer:
-        one = latest(with_spread(usable, list(pairs)), [*pairs, SPREAD],
-                     [*prefer, F.col(key).asc()], keep="first")
+        narrow = usable.select(*dict.fromkeys([*pairs, key, *prefer]))
+        order = [*[F.col(c).desc_nulls_last() for c in prefer], F.col(key).asc()]
+        one = latest(with_spread(narrow, list(pairs)), [*pairs, SPREAD], order)
     else:
         one = grouped_for_join(usable, list(pairs), F.min(key).alias(key))
     side = one.select(

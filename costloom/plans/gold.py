@@ -92,7 +92,7 @@ def _resolve_identity(fact: DataFrame, identities: DataFrame, login: str) -> Dat
     """A login may belong to several identities: the active one wins, then the oldest."""
     return resolve_fk(
         fact, identities, {"account_cd": "account_cd", "identity_cd": login}, "identity_id",
-        rules.unknown_identity(login), prefer=[F.col("is_active_fl").desc_nulls_last()],
+        rules.unknown_identity(login), prefer=["is_active_fl"],
     )
 
 

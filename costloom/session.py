@@ -20,6 +20,7 @@ CLUSTER_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture costs several round trips per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

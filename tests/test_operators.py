@@ -73,7 +73,7 @@ def test_sentinels_are_added_once(frame):
 def test_resolve_fk_falls_back_and_never_multiplies(frame):
     fact = frame("n int, login string", [(1, "a"), (2, "b"), (3, None), (4, "a")])
     dim = frame("id bigint, login string, active int", [(5, "a", 0), (9, "a", 1), (None, "b", 1)])
-    out = resolve_fk(fact, dim, ["login"], "id", -1, prefer=[F.col("active").desc()])
+    out = resolve_fk(fact, dim, ["login"], "id", -1, prefer=["active"])
     assert rows(out, "n", "id") == [(1, 9), (2, -1), (3, -1), (4, 9)]
     assert rows(resolve_fk(fact, dim, ["login"], "id", -1), "n", "id") == [(1, 5), (2, -1), (3, -1), (4, 5)]
 
@@ -304,24 +304,56 @@ def test_statement_weight(frame):
     assert [r[0] for r in df.select(statement_weight("c", "t", "q")).collect()] == [0, 9, 5, 1, 1]
 
 
-def test_hot_group_join_is_split(spark):
-    """A warehouse-day with most of the rows: adaptive execution splits its partition."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.shuffle.partitions": "20",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.shuffle.partitions": "20",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def hot_rows(spark):
+    """A third of the rows, and more, share one key."""
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500)
+    return spark.range(0, 200000, 1, 16).select(
+        "id", F.lit(T0.date()).alias("day"), hot.cast("string").alias("wh"), (F.col("id") % 7 + 1).alias("w"))
+
+
+def hot_allocation(spark):
+    p = spark.range(500).select(F.lit(T0.date()).alias("day"), F.col("id").cast("string").alias("wh"),
+                                F.lit(100.0).alias("pool_cost_usd"))
+    return allocate(hot_rows(spark), p, ["day", "wh"], "w")
+
+
+def hot_dimension(spark):
+    return spark.range(1000).select((F.col("id") + 1).alias("key"), (F.col("id") % 500).cast("string").alias("wh"),
+                                    (F.col("id") % 2).alias("active"))
+
+
+def hot_price(spark):
+    usage = hot_rows(spark).select("id", F.col("wh").alias("sku"), F.col("day").cast("timestamp").alias("at"), "w")
+    p = spark.range(500).select(F.col("id").cast("string").alias("sku"), F.lit(T0).alias("price_start_dt"), F.lit(None).cast("timestamp").alias("price_end_dt"),
+                                F.lit(1.0).alias("default_price_nb"), F.lit(2.0).alias("effective_list_price_nb"))
+    return price_lines(usage, p, on=["sku"], at="at", quantity="w")
+
+
+HOT = {
+    "allocation": hot_allocation,
+    "surrogate": lambda spark: resolve_fk(hot_rows(spark), hot_dimension(spark), ["wh"], "key", -1),
+    "preferred surrogate": lambda spark: resolve_fk(hot_rows(spark), hot_dimension(spark), ["wh"], "key", -1, prefer=["active"]),
+    "price": hot_price,
+}
+
+
+@pytest.mark.parametrize("name", HOT)
+def test_hot_keys_are_split(spark, name):
+    """Adaptive execution splits the partition of the hot key."""
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
         spark.conf.set(k, v)
     try:
-        hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500)
-        it = spark.range(0, 200000, 1, 16).select(
-            "id", F.lit(T0.date()).alias("day"), hot.cast("string").alias("wh"), (F.col("id") % 7 + 1).alias("w"))
-        p = spark.range(500).select(F.lit(T0.date()).alias("day"), F.col("id").cast("string").alias("wh"),
-                                    F.lit(100.0).alias("pool_cost_usd"))
-        out = allocate(it, p, ["day", "wh"], "w")
-        out.write.format("noop").mode("overwrite").save()
-        out.collect()
+        out = HOT[name](spark)
+        assert len(out.collect()) == 200000
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():

@@ -79,26 +79,26 @@ from {fx_usage} u left join (select * from {fx_price} where currency_code_lb='US
  and u.usage_end_dt>=p.price_start_dt and (p.price_end_dt is null or u.usage_end_dt<p.price_end_dt)
 """
 
-# Every second login is known; a few logins belong to two identities.
+# Logins with a low balance are unknown; some belong to two identities.
 VIEWS["fx_identity"] = """
 select c_custkey*2+1 as identity_id, concat('acct-',n_regionkey) as account_cd, concat('user',c_custkey,'@x.org') as identity_cd,
  c_name as display_name_lb, cast('USER' as varchar(20)) as identity_type_lb, concat('u-',c_custkey) as source_cd,
  case when c_custkey%4=0 then 0 else 1 end as is_active_fl
-from {customer} join {nation} on c_nationkey=n_nationkey where c_custkey%10>=5
+from {customer} join {nation} on c_nationkey=n_nationkey where c_acctbal>2000
 union all
 select c_custkey*2 as identity_id, concat('acct-',n_regionkey), concat('user',c_custkey,'@x.org'), concat(c_name,' (2)'),
  'SERVICE PRINCIPAL', concat('s-',c_custkey), case when c_custkey%4=0 then 1 else 0 end
-from {customer} join {nation} on c_nationkey=n_nationkey where c_acctbal>5000 and c_custkey%10>=5
+from {customer} join {nation} on c_nationkey=n_nationkey where c_acctbal>5000
 """
 
 VIEWS["fx_workspace"] = """
 select n_nationkey+1 as workspace_id, concat('acct-',n_regionkey) as account_cd, concat('ws-',n_nationkey) as workspace_cd,
  case n_nationkey%4 when 0 then concat(lower(n_name),'-dev') when 1 then concat(lower(n_name),'-staging')
   when 2 then concat(lower(n_name),'-prod') else lower(n_name) end as workspace_lb,
- case when n_nationkey%6=0 then 1 else 0 end as is_deleted_fl from {nation} where n_nationkey%5<>0
+ case when n_nationkey%6=0 then 1 else 0 end as is_deleted_fl from {nation} where n_regionkey<>4
 """
 
-# Resources of the usage lines; those with an odd number are unknown to the dimension.
+# Resources of the usage lines; those not used since 2000 are unknown to the dimension.
 VIEWS["fx_resource"] = """
 select (t*100000000+number_nb)*100+nation_nb as resource_id, resource_type_lb, source_cd, account_cd, workspace_cd,
  concat(lower(resource_type_lb),' ',number_nb) as display_name_lb,
@@ -106,14 +106,14 @@ select (t*100000000+number_nb)*100+nation_nb as resource_id, resource_type_lb, s
  case when number_nb%8=0 then 0 else 1 end as is_active_fl
 from (select t, resource_type_lb, source_cd, account_cd, workspace_cd, cast(substr(workspace_cd,4) as int) as nation_nb,
   cast(substr(source_cd, instr(source_cd,'-')+1) as bigint) as number_nb
- from (select distinct account_cd, workspace_cd,
+ from (select account_cd, workspace_cd, usage_dt,
   case when job_cd is not null then 1 when pipeline_cd is not null then 2 when warehouse_cd is not null then 3 when cluster_cd is not null then 4
    when app_cd is not null then 5 when notebook_cd is not null then 6 when endpoint_cd is not null then 7 when network_client_cd is not null then 8 else 9 end as t,
   case when job_cd is not null then 'JOB' when pipeline_cd is not null then 'PIPELINE' when warehouse_cd is not null then 'WAREHOUSE'
    when cluster_cd is not null then 'CLUSTER' when app_cd is not null then 'APP' when notebook_cd is not null then 'NOTEBOOK'
    when endpoint_cd is not null then 'ENDPOINT' when network_client_cd is not null then 'NETWORKING' else 'DATA QUALITY MONITORING' end as resource_type_lb,
   coalesce(job_cd,pipeline_cd,warehouse_cd,cluster_cd,app_cd,notebook_cd,endpoint_cd,network_client_cd,dqm_cd) as source_cd
-  from {fx_usage}) x where source_cd is not null) y where number_nb%2=0
+  from {fx_usage}) x where source_cd is not null group by t, resource_type_lb, source_cd, account_cd, workspace_cd having max(usage_dt)>=date '2000-01-01') y
 """
 
 # What the billing fact view must show, column for column.
@@ -200,15 +200,15 @@ select concat('acct-',user_id%2) as account_cd, concat('ws-',user_id%3) as works
 VIEWS["fx_tag"] = """
 select p_partkey as resource_id, case p_partkey%4 when 0 then 'app_id' when 1 then 'APP_ID' when 2 then ' App_Id' else 'AppId' end as raw_key_lb,
  concat('A',p_size) as tag_value_lb from {part}
-union all select p_partkey, case p_partkey%2 when 0 then 'env' else 'ENV' end, p_type from {part} where p_partkey%3=0
-union all select p_partkey, 'team', p_brand from {part} where p_partkey%5=0
+union all select p_partkey, case p_partkey%2 when 0 then 'env' else 'ENV' end, p_type from {part} where p_size>30
+union all select p_partkey, 'team', p_brand from {part} where p_size<12
 """
 VIEWS["fx_edge"] = """
 select concat('r',n_regionkey) as group_cd, concat('n',n_nationkey) as member_cd, 'Groups' as member_type_lb from {nation}
 union all select concat('n',c_nationkey),concat('c',c_custkey),'Users' from {customer}
 union all select concat('n',s_nationkey),concat('s',s_suppkey),'ServicePrincipals' from {supplier}
 union all select concat('r',n_regionkey),concat('c',c_custkey),'Users' from {customer} join {nation} on c_nationkey=n_nationkey where c_acctbal>9000
-union all select concat('n',n_nationkey),concat('r',n_regionkey),'Groups' from {nation} where n_nationkey%8=0
+union all select concat('n',n_nationkey),concat('r',n_regionkey),'Groups' from {nation} where n_nationkey=n_regionkey
 """
 VIEWS["fx_daily"] = """
 select usage_dt, sum(line_cost_usd) as cost from {fx_cost} group by usage_dt

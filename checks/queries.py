@@ -539,7 +539,7 @@ def _merge_resources(spark, sf):
 
 _WS_SNAPSHOT = """select concat('acct-',n_regionkey) as account_cd, concat('ws-',n_nationkey) as workspace_cd,
  case n_nationkey%4 when 0 then concat(lower(n_name),'-dev') when 1 then concat(lower(n_name),'-staging')
-  when 2 then concat(lower(n_name),'-prod') else lower(n_name) end as workspace_lb from nation where n_nationkey%7<>0"""
+  when 2 then concat(lower(n_name),'-prod') else lower(n_name) end as workspace_lb from nation where n_regionkey<>1"""
 
 
 @query("merge_workspace_snapshot", sql("""

@@ -52,17 +52,20 @@ def type_label(column: str | Column) -> Column:
     return F.replace(F.col(column) if isinstance(column, str) else column, F.lit("_"), F.lit(" "))
 
 
-def nested_text(df: DataFrame, column: str, paths: Mapping[str, str]) -> dict[str, Column]:
-    """Text fields, by dotted path, of a column that is either a struct or JSON text.
+def with_nested_text(df: DataFrame, column: str, paths: Mapping[str, str]) -> DataFrame:
+    """Add text fields, by dotted path, of a column that is either a struct or JSON text.
 
-    JSON is parsed once for all paths. A field the struct does not have reads as NULL.
+    JSON is parsed once into a column of its own, which Spark does not fold into the
+    field reads. A field the struct does not have reads as NULL.
     """
     kind = df.schema[column].dataType
     value = F.col(column)
     if isinstance(kind, T.StringType):
         kind = _schema_of(paths.values())
         value = F.from_json(value, kind)
-    return {name: _field(value, kind, path.split(".")) for name, path in paths.items()}
+    parsed = df.withColumn("__parsed", value)
+    fields = {name: _field(F.col("__parsed"), kind, path.split(".")) for name, path in paths.items()}
+    return parsed.withColumns(fields).drop("__parsed")
 
 
 def _schema_of(paths: Iterable[str]) -> T.StructType:

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.labels import flag, map_or_json, nested_text
+from ..functions.labels import flag, map_or_json, with_nested_text
 from ..operators.allocation import statement_weight
 from ..operators.compare import any_null
 from ..operators.latest import latest
@@ -435,15 +435,13 @@ def statements(query_history: DataFrame) -> DataFrame:
         "genie_space_cd": "genie_space_id",
     }
     weight = statement_weight("from_result_cache_fl", "total_duration_ms_nb", "waiting_at_capacity_ms_nb")
-    return (
-        query_history.withColumns(nested_text(query_history, "compute", {"warehouse_cd": "warehouse_id"}))
-        .filter(F.col("warehouse_cd").isNotNull())
-        .withColumns({
-            "usage_dt": F.to_date("start_dt"),
-            "billable_duration_ms_nb": weight.cast("bigint"),
-            **nested_text(query_history, "query_source", origin),
-        })
+    on_warehouse = with_nested_text(query_history, "compute", {"warehouse_cd": "warehouse_id"}).filter(
+        F.col("warehouse_cd").isNotNull()
     )
+    return with_nested_text(on_warehouse, "query_source", origin).withColumns({
+        "usage_dt": F.to_date("start_dt"),
+        "billable_duration_ms_nb": weight.cast("bigint"),
+    })
 
 
 def serving_requests(serving_usage: DataFrame, entities: DataFrame) -> DataFrame:

@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costloom.llm import mixing, secrets
+from costloom.llm import decontaminate, langid, mixing, secrets, simhash
 from costloom.llm.common import shared_folder, table
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go."""
+    return langid.keep_identified(docs)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live secrets are replaced by a mark; copied examples stay."""
     return secrets.redact(docs)
@@ -18,7 +33,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.curriculum(docs)
 
 
-STAGES = [("secrets", secret_stage), ("mixing", mixing_stage)]
+STAGES = [
+    ("language", language_stage),
+    ("near_duplicates", dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secret_stage),
+    ("mixing", mixing_stage),
+]
 
 #: Language ID and fingerprints can't be told in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -45,3 +45,18 @@ def row_hash(df: DataFrame) -> Column:
     """Hash of a row's plain columns: with the document id it tells apart all rows that differ."""
     plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
+
+
+def map_texts(df: DataFrame, text: str, fields: list[T.StructField], fn: Callable, drop: Iterable[str] = ()) -> DataFrame:
+    """``df`` with columns that ``fn`` makes, batch by batch, from the list of texts: it returns one Arrow array a field."""
+    kept = [c for c in df.columns if c not in set(drop)]
+    names = kept + [f.name for f in fields]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            made = fn(batch.column(text).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=names)
+
+    return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in kept), *fields]))

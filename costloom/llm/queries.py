@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import decontaminate, langid, mixing, secrets, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -19,6 +19,11 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_langid")
+def op1_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 _MIX = r"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
@@ -52,6 +57,16 @@ def op2_mixing(spark, sf_dir):
     return mixing.targets(table(spark, sf_dir, "documents"))
 
 
+@query("op3_decontaminate")
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_secrets")
 def op5_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    return simhash.deduplicate(table(spark, sf_dir, "documents"))

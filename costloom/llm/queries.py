@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, mixing, secrets, simhash
-from .common import table
+from pyspark.sql import functions as F
+
+from . import chat, decontaminate, langid, lattice, mixing, pii, quality, secrets, simhash, warc
+from .common import shared_folder, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,11 +64,70 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_WARC = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(strlen(html) as bigint) as payload_bytes, sha256(html) as payload_digest, min(page_id) over (partition by html) as first from p)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id is distinct from first then first end as refers_to
+from d
+"""
+
+
+@query("op4_warc", _WARC)
+def op4_warc(spark, sf_dir):
+    path = shared_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.listing(warc.read_warc(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op5_secrets")
 def op5_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op6_pii")
+def op6_pii(spark, sf_dir):
+    return pii.surrogates(table(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark, sf_dir):
     return simhash.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query("op8_lattice")
+def op8_lattice(spark, sf_dir):
+    return lattice.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
+_CHAT = r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e as (
+  select *, length(regexp_replace(replace(text, '\', '\\'), '([\[<])(/?INST\]|/?s>|<SYS>>|</SYS>>|\|role\|>|\|text\|>|\|end\|>)', '\1\\\2', 'g'))
+         + case role when 'user' then 15 when 'assistant' then 5 when 'system' then 17 end as chars
+  from t)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(3 + sum(chars) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+
+@query("op9_chat", _CHAT)
+def op9_chat(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.read_back(chat.format_chats(given.unionByName(probe)))
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

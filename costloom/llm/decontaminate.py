@@ -14,7 +14,7 @@ distance of ``max_edits`` times its number of words (runs of letters, digits and
 The items are read in blocks of bounded size, one pass over the documents each; documents are never joined or shuffled.
 
 Null texts match nothing, nor do items with fewer than ``MIN_WORDS`` words. Very long texts are walked in pieces that
-overlap by more than an item and its slack. Repeated items and rows give repeated results, ties in distance go to the first place.
+overlap by more than an item and its slack. Repeated items count once, repeated documents give repeated results, ties in distance go to the first place.
 An empty benchmark keeps every document. Other columns of the documents are carried along whatever their names.
 """
 
@@ -133,8 +133,8 @@ class Index:
                 for number, offset in t["keys"].get(tuple(key), ()):
                     yield number, first - offset
 
-    def search(self, docs: list[list[str]]) -> list[list[tuple[int, int, int, int]]]:
-        """(item_id, edits, first word, item length) of the items found in each document, given as lists of words."""
+    def search(self, docs: list[list[str]]) -> list[list[tuple[int, int, int]]]:
+        """(item number, edits, first word) of the items found in each document, given as lists of words."""
         out: list[list] = [[] for _ in docs]
         if not self.items:
             return out
@@ -154,7 +154,7 @@ class Index:
                     break
                 wanted.setdefault((d, number), set()).add(first - begin)
         for (d, number), firsts in sorted(wanted.items()):
-            item_id, words = self.items[number]
+            words = self.items[number][1]
             pattern = [get(w) for w in words]
             held = set(pattern)
             most = int(self.max_edits * len(words))
@@ -175,23 +175,19 @@ class Index:
                 if hit:
                     best = (hit[0], max(0, a + hit[1] - len(words)))
             if best:
-                out[d].append((item_id, best[0], best[1], len(words)))
+                out[d].append((number, *best))
         return out
 
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
-        """As ``search``, over texts, in batches of bounded size."""
+        """(item_id, edits, first word, item length) of the items found in each text, worked on in batches of bounded size."""
         reach = 2 * max((len(w) for _, w in self.items), default=0) + STEPS
-        out: list[list] = [[] for _ in texts]
+        best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
         batch: list[tuple[int, int, list[str]]] = []
 
         def flush():
             for (n, shift, _), hits in zip(batch, self.search([words for _, _, words in batch])):
-                for item, edits, first, size in hits:
-                    old = next((k for k, h in enumerate(out[n]) if h[0] == item), None)
-                    if old is None:
-                        out[n].append((item, edits, first + shift, size))
-                    elif edits < out[n][old][1]:
-                        out[n][old] = (item, edits, first + shift, size)
+                for number, edits, first in hits:
+                    best[n][number] = min(best[n].get(number, (edits, first + shift)), (edits, first + shift))
             batch.clear()
 
         held = 0
@@ -205,12 +201,12 @@ class Index:
                 batch.append((n, a, piece))
                 held += len(piece)
         flush()
-        return out
+        return [[(self.items[k][0], *hit, len(self.items[k][1])) for k, hit in sorted(found.items())] for found in best]
 
 
 def blocks(benchmark: DataFrame, text: str, item_id: str, max_edits: float, block_bytes: int):
     """Indexes of the benchmark's items, block by block; a block's texts have ``block_bytes`` on average."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
+    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes)
     for k in range(count):

@@ -100,7 +100,7 @@ class Index:
             order = np.argsort(cost @ self.moves.T, axis=1, kind="stable")[:, : self.probes]
             for p in range(self.probes):
                 out[:, t, 1 + p] = np.where(self.moves[order[:, p]], moved, home).sum(axis=1)
-            out[:, t] = (out[:, t] ^ (t * 0x9E3779B97F4A7C1 + self.dim)) * 0x1000193
+            out[:, t] = (out[:, t] ^ np.int64((t * 0x9E3779B97F4A7C1 + self.dim) % (1 << 63))) * 0x1000193
         return out
 
 

@@ -70,7 +70,7 @@ def features(text: str | None) -> np.ndarray:
         code = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
         kind = _kinds()[code]
         kinds += np.bincount(kind, minlength=6)
-        chars.update(dict(zip(*(x.tolist() for x in np.unique(code[:PIECE], return_counts=True)))))
+        chars.update(dict(zip(*(x.tolist() for x in np.unique(code, return_counts=True)))))
         here = piece.split()
         sizes = np.fromiter(map(len, here), np.int64, len(here))
         total += len(here)
@@ -82,7 +82,7 @@ def features(text: str | None) -> np.ndarray:
         lower = piece.lower().split()
         words.update(lower)
         line = [last, *lower]
-        pair = [hash_pair for hash_pair in zip(line, lower) if hash_pair[0] is not None]
+        pair = [x for x in zip(line, lower) if x[0] is not None]
         same += sum(a == b for a, b in pair)
         pairs.update(pair)
         last = lower[-1] if lower else last

@@ -168,7 +168,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>", text: str = "text", doc_id:
     row = fresh("__row", docs.columns)
     joined = docs.withColumn(row, row_hash(docs)).join(
         hit, F.col(f"`{doc_id}`").eqNullSafe(F.col("__hit_id")) & (F.col(row) == F.col("__hit_row")), "left")
-    new = F.when(F.col("__hit").isNotNull(), cut(F.col(f"`{text}`"), F.col("__hit"))).otherwise(F.col(f"`{text}`"))
-    out = [(new if c == text else F.when(F.col("__hit").isNotNull(), F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c))
-            if c == "n_chars" else F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    return joined.select(*out)
+    made = joined.withColumn("__new", F.when(F.col("__hit").isNotNull(), cut(F.col(f"`{text}`"), F.col("__hit"))))
+    counted = F.coalesce(F.length("__new").cast(docs.schema["n_chars"].dataType), F.col("n_chars")) if "n_chars" in docs.columns else None
+    put = {text: F.coalesce("__new", F.col(f"`{text}`")), "n_chars": counted}
+    return made.select(*(put.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))

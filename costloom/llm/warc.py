@@ -213,7 +213,11 @@ def decoded(kind: str, block: bytes, digest: str) -> tuple[bytes | None, str | N
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives in ``path``. A revisit has the payload's digest and no payload."""
-    every = segments(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path))
+    return reassembled(segments(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)))
+
+
+def reassembled(every: DataFrame) -> DataFrame:
+    """Segments to whole records with their payloads decoded."""
     whole = every.filter("whole").select("record_id", "kind", "page_id", "payload_digest", "refers_to", "uri", "length", "block",
                                          F.lit(1).alias("segments"), F.lit(None).cast("string").alias("error"))
     # All pieces of one record are as long together as its payload was in its row.

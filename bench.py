@@ -12,8 +12,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,7 +24,7 @@ from checks.fixtures import landed_usage, view  # noqa: E402
 from costloom.operators import cdc, closure as groups, tags  # noqa: E402
 from costloom.operators.merge import merge  # noqa: E402
 from costloom.plans import costing, gold, measures as kpi, periods, silver  # noqa: E402
-from costloom.session import build_session  # noqa: E402
+from costloom.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -66,8 +66,8 @@ def headline(spark, read):
         priced = price_lines(read("usage"), read("price"), currency="USD")
         return priced.groupBy("usage_dt", "sku_name_lb").agg(F.sum("line_cost_usd").alias("cost"))
 
-    def allocation(form):
-        return lambda: costing.query_attribution(read("history"), costing.warehouse_pool(read("billed")), form)
+    def allocation():
+        return costing.query_attribution(read("history"), costing.warehouse_pool(read("billed")))
 
     def serving():
         return costing.serving_attribution(read("serving"), read("entity"), costing.endpoint_pool(read("billed")))
@@ -94,8 +94,7 @@ def headline(spark, read):
     names = ["total_cost", "active_resources", "days_with_cost", "avg_daily_cost", "serverless_cost_pct", "peak_daily_cost"]
     return {
         "line_cost_rollup": rollup,
-        "query_allocation_join": allocation("join"),
-        "query_allocation_window": allocation("window"),
+        "query_allocation": allocation,
         "serving_allocation": serving,
         "scd1": lambda: cdc.scd1(None, read("change"), q.CHANGE_KEYS, "change_time"),
         "scd2_full": lambda: cdc.scd2(read("change"), q.CHANGE_KEYS, "change_time"),
@@ -121,7 +120,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()
-    read = stage(spark, tempfile.mkdtemp(prefix="bench-"))
+    read = stage(spark, f"{ensure_checkpoint_dir(spark)}/bench-{uuid.uuid4().hex}")
     staged = time.perf_counter() - start
     only = sys.argv[1:]
     times = {}

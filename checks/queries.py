@@ -20,6 +20,7 @@ from costloom.operators.pricing import price_lines, price_overlaps, reprice
 from costloom.operators.quality import expectation_report
 from costloom.plans import calendar as cal, costing, gold, identities as ids, measures as kpi
 from costloom.plans import marked, periods, reports, resources as res, silver
+from costloom.plans.daily import changed_days
 from costloom.schemas import WORKSPACE_SENTINELS
 from costloom.sources import directory, lookups
 
@@ -90,13 +91,13 @@ def entities(spark, sf) -> DataFrame:
     return current.withColumn("entity_id", F.substring("served_entity_cd", 4, 9).cast("bigint") + 1)
 
 
-def attributed_queries(spark, sf, form="join") -> DataFrame:
-    return costing.query_attribution(history(spark, sf), costing.warehouse_pool(billed(spark, sf)), form)
+def attributed_queries(spark, sf) -> DataFrame:
+    return costing.query_attribution(history(spark, sf), costing.warehouse_pool(billed(spark, sf)))
 
 
-def attributed_serving(spark, sf, form="join") -> DataFrame:
+def attributed_serving(spark, sf) -> DataFrame:
     return costing.serving_attribution(
-        serving(spark, sf), entities(spark, sf), costing.endpoint_pool(billed(spark, sf)), form
+        serving(spark, sf), entities(spark, sf), costing.endpoint_pool(billed(spark, sf))
     )
 
 
@@ -338,6 +339,14 @@ def _expectations(spark, sf):
         "monitor has schema": "product_lb <> 'DATA_QUALITY_MONITORING' or usage_metadata.schema_id is not null"})
 
 
+@query("usage_rules", sql("""
+    select r as rule_lb, count(*) as checked_nb, count_if(bad) as failed_nb from (
+     select unnest(['record_id not null','account_cd not null','ingestion_dt not null']) as r,
+            unnest([record_cd is null, account_cd is null, ingestion_dt is null]) as bad from fx_usage) group by r""", "fx_usage"))
+def _usage_rules(spark, sf):
+    return expectation_report(usage(spark, sf), silver.USAGE_RULES)
+
+
 @query("dedupe_usage_latest_load", """
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate from (
      select l.*, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc) as rn
@@ -514,11 +523,66 @@ def _merge_cost(spark, sf):
     stored = fresh.filter("usage_dt < date '1999-01-01'").withColumn(
         "line_cost_usd", F.when(F.col("product_lb") == "SQL", F.coalesce("line_cost_usd", F.lit(0)) + 1)
         .otherwise(F.col("line_cost_usd")).cast(MONEY))
-    out = merge(stored, fresh, costing.COST_KEYS, guard=["line_cost_usd", "usage_load_dt"],
+    out = merge(stored, fresh, silver.LINE_KEYS, guard=["line_cost_usd", "usage_load_dt"],
                 update=fresh.columns, evolve=True, actions=True)
     return out.select("record_cd", "ingestion_dt", "line_cost_usd", F.col("__action").alias("action_lb"))
 
 
+_ODD_LINES = """
+    select account_cd, case when product_lb<>'NETWORKING' then workspace_cd end as workspace_cd, case when product_lb<>'DLT' then record_cd end as record_cd,
+     ingestion_dt, line_cost_usd from fx_cost
+    union all select 'acct-x', workspace_cd, record_cd, ingestion_dt, line_cost_usd from fx_cost where product_lb='SQL'"""
+
+
+def _odd_lines(spark, sf, before, day) -> DataFrame:
+    """Priced lines without a workspace, without a record, and with records that two accounts share, as loaded on ``day``."""
+    lines = cost(spark, sf).filter(before)
+    lines = lines.unionByName(lines.filter("product_lb = 'SQL'").withColumn("account_cd", F.lit("acct-x")))
+    return lines.withColumns({
+        "workspace_cd": F.when(F.col("product_lb") != "NETWORKING", F.col("workspace_cd")),
+        "record_cd": F.when(F.col("product_lb") != "DLT", F.col("record_cd")),
+        silver.LOAD: F.lit(dt.datetime(2024, 1, day)), "usage_load_dt": F.lit(dt.datetime(2024, 1, day))})
+
+
+def _loaded(df: DataFrame) -> DataFrame:
+    return df.select("account_cd", "workspace_cd", "record_cd", "ingestion_dt", "line_cost_usd")
+
+
+@query("cost_load_null_keys", sql(_ODD_LINES, "fx_cost"))
+def _cost_null_keys(spark, sf):
+    """The same load folded twice: no line is lost, none is doubled."""
+    fresh = silver.dedupe_usage(_odd_lines(spark, sf, F.lit(True), 1))
+    return _loaded(costing.merge_cost(fresh, fresh))
+
+
+@query("cost_load_two_batches", sql(_ODD_LINES, "fx_cost"))
+def _cost_two_batches(spark, sf):
+    """Two loads, the second with every complete line of the first once more."""
+    early = "usage_dt < date '1995-01-01'"
+    known = "workspace_cd is not null and record_cd is not null"
+    first = silver.dedupe_usage(_odd_lines(spark, sf, F.expr(early), 1))
+    again = _odd_lines(spark, sf, F.expr(early), 2).filter(known)
+    second = silver.dedupe_usage(_odd_lines(spark, sf, ~F.expr(early), 2).unionByName(again))
+    return _loaded(costing.merge_cost(first, second))
+
+
+@query("stale_attribution_days", sql("""
+    select distinct cast(d as date) as usage_dt from (
+     select usage_dt as d from fx_cost where usage_dt between date '1995-03-01' and date '1995-03-09' and product_lb='SQL'
+     union all select cast(start_dt as date) from fx_query where start_dt < timestamp '2024-01-03 00:00:00'
+     union all select cast(s.request_dt as date) from fx_serving s where s.served_entity_cd in (
+      select max(served_entity_cd) from fx_serving))""", "fx_cost", "fx_query", "fx_serving"))
+def _stale_days(spark, sf):
+    """Days touched by late cost lines, late statements and one late served entity; no late requests."""
+    requests = serving(spark, sf)
+    entity = requests.groupBy("account_cd", "workspace_cd", "served_entity_cd").agg(F.lit(1)).withColumn(
+        "__top", requests.agg(F.max("served_entity_cd")).scalar()).filter("served_entity_cd = __top")
+    days = changed_days(
+        requests, requests.limit(0), cost(spark, sf).filter("usage_dt between date '1995-03-01' and date '1995-03-09' and product_lb = 'SQL'"),
+        history(spark, sf).filter("start_dt < timestamp_ntz '2024-01-03 00:00:00'"), entity)
+    return spark.createDataFrame([(d,) for d in sorted(days)], "usage_dt date")
+
+
 _RES_SNAPSHOT = """select resource_type_lb, source_cd, account_cd, workspace_cd, display_name_lb, is_active_fl from fx_resource"""
 
 
@@ -693,12 +757,13 @@ def landed_principals(spark, sf) -> DataFrame:
 
 
 def landed_groups(spark, sf) -> DataFrame:
-    """One row per group; members as the directory lists them."""
+    """Pages of a group's members, a hundred numbers each, as the directory lists them: no row grows with the data."""
     e = view(spark, sf, "fx_edge")
     member = F.struct(F.concat("member_type_lb", F.lit("/"), "member_cd").alias("$ref"),
                       F.upper("member_cd").alias("display"), F.col("member_cd").alias("value"))
     seen = F.lit(dt.datetime(2024, 1, 1))
-    return e.groupBy("group_cd").agg(F.collect_list(member).alias("members")).select(
+    page = F.floor(F.substring("member_cd", 2, 20).cast("bigint") / 100).alias("page")
+    return e.groupBy("group_cd", page).agg(F.collect_list(member).alias("members")).select(
         F.col("group_cd").alias("id"), F.lit("acct-0").alias("account_id"),
         F.when(F.col("group_cd") == "n3", seen).alias("deleted_at"),
         seen.alias("first_seen_at"), F.lit(dt.datetime(2024, 2, 1)).alias("last_seen_at"),
@@ -747,6 +812,19 @@ def _pages(spark, sf):
     return directory.flatten_users(pages).select(*USER_COLS)
 
 
+@query("directory_pages_principals", """
+    select concat('s',s_suppkey) as sp_cd, 'acct-0' as account_cd, concat('app-',s_suppkey) as application_cd, s_name as display_name_lb,
+     case when s_suppkey%3>0 then 1 else 0 end as is_active_fl, concat('x',s_suppkey) as external_cd from supplier""")
+def _principal_pages(spark, sf):
+    robots = landed_principals(spark, sf)
+    one = F.from_json("raw", directory.PRINCIPAL)
+    entry = F.struct("id", "active", one["applicationId"].alias("applicationId"), one["displayName"].alias("displayName"), one["externalId"].alias("externalId"))
+    page_no = F.floor(F.substring("id", 2, 20).cast("bigint") / 100)
+    pages = robots.groupBy("account_id", page_no.alias("page")).agg(F.collect_list(entry).alias("Resources")).select(
+        "account_id", F.to_json(F.struct("Resources")).alias("body"))
+    return directory.flatten_service_principals(pages).select(*SP_COLS)
+
+
 _IDENTITY = f"""select account_cd, user_cd as source_cd, 'USER' as identity_type_lb, display_name_lb, username_lb as identity_cd, first_name_lb,
  last_name_lb, primary_email_lb, is_active_fl, external_cd from ({_USERS})
  union all select account_cd, sp_cd, 'SERVICE PRINCIPAL', display_name_lb, application_cd, null, null, null, is_active_fl, external_cd from ({_PRINCIPALS})"""
@@ -1028,7 +1106,8 @@ def _alloc(spark, sf):
 
 @query("query_cost_allocation_window", sql(_QOUT, *_QVIEWS, **_Q))
 def _alloc_window(spark, sf):
-    return _qcols(attributed_queries(spark, sf, "window"))
+    """The SQL twin uses windows, the engine its one splittable form."""
+    return _qcols(attributed_queries(spark, sf))
 
 
 @query("serving_cost_allocation", sql(_SOUT, *_SVIEWS, **_S))
@@ -1038,7 +1117,7 @@ def _alloc_serving(spark, sf):
 
 @query("serving_cost_allocation_window", sql(_SOUT, *_SVIEWS, **_S))
 def _alloc_serving_window(spark, sf):
-    return _scols(attributed_serving(spark, sf, "window"))
+    return _scols(attributed_serving(spark, sf))
 
 
 @query("warehouse_cost_pool", sql(
@@ -1396,6 +1475,17 @@ def _percentiles(spark, sf):
     return p90.join(p50, "warehouse_cd").select("warehouse_cd", rounded("p90"), rounded("p50"))
 
 
+@query("line_price_percentile", """
+    select l_returnflag, round(quantile_cont(cast(l_extendedprice as double) - 20000.5, 0.9), 6) as p90,
+     round(quantile_cont(cast(l_extendedprice as double) - 20000.5, 0.05), 6) as p05 from lineitem group by l_returnflag""")
+def _price_percentiles(spark, sf):
+    """Fractions, negative ones too, are kept."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_extendedprice").cast("double") - 20000.5).alias("v"))
+    p90 = ranking.percentile_inc(lines, "v", 0.9, ["l_returnflag"], "p90")
+    p05 = ranking.percentile_inc(lines, "v", 0.05, ["l_returnflag"], "p05")
+    return p90.join(p05, "l_returnflag").select("l_returnflag", rounded("p90"), rounded("p05"))
+
+
 @query("query_cost_share", sql("""
     select w.workspace_cd, cast(w.c as decimal(38,6)) as total_cost, cast(q.c as decimal(38,6)) as total_query_cost, round(cast(q.c as double)/cast(w.c as double),6) as query_cost_share
     from (select workspace_cd, sum(line_cost_usd) as c from fx_billed group by workspace_cd) w
@@ -1536,7 +1626,7 @@ def _by_type(spark, sf):
      cast(sum(case when is_serverless_fl='No' then line_cost_usd end) as decimal(38,8)) as "No" from fx_gold_cost group by all""", "fx_gold_cost"))
 def _month_serverless(spark, sf):
     fact = gold_cost(spark, sf).withColumn("month_dt", reports.month_start())
-    return reports.matrix(fact, ["month_dt"], "is_serverless_fl", "line_cost_usd", ["Yes", "No"]).select("month_dt", money("Yes"), money("No"))
+    return reports.matrix(fact, ["month_dt"], "is_serverless_fl", "line_cost_usd").select("month_dt", money("Yes"), money("No"))
 
 
 _PRODUCTS = ["JOBS", "DLT", "SQL", "ALL_PURPOSE", "MODEL_SERVING", "NETWORKING", "DATA_QUALITY_MONITORING", "PREDICTIVE_OPTIMIZATION"]
@@ -1546,8 +1636,9 @@ _PRODUCTS = ["JOBS", "DLT", "SQL", "ALL_PURPOSE", "MODEL_SERVING", "NETWORKING",
     "select workspace_lb, " + ", ".join(f"cast(sum(case when product_lb='{p}' then line_cost_usd end) as decimal(38,8)) as \"{p}\"" for p in _PRODUCTS)
     + " from star group by workspace_lb", *_STARV, star=_STAR))
 def _ws_product(spark, sf):
-    out = reports.matrix(star_cost(spark, sf), ["workspace_lb"], "product_lb", "line_cost_usd", _PRODUCTS)
-    return out.select("workspace_lb", *[money(p) for p in _PRODUCTS])
+    out = reports.matrix(star_cost(spark, sf), ["workspace_lb"], "product_lb", "line_cost_usd")
+    absent = {p: F.lit(None).cast(MONEY) for p in _PRODUCTS if p not in out.columns}
+    return out.withColumns(absent).select("workspace_lb", *[money(p) for p in [*out.columns[1:], *absent]])
 
 
 @query("report_user_by_day_query_cost", sql("""
@@ -1557,6 +1648,16 @@ def _user_day(spark, sf):
     return out.select("executed_by_lb", "usage_dt", F.col("total_query_cost").cast("decimal(38,6)").alias("total_query_cost"))
 
 
+@query("report_user_by_month_query_cost", sql("""
+    select executed_by_lb, cast(sum(case when strftime(usage_dt, '%Y-%m') = '2024-01' then cast(attributed_cost_usd as decimal(18,6)) end) as decimal(38,6)) as "2024-01"
+    from goldq group by executed_by_lb""", *_GQVIEWS, **_GQ))
+def _user_month(spark, sf):
+    """Identities by months; the statements all lie in one month here, a longer history has more columns."""
+    fact = exact_query_gold(spark, sf).withColumn("month_lb", F.date_format("usage_dt", "yyyy-MM"))
+    out = reports.matrix(fact, ["executed_by_lb"], "month_lb", "attributed_cost_usd")
+    return out.select("executed_by_lb", *[F.col(m).cast("decimal(38,6)").alias(m) for m in out.columns[1:]])
+
+
 _APPS = """select concat('A',z) as application_cd, concat('App ',z) as application_lb, r.r_name as domain_lb, n.n_name as sub_domain_lb
   from (select distinct p_size as z from part) a left join region r on r.r_regionkey=a.z%7 left join nation n on n.n_nationkey=a.z%30"""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .compare import any_null
 from .spread import grouped_for_join
@@ -39,7 +39,6 @@ def allocate(
     total_as: str = "total_weight_nb",
     count_as: str | None = None,
     out: str = "attributed_cost_usd",
-    form: str = "join",
 ) -> DataFrame:
     """Give each item its share ``weight / sum(weight)`` of the pool of its ``keys``.
 
@@ -48,29 +47,20 @@ def allocate(
       unless ``even_split``, which then divides the pool by the item count;
     * items without a pool get ``no_pool``.
 
-    ``form='join'`` (default) sums weights with map-side combine and joins the
-    totals back: a group holding a third of all items stays spread over many
-    tasks. ``form='window'`` saves a pass when every group is known to be small;
-    both give equal results.
+    Weights are summed with map-side combine and the totals joined back: a group
+    holding a third of all items stays spread over many tasks.
     """
     items = items.filter(~any_null(keys))
     counter = count_as or "__count"
-    if form == "window":
-        group = Window.partitionBy(*keys)
-        weighed = items.withColumn(total_as, F.sum(weight).over(group)).withColumn(
-            counter, F.count(F.lit(1)).over(group)
-        )
-        shared = weighed.join(pool.select(*keys, pool_cost), list(keys), "left")
-    else:
-        # Weights and pools are summed in one grouping, so the items are shuffled once,
-        # to meet its result.
-        weights = items.select(*keys, F.col(weight).alias("__w"), F.lit(1).alias("__one"))
-        both = weights.unionByName(pool.select(*keys, pool_cost), allowMissingColumns=True)
-        terms = grouped_for_join(
-            both, keys, F.sum("__w").alias(total_as), F.count("__one").alias(counter),
-            F.sum(pool_cost).alias(pool_cost),
-        )
-        shared = items.join(terms, list(keys))
+    # Weights and pools are summed in one grouping, so the items are shuffled once,
+    # to meet its result.
+    weights = items.select(*keys, F.col(weight).alias("__w"), F.lit(1).alias("__one"))
+    both = weights.unionByName(pool.select(*keys, pool_cost), allowMissingColumns=True)
+    terms = grouped_for_join(
+        both, keys, F.sum("__w").alias(total_as), F.count("__one").alias(counter),
+        F.sum(pool_cost).alias(pool_cost),
+    )
+    shared = items.join(terms, list(keys))
     cost, total = F.col(pool_cost).cast("double"), F.col(total_as)
     part = cost * F.try_divide(F.col(weight).cast("double"), total.cast("double"))
     if even_split:

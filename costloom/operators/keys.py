@@ -9,23 +9,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .latest import latest
 from .spread import SPREAD, grouped_for_join, with_spread
 
-KEY_BUCKETS = 256
-
 
 def assign_keys(
     new_rows: DataFrame,
     natural_key: Sequence[str],
     id_col: str,
     start: int = 0,
-    buckets: int = KEY_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number rows ``start+1 .. start+n`` without a gap and without one big sort.
 
-    Rows are hashed on the natural key into a fixed number of buckets and
-    numbered inside each bucket; a table of at most ``buckets`` counts gives
-    every bucket its offset. The same input always gets the same numbers. The
-    natural key must be unique.
+    Rows are hashed on the natural key into buckets, as many as the session's shuffle
+    partitions unless told, and numbered inside each bucket; a table of at most ``buckets``
+    counts gives every bucket its offset. The same input and buckets always give the same
+    numbers. The natural key must be unique.
     """
+    buckets = buckets or int(new_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = new_rows.drop(id_col).withColumn(
         "__bucket", F.pmod(F.xxhash64(*natural_key), F.lit(buckets)).cast("int")
     )

@@ -43,6 +43,7 @@ def merge(
     by_source_when: Column | None = None,
     evolve: bool = False,
     actions: bool = False,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Return ``target`` after merging ``source`` on ``keys``.
 
@@ -59,6 +60,8 @@ def merge(
     rows for one target row raise an error when there is an update branch.
     ``evolve`` adds columns only the source has and widens nested structs.
     ``actions`` keeps the ``__action`` column: insert, update, keep, close.
+    ``null_safe`` lets NULL key parts match each other; the keys must then tell rows apart all
+    the same, so that no partition collects what is NULL.
     """
     if evolve:
         target, source = align_schemas(target, source)
@@ -74,12 +77,12 @@ def merge(
     left = target.select(
         F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("t"),
         *[F.col(k).alias(f"__t_{i}") for i, k in enumerate(keys)],
-        _nullsafe_lane(target, keys).alias("__t_lane"),
+        (F.lit(0) if null_safe else _nullsafe_lane(target, keys)).cast("bigint").alias("__t_lane"),
     )
     right = source.select(
         F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("s"),
         *[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)],
-        _nullsafe_lane(source, keys).alias("__s_lane"),
+        (F.lit(0) if null_safe else _nullsafe_lane(source, keys)).cast("bigint").alias("__s_lane"),
     )
     source_keys = [f"__s_{i}" for i in range(len(keys))] + ["__s_lane"]
     if has_update:
@@ -88,7 +91,8 @@ def merge(
         right = right.withColumn("__dup", F.row_number().over(numbered))
     condition = F.col("__t_lane") == F.col("__s_lane")
     for i in range(len(keys)):
-        condition = condition & (F.col(f"__t_{i}") == F.col(f"__s_{i}"))
+        same = F.col(f"__t_{i}").eqNullSafe(F.col(f"__s_{i}")) if null_safe else F.col(f"__t_{i}") == F.col(f"__s_{i}")
+        condition = condition & same
     joined = left.join(right, condition, "full_outer")
 
     in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()

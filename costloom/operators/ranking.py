@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 CUTS = 200
 
@@ -68,7 +68,7 @@ def global_rank(
 def percentile_inc(
     df: DataFrame, value: str, p: float, by: Sequence[str] = (), out: str = "percentile_nb"
 ) -> DataFrame:
-    """Exact inclusive percentile (linear interpolation) of an integer column per group.
+    """Exact inclusive percentile (linear interpolation) of a number per group, in its own type.
 
     Spark's own exact percentile keeps all distinct values of a group in one
     aggregation buffer. Here values are counted first, then grouped into
@@ -76,11 +76,12 @@ def percentile_inc(
     and only the counts of those bins are put in order.
     """
     by = list(by)
+    whole = isinstance(df.schema[value].dataType, T.IntegralType)
     counted = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("bigint").alias("__v"))
+        .groupBy(*by, F.col(value).cast("bigint" if whole else "double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
-        .withColumn("__bin", _bin(F.col("__v")))
+        .withColumn("__bin", _bin(F.col("__v") if whole else _floor(F.col("__v"))))
     )
     # A few thousand bins at most per group, whatever the number of rows.
     order = Window.partitionBy(*by).orderBy("__bin")
@@ -112,6 +113,11 @@ def percentile_inc(
     )
 
 
+def _floor(v):
+    """The integer below, within the range of a long: order is kept, which is all a bin needs."""
+    return F.floor(F.greatest(F.least(v, F.lit(9e18)), F.lit(-9e18))).cast("bigint")
+
+
 def _bin(v):
     """Order-preserving magnitude bin of an integer: its sign, binary digit count and
     leading eight bits. Values of a bin differ by less than one percent."""

@@ -96,16 +96,17 @@ def tag_bridge(
     keys: DataFrame,
     carried: DataFrame,
     fill: str = UNTAGGED,
-    slots: int = 512,
+    slots: int | None = None,
 ) -> DataFrame:
     """A value for every (resource, tag key); ``fill`` where the resource lacks the key.
 
     The dense grid is the result asked for. It is built as an equality join: each
-    resource sits in one of ``slots`` hash slots and the key list, one row per
+    resource sits in one of ``slots`` hash slots (the session's shuffle partitions) and the key list, one row per
     label, is repeated once per slot, so the grid grows in evenly sized pieces. The
     tags a resource carries travel with it as one map, which spares a second join
     at grid size.
     """
+    slots = slots or int(resources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = carried.groupBy("resource_id").agg(
         F.map_from_entries(F.collect_list(F.struct("tag_key_id", "tag_value_lb"))).alias("__held")
     )

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.allocation import allocate, cost_pool
 from ..operators.merge import merge
 from ..operators.pricing import PRICE_KEYS, price_lines
-from .silver import LOAD, price_view, serving_requests, statements
+from .silver import LINE, LINE_KEYS, LOAD, price_view, serving_requests, statements
 
-COST_KEYS = ["account_cd", "workspace_cd", "record_cd", "ingestion_dt"]
+COST_KEYS = [*LINE_KEYS, LINE]
 COST_DAY = "ingestion_dt"
 QUERY_KEYS = ["usage_dt", "account_cd", "workspace_cd", "warehouse_cd"]
 SERVING_KEYS = ["usage_dt", "account_cd", "workspace_cd", "endpoint_cd"]
@@ -43,7 +43,8 @@ def costed(usage: DataFrame, prices: DataFrame, currency: str | None = "USD") ->
 def merge_cost(cost: DataFrame, fresh: DataFrame) -> DataFrame:
     """Upsert priced lines. ``cost`` may be limited to the ingestion days ``fresh``
     touches; every column is replaced when the cost or the load mark changed, and
-    columns or metadata fields only ``fresh`` has are added."""
+    columns or metadata fields only ``fresh`` has are added. Lines that lack a key part
+    match by their ``line_cd``, so folding the same lines again changes nothing."""
     return merge(
         cost,
         fresh,
@@ -51,6 +52,7 @@ def merge_cost(cost: DataFrame, fresh: DataFrame) -> DataFrame:
         guard=["line_cost_usd", "usage_load_dt"],
         update=[c for c in fresh.columns],
         evolve=True,
+        null_safe=True,
     )
 
 
@@ -64,7 +66,7 @@ def endpoint_pool(cost: DataFrame) -> DataFrame:
     return cost_pool(lines, SERVING_KEYS, out="endpoint_cost_usd")
 
 
-def query_attribution(query_history: DataFrame, pool: DataFrame, form: str = "join") -> DataFrame:
+def query_attribution(query_history: DataFrame, pool: DataFrame) -> DataFrame:
     """Warehouse-day cost over its statements by billable time. Failed and cancelled
     statements count; cache hits cost nothing; a statement belongs to its start day;
     without a pool the share stays NULL."""
@@ -76,13 +78,10 @@ def query_attribution(query_history: DataFrame, pool: DataFrame, form: str = "jo
         pool_cost="warehouse_cost_usd",
         exempt=F.col("from_result_cache_fl") == 1,
         total_as="total_billable_ms_nb",
-        form=form,
     )
 
 
-def serving_attribution(
-    serving_usage: DataFrame, entities: DataFrame, pool: DataFrame, form: str = "join"
-) -> DataFrame:
+def serving_attribution(serving_usage: DataFrame, entities: DataFrame, pool: DataFrame) -> DataFrame:
     """Endpoint-day cost over its requests by tokens, evenly when no request has any;
     0 where nothing was billed."""
     return allocate(
@@ -95,5 +94,4 @@ def serving_attribution(
         no_pool=0,
         total_as="daily_total_token_count_nb",
         count_as="daily_total_request_count_nb",
-        form=form,
     )

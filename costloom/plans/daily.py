@@ -3,19 +3,23 @@
 Order: streams (append facts, change-fed dimensions) - workspaces, directory and
 visibility - prices and cost - tag keys, resources, tags - attributed cost. Each
 step reads and writes tables under one root; a step that fails can be run again, as
-every step ends in the same tables whether it ran once or twice. A full refresh is a
-run under a new root: fresh tables and fresh checkpoints.
+every step ends in the same tables whether it ran once or twice. A full refresh builds
+a new generation, with fresh tables and checkpoints, next to the current one and takes
+its place when it is complete.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import closure as groups, incremental as inc, tags
 from ..operators.keys import with_sentinels
+from ..operators.latest import latest_snapshot
+from ..operators.quality import expectation_report
 from ..schemas import (
     GROUP_SENTINELS, IDENTITY_SENTINELS, LANDED, RESOURCE_SENTINELS, SERVICE_PRINCIPAL_SENTINELS,
     TAG_KEY_SENTINELS, USER_SENTINELS, WORKSPACE_SENTINELS,
@@ -25,6 +29,7 @@ from ..streaming import flows
 from ..streaming.ingest import read_appended, run_all
 from . import costing, gold, identities as ids, resources as res, silver
 
+LOAD_DAY, REQUEST_DAY = "load_day_dt", "request_day_dt"
 AUDIT = "sys_create_dt timestamp, sys_update_dt timestamp"
 # Empty form of the merged dimensions: surrogate first, then natural key and labels.
 EMPTY = {
@@ -71,6 +76,21 @@ DIMENSION_TABLES = {
 }
 
 
+def changed_days(requests: DataFrame, late_requests: DataFrame, late_cost: DataFrame | None = None,
+                 late_statements: DataFrame | None = None, late_entities: DataFrame | None = None) -> set[dt.date]:
+    """Days whose shares change through late rows; a late entity touches every day it has requests on."""
+    on = ["account_cd", "workspace_cd", "served_entity_cd"]
+    day = F.to_date("request_dt").alias("day")
+    parts = [late_requests.select(day)]
+    if late_cost is not None:
+        parts.append(late_cost.select(F.col("usage_dt").alias("day")))
+    if late_statements is not None:
+        parts.append(late_statements.select(F.to_date("start_dt").alias("day")))
+    if late_entities is not None:
+        parts.append(requests.join(late_entities.select(*on), on, "left_semi").select(day))
+    return {d for d in touched_days(reduce(DataFrame.unionByName, parts), "day") if d is not None}
+
+
 @dataclass
 class Daily:
     """One daily run. ``landed`` is the folder of append-only and snapshot tables, one
@@ -83,17 +103,29 @@ class Daily:
     landed_schemas: dict[str, str] = field(default_factory=lambda: dict(LANDED))
 
     def __post_init__(self) -> None:
-        self.tables = Tables(self.spark, f"{self.root}/tables")
+        self._generations = Tables(self.spark, f"{self.root}/generations")
+        known = self._generations.read("current")
+        self._use(known.first()[0] if known is not None else 1)
+
+    def _use(self, generation: int) -> None:
+        self.generation = generation
+        self.home = f"{self.root}/generation-{generation:04d}"
+        self.tables = Tables(self.spark, f"{self.home}/tables")
 
     def _checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name}"
+        return f"{self.home}/checkpoints/{name}"
 
     def _stream(self, name: str) -> DataFrame:
         return read_appended(self.spark, f"{self.landed}/{name}", self.landed_schemas[name])
 
     def snapshot(self, name: str) -> DataFrame:
-        reader = self.spark.read.schema(self.landed_schemas[name]).option("recursiveFileLookup", "true")
-        return reader.parquet(f"{self.landed}/{name}")
+        """The newest full snapshot of each account. A run is a folder, and the column
+        ``snapshot_run`` where the extraction wrote one."""
+        schema = f"{self.landed_schemas[name]}, snapshot_run string"
+        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.landed}/{name}")
+        folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+        dated = rows.withColumn("snapshot_run", F.coalesce("snapshot_run", folder))
+        return latest_snapshot(dated, "snapshot_run", ["account_id"]).drop("snapshot_run")
 
     def current(self, name: str) -> DataFrame:
         """A table, or its empty form with sentinels when it was never written."""
@@ -103,20 +135,27 @@ class Daily:
         empty = self.spark.createDataFrame([], EMPTY[name])
         return with_sentinels(empty, *SEEDS[name]) if name in SEEDS else empty
 
-    def usage(self) -> DataFrame:
-        return self.spark.read.parquet(self.tables.folder("tf_billing_usage"))
+    def arrived_usage(self, mark: dt.datetime) -> DataFrame:
+        """Usage loaded after ``mark``; older load days are not read."""
+        stored = self.spark.read.parquet(self.tables.folder("tf_billing_usage"))
+        recent = stored.filter(F.col(LOAD_DAY) >= F.lit(mark.date()))
+        return inc.incremental(recent, silver.LOAD, mark).drop(LOAD_DAY)
+
+    def serving(self) -> DataFrame:
+        return self.spark.read.parquet(self.tables.folder("tf_serving_usage"))
 
     # -- steps -------------------------------------------------------------
 
     def run_streams(self) -> None:
         """Append facts and fold every change feed."""
         running = {}
-        usage = silver.usage_fact(self._stream("billing_usage"))
+        usage = silver.usage_fact(self._stream("billing_usage")).withColumn(LOAD_DAY, F.to_date(silver.LOAD))
         running["tf_billing_usage"] = flows.append_flow(
-            usage, self.tables.folder("tf_billing_usage"), self._checkpoint("tf_billing_usage"))
+            usage, self.tables.folder("tf_billing_usage"), self._checkpoint("tf_billing_usage"), [LOAD_DAY])
         serving = silver.source_view(self._stream("serving_endpoint_usage"), silver.SERVING_USAGE)
         running["tf_serving_usage"] = flows.append_flow(
-            serving, self.tables.folder("tf_serving_usage"), self._checkpoint("tf_serving_usage"))
+            serving.withColumn(REQUEST_DAY, F.to_date("request_dt")), self.tables.folder("tf_serving_usage"),
+            self._checkpoint("tf_serving_usage"), [REQUEST_DAY])
         history = silver.source_view(self._stream("query_history"), silver.QUERY_HISTORY)
         running["tf_query_history"] = flows.scd1_by_day_flow(
             history.withColumn("start_day_dt", F.to_date("start_dt")), self.tables, "tf_query_history",
@@ -168,28 +207,38 @@ class Daily:
         self.tables.replace(
             "tr_dbx_user_security", ids.merge_visibility(self.current("tr_dbx_user_security"), pairs))
 
-    def run_cost(self) -> list[dt.date]:
-        """Price what arrived since the stored mark; return the usage days that changed.
+    def run_cost(self) -> None:
+        """Price what arrived since the stored mark.
 
-        The mark moves last, so a run that stops half-way is repeated in full.
+        The mark moves last, so a run that stops half-way is repeated in full, and folding the
+        same lines again changes nothing.
         """
         prices = costing.merge_prices(
             self.current("td_billing_list_price"), self.snapshot("billing_list_prices"))
         prices = self.tables.replace("td_billing_list_price", prices)
         marks = self.current("_marks")
         mark = inc.stored_mark(marks, "tf_billing_cost")
-        arrived = inc.incremental(self.usage(), silver.LOAD, mark)
-        fresh = costing.costed(silver.dedupe_usage(arrived), prices, self.currency)
-        days = touched_days(arrived, costing.COST_DAY)
-        if not days:
-            return []
-        stored = self.tables.days("tf_billing_cost", costing.COST_DAY, days)
-        merged = fresh if stored is None else costing.merge_cost(stored, fresh)
-        self.tables.overwrite_days("tf_billing_cost", merged, costing.COST_DAY)
-        changed = touched_days(arrived, "usage_dt")
-        self.tables.replace(
-            "_marks", inc.upsert_mark(marks, "tf_billing_cost", inc.next_mark(arrived, silver.LOAD, mark)))
-        return changed
+        arrived = self.arrived_usage(mark).persist()
+        try:
+            days = touched_days(arrived, costing.COST_DAY)
+            if not days:
+                return
+            self.expected("tf_billing_usage", arrived, silver.USAGE_RULES)
+            fresh = costing.costed(silver.dedupe_usage(arrived), prices, self.currency)
+            stored = self.tables.days("tf_billing_cost", costing.COST_DAY, days)
+            merged = fresh if stored is None else costing.merge_cost(stored, fresh)
+            self.tables.overwrite_days("tf_billing_cost", merged, costing.COST_DAY)
+            self.tables.replace(
+                "_marks", inc.upsert_mark(marks, "tf_billing_cost", inc.next_mark(arrived, silver.LOAD, mark)))
+        finally:
+            arrived.unpersist()
+
+    def expected(self, table: str, rows: DataFrame, rules: dict[str, str]) -> None:
+        """Add what ``rows`` break of ``rules`` to the table of expectations; no row is dropped."""
+        found = expectation_report(rows, rules).select(
+            F.lit(table).alias("table_name"), "rule_lb", "checked_nb", "failed_nb", F.current_timestamp().alias(silver.LOAD))
+        known = self.tables.read("_expectations")
+        self.tables.replace("_expectations", found if known is None else known.unionByName(found))
 
     def _dimensions(self) -> dict[str, DataFrame]:
         names = [*DIMENSION_TABLES.values(), *[f"td_billing_{s.name}" for s in silver.BILLING_ENTITIES]]
@@ -197,7 +246,7 @@ class Daily:
         return {n: df for n, df in found.items() if df is not None}
 
     def run_resources(self) -> None:
-        """Resources, tag keys and the tag grid."""
+        """Resources, tag keys and the tags that resources carry; the dense grid is made when it is read."""
         dims = self._dimensions()
         unified = res.unify_resources({**dims, "td_workspace": self.current("td_workspace")})
         resources = self.tables.replace("td_resource", res.merge_resources(self.current("td_resource"), unified))
@@ -205,8 +254,7 @@ class Daily:
         keys = self.tables.replace(
             "td_tag_key", res.merge_tag_keys(self.current("td_tag_key"), tags.tag_keys(maps)))
         held = tags.resource_labels(tags.attach_resource(maps, resources), keys)
-        grid = tags.tag_bridge(resources, keys, held)
-        self.tables.replace("tr_resource_tag", res.merge_bridge(self.current("tr_resource_tag"), grid))
+        self.tables.replace("tr_resource_tag", res.merge_bridge(self.current("tr_resource_tag"), held))
 
     def run_attribution(self, days: list[dt.date] | None = None) -> None:
         """Recompute attributed cost for the given usage days (default: all). A late
@@ -215,44 +263,60 @@ class Daily:
         def of_days(df: DataFrame, column: str) -> DataFrame:
             return df if days is None else df.filter(F.col(column).isin(days))
 
-        cost = of_days(self.tables.read("tf_billing_cost"), "usage_dt")
-        history = self.tables.read("tf_query_history")
+        cost = self.tables.read("tf_billing_cost")
+        if cost is None:
+            return
+        cost = of_days(cost, "usage_dt")
+        history = self.tables.read("tf_query_history") if days is None else self.tables.days("tf_query_history", "start_day_dt", days)
         if history is not None:
-            queries = costing.query_attribution(
-                of_days(history, "start_day_dt").drop("start_day_dt"), costing.warehouse_pool(cost))
-            self.tables.overwrite_days("mvf_query_cost_attribution", queries, "usage_dt")
-        usage = self.spark.read.parquet(self.tables.folder("tf_serving_usage"))
-        usage = of_days(usage.withColumn("__day", F.to_date("request_dt")), "__day").drop("__day")
+            queries = costing.query_attribution(history.drop("start_day_dt"), costing.warehouse_pool(cost))
+            self.tables.overwrite_days("mvf_query_cost_attribution", queries, "usage_dt", days)
+        usage = of_days(self.serving(), REQUEST_DAY).drop(REQUEST_DAY)
         requests = costing.serving_attribution(
             usage, self.tables.read("td_serving_entity"), costing.endpoint_pool(cost))
-        self.tables.overwrite_days("mvf_serving_cost_attribution", requests, "usage_dt")
-
-    def changed_query_days(self, since: dt.datetime) -> list[dt.date]:
-        """Days with statements or requests loaded after ``since``."""
-        history = self.tables.read("tf_query_history")
-        found = set()
-        if history is not None:
-            found.update(touched_days(inc.incremental(history, silver.LOAD, since), "start_day_dt"))
-        usage = self.spark.read.parquet(self.tables.folder("tf_serving_usage"))
-        late = inc.incremental(usage, silver.LOAD, since).withColumn("__day", F.to_date("request_dt"))
-        found.update(touched_days(late, "__day"))
-        return sorted(d for d in found if d is not None)
-
-    def run(self) -> None:
+        self.tables.overwrite_days("mvf_serving_cost_attribution", requests, "usage_dt", days)
+
+    def _attributed_from(self) -> dict[str, DataFrame]:
+        """The tables that attribution reads, by name."""
+        names = ["tf_billing_cost", "tf_query_history", "td_serving_entity"]
+        found = {n: df for n in names if (df := self.tables.read(n)) is not None}
+        return {**found, "tf_serving_usage": self.serving()}
+
+    def stale_days(self, since: dt.datetime) -> list[dt.date]:
+        """Usage days whose shares may have changed after ``since``: days with cost lines, statements
+        or requests loaded since, and days of requests whose served entity was."""
+        read = self._attributed_from()
+        late = {n: inc.incremental(df, silver.LOAD, since) for n, df in read.items()}
+        return sorted(changed_days(
+            read["tf_serving_usage"], late["tf_serving_usage"], late.get("tf_billing_cost"), late.get("tf_query_history"),
+            late.get("td_serving_entity")))
+
+    def run_stale_attribution(self) -> None:
+        """Recompute the stale days. The mark is the newest load time read, and moves last."""
         marks = self.current("_marks")
         since = inc.stored_mark(marks, "attribution")
-        started = self.spark.range(1).select(F.current_timestamp()).first()[0]
+        reached = [inc.high_water_mark(df, silver.LOAD) for df in self._attributed_from().values()]
+        days = self.stale_days(since)
+        if not days:
+            return
+        self.run_attribution(days)
+        value = self.spark.range(1).select(F.lit(max(reached)).cast("timestamp").alias("last_processed_dt"))
+        self.tables.replace("_marks", inc.upsert_mark(marks, "attribution", value))
+
+    def run(self, full: bool = False) -> None:
+        """All steps. ``full`` reads everything that ever landed into a new generation."""
+        if full:
+            self._use(self.generation + 1)
         self.run_streams()
         self.run_workspaces()
         self.run_identities()
         self.run_visibility()
-        cost_days = self.run_cost()
+        self.run_cost()
         self.run_resources()
-        days = sorted(set(cost_days) | set(self.changed_query_days(since)))
-        if days:
-            self.run_attribution(days)
-        value = self.spark.range(1).select(F.lit(started).alias("last_processed_dt"))
-        self.tables.replace("_marks", inc.upsert_mark(self.current("_marks"), "attribution", value))
+        self.run_stale_attribution()
+        if full:
+            now = self.spark.range(1).select(F.lit(self.generation).alias("generation_nb"))
+            self._generations.replace("current", now)
 
     # -- reporting ---------------------------------------------------------
 
@@ -267,7 +331,7 @@ class Daily:
             "vd_pbi_tag_key": gold.tag_key_dim(read("td_tag_key")),
             "vd_pbi_serving_entity": gold.serving_entity_dim(entities),
             "vd_pbi_dbx_group": gold.group_dim(read("td_dbx_group")),
-            "vr_pbi_resource_tag": gold.resource_tag_bridge(read("tr_resource_tag")),
+            "vr_pbi_resource_tag": gold.resource_tag_grid(read("tr_resource_tag"), resources, read("td_tag_key")),
             "vr_pbi_dbx_group_member": gold.group_member_bridge(read("tr_dbx_group_member")),
             "vr_pbi_dbx_user_security": gold.visibility_bridge(read("tr_dbx_user_security")),
             "vf_pbi_billing_cost": gold.billing_cost_fact(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import rules
 from ..functions.labels import blank_to, environment, environment_order, gigabytes, type_label, yes_no
 from ..operators.keys import resolve_fk
+from ..operators.tags import tag_bridge
 
 AUDIT = ["sys_create_dt", "sys_update_dt"]
 
@@ -70,6 +71,13 @@ def resource_tag_bridge(bridge: DataFrame) -> DataFrame:
     return _pick(real, "resource_id", "tag_key_id", "tag_value_lb", *AUDIT)
 
 
+def resource_tag_grid(carried: DataFrame, resources: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every resource with every tag key, from the tags that are carried; where none is, the audit times are missing."""
+    grid = tag_bridge(resources, keys, carried)
+    stamps = carried.select("resource_id", "tag_key_id", *AUDIT)
+    return grid.join(stamps, ["resource_id", "tag_key_id"], "left").select("resource_id", "tag_key_id", "tag_value_lb", *AUDIT)
+
+
 def group_member_bridge(edges: DataFrame) -> DataFrame:
     """Ended memberships are shown as such, not hidden."""
     return _pick(

@@ -20,19 +20,13 @@ def month_start(day: str = "usage_dt") -> Column:
     return F.trunc(day, "MM").cast("date")
 
 
-def matrix(df: DataFrame, rows: Sequence[str], cols: str, value: str, values: Sequence) -> DataFrame:
-    """Rows by columns with summed cells. The column list is given, which spares the scan
-    Spark would otherwise make to find it."""
-    return df.groupBy(*rows).pivot(cols, list(values)).agg(F.sum(value))
-
-
-def column_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct values for a matrix axis, in order. More than ``limit`` is an error: a
-    table that wide is not a report."""
-    found = [r[0] for r in df.select(column).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return sorted(v for v in found if v is not None)
+def matrix(df: DataFrame, rows: Sequence[str], cols: str, value: str) -> DataFrame:
+    """Rows by columns with summed cells; the columns are all values that ``cols`` has.
+
+    Cells are summed first, so finding the axis and turning it read the small table only.
+    """
+    cells = df.groupBy(*rows, cols).agg(F.sum(value).alias("__cell"))
+    return cells.groupBy(*rows).pivot(cols).agg(F.first("__cell", ignorenulls=True))
 
 
 def resource_detail(fact: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.labels import flag, map_or_json, with_nested_text
 from ..operators.allocation import statement_weight
-from ..operators.compare import any_null
+from ..operators.compare import any_null, row_hash
 from ..operators.latest import latest
 from ..schemas import dimension_sentinels
 
@@ -315,9 +315,25 @@ SERVING_RULES = {
 }
 
 
+LINE_KEYS = ("account_cd", "workspace_cd", "record_cd", "ingestion_dt")
+LINE = "line_cd"
+
+
 def dedupe_usage(usage: DataFrame, load: str = LOAD) -> DataFrame:
-    """One row per billing record, the latest load."""
-    return latest(usage, ["record_cd"], load, ["ingestion_dt"])
+    """The latest load of every billing line, with the line's identity in ``line_cd``.
+
+    A line is known by account, workspace, record and ingestion day. Where one of these is
+    missing nothing can tell whether it was sent before, so the line stays whatever else
+    arrived: its identity is its load time, its content and, for equal lines of one load, a
+    number. The load time is stored with the usage, so a repeated step finds the same
+    identities.
+    """
+    keys = list(LINE_KEYS)
+    whole = usage.filter(~any_null(keys))
+    partial = usage.filter(any_null(keys)).withColumn("__same", row_hash(usage))
+    copy = F.row_number().over(Window.partitionBy("__same").orderBy(F.lit(0)))
+    named = partial.withColumn(LINE, F.concat_ws("-", F.col("__same").cast("string"), copy.cast("string"))).drop("__same")
+    return latest(whole, keys, load).withColumn(LINE, F.lit("")).unionByName(named)
 
 
 def price_view(landed: DataFrame) -> DataFrame:

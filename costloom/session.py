@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings a cluster session should carry. Adaptive execution does three jobs
@@ -38,9 +36,8 @@ def build_session(app: str = "costloom", master: str | None = None, **conf) -> S
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the context at the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost with the executor or driver, so an unset
-    value is an error there.
+    Where it is unset, a folder in the warehouse serves, which all executors reach as
+    well: never one that a single machine holds.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -48,8 +45,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="costloom-checkpoint-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     context.setCheckpointDir(shared)
     return shared

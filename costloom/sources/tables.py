@@ -3,7 +3,9 @@
 Two shapes. A *versioned* table is rewritten whole: each version is its own folder,
 and the newest folder Spark marked as complete is the current one, so readers never
 see half a write and a crashed write is simply not current. A *daily* table is
-partitioned by a date and only the days a batch touches are replaced.
+partitioned by a date and only the days a batch touches are replaced: they are written
+to the folder of a new load, and a small manifest, which says for every day which load
+holds it, makes them current at once. A write that stops half-way changes nothing.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 _VERSION = re.compile(r"^version-(\d+)$")
-_SCHEMA = "schema.json"
+_MANIFEST = re.compile(r"^manifest-(\d+)\.json$")
+_LOAD = "load_nb"
 
 
 class Tables:
@@ -53,18 +56,14 @@ class Tables:
         return sorted(found)
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name)) or self._is_file(name, "days")
+        return bool(self.versions(name)) or self._manifest(name)[0] > 0
 
     def read(self, name: str, before: int | None = None) -> DataFrame | None:
         """Current content; ``before`` limits to versions below a number. None if there is none."""
         known = [v for v in self.versions(name) if before is None or v < before]
         if known:
             return self.spark.read.parquet(f"{self.folder(name)}/version-{known[-1]:08d}")
-        if before is None and self._is_file(name, "days"):
-            reader = self.spark.read
-            schema = self._stored_schema(name)
-            return (reader.schema(schema) if schema else reader).parquet(f"{self.folder(name)}/days")
-        return None
+        return self._read_days(name) if before is None else None
 
     def replace(self, name: str, df: DataFrame, version: int | None = None) -> DataFrame:
         """Write a new version and return it as read back.
@@ -82,52 +81,75 @@ class Tables:
 
     # -- daily tables ------------------------------------------------------
 
-    def _stored_schema(self, name: str) -> T.StructType | None:
-        path = self._path(name, _SCHEMA)
+    def _manifest(self, name: str) -> tuple[int, dict]:
+        """Number and content of the newest manifest: its schema, and the load of every day's folder."""
+        path = self._path(name)
         fs = self._fs(path)
-        if not fs.exists(path):
-            return None
-        text = self.spark.read.text(path.toString(), wholetext=True).first()[0]
-        return T.StructType.fromJson(json.loads(text))
-
-    def _store_schema(self, name: str, schema: T.StructType) -> None:
-        path = self._path(name, _SCHEMA)
-        stream = self._fs(path).create(path, True)
+        numbers = [int(m.group(1)) for f in (fs.listStatus(path) if fs.exists(path) else [])
+                   if (m := _MANIFEST.match(f.getPath().getName()))]
+        if not numbers:
+            return 0, {"days": {}}
+        newest = max(numbers)
+        text = self.spark.read.text(f"{self.folder(name)}/manifest-{newest:08d}.json", wholetext=True).first()[0]
+        return newest, json.loads(text)
+
+    def _publish(self, name: str, number: int, content: dict) -> None:
+        """Write a manifest aside and rename it, which is one step of the file system."""
+        aside, final = self._path(name, f".manifest-{number:08d}.tmp"), self._path(name, f"manifest-{number:08d}.json")
+        fs = self._fs(aside)
+        stream = fs.create(aside, True)
         try:
-            stream.write(bytearray(schema.json(), "utf-8"))
+            stream.write(bytearray(json.dumps(content), "utf-8"))
         finally:
             stream.close()
+        if not fs.rename(aside, final):
+            raise RuntimeError(f"{name}: another writer published load {number}")
+
+    def _read_days(self, name: str, wanted: set[str] | None = None) -> DataFrame | None:
+        number, content = self._manifest(name)
+        if not number:
+            return None
+        schema = T.StructType.fromJson(content["schema"])
+        paths = [f"{self.folder(name)}/loads/{_LOAD}={load}/{folder}" for folder, load in sorted(content["days"].items())
+                 if wanted is None or folder in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema.add(_LOAD, T.IntegerType()))
+        return reader.option("basePath", f"{self.folder(name)}/loads").parquet(*paths).drop(_LOAD)
 
-    def overwrite_days(self, name: str, df: DataFrame, day: str) -> DataFrame:
-        """Replace exactly the days ``df`` holds.
+    def overwrite_days(self, name: str, df: DataFrame, day: str, days: Sequence | None = None) -> DataFrame:
+        """Replace the days ``df`` holds, and those of ``days`` that it holds no more.
 
         The rebalance step sizes files evenly and splits a day that is much larger than
-        the rest. The schema is kept next to the data: files written before a column
+        the rest. The schema is kept in the manifest: files written before a column
         or metadata field appeared read it as NULL without a scan of all footers.
         """
         from ..operators.merge import union_type
 
-        known = self._stored_schema(name)
+        number, content = self._manifest(name)
         columns = [c for c in df.columns if c != day] + [day]
         schema = df.select(*columns).schema
-        if known is not None:
-            schema = union_type(known, schema)
+        if number:
+            schema = union_type(T.StructType.fromJson(content["schema"]), schema)
             names = [f.name for f in schema.fields if f.name != day] + [day]
             schema = T.StructType([schema[n] for n in names])
-        (
-            df.select(*columns).hint("rebalance", day)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(day).parquet(f"{self.folder(name)}/days")
-        )
-        self._store_schema(name, T.StructType([T.StructField(f.name, f.dataType, True) for f in schema]))
+        target = f"{self.folder(name)}/loads/{_LOAD}={number + 1}"
+        df.select(*columns).hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(target)
+        path = self._path(name, "loads", f"{_LOAD}={number + 1}")
+        written = [f.getPath().getName() for f in self._fs(path).listStatus(path) if f.isDirectory()]
+        emptied = {f"{day}={d}" for d in days or () if d is not None}
+        held = {k: v for k, v in content["days"].items() if k not in emptied}
+        held |= {folder: number + 1 for folder in written if not folder.startswith("_")}
+        open_ = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+        self._publish(name, number + 1, {"schema": open_.jsonValue(), "days": held})
         return self.read(name)
 
     def days(self, name: str, day: str, wanted: Sequence) -> DataFrame | None:
         """The stored rows of some days; only their folders are read."""
-        stored = self.read(name)
-        return None if stored is None else stored.filter(F.col(day).isin(list(wanted)))
+        return self._read_days(name, {f"{day}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in wanted})
 
 
 def touched_days(df: DataFrame, day: str) -> list:
-    """Distinct days of a batch. Bounded by the calendar, so it may be collected."""
+    """Distinct days of a batch: one folder of the table each, so the list is as long as the
+    table has folders."""
     return [r[0] for r in df.select(day).distinct().collect()]

@@ -27,10 +27,10 @@ def _run(source: DataFrame, fold: Callable[[DataFrame, int], None], checkpoint:
     )
 
 
-def append_flow(source: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def append_flow(source: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Stateless append to a Parquet folder."""
     return (
-        source.writeStream.format("parquet").outputMode("append")
+        source.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
         .option("path", target).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -149,5 +149,7 @@ def second_day(spark, root):
     ], "b")
     land(spark, root, "lakeflow_jobs", [job("j1", "one again", 5, deleted=h(5)), job("j1", "late", -3)], "b")
     land(spark, root, "query_history", [statement("s2", 8000, update=3), statement("s6", 2000, status="FAILED")], "b")
-    land(spark, root, "access_workspaces", [workspace("w1", "core-prod")], "a")
-    land(spark, root, "account_groups", [group("g1", ["Users/u1"]), group("g2", ["Users/u2"])], "a")
+    land(spark, root, "billing_list_prices", [
+        price(dt.datetime(2024, 1, 1), None, "0.5", "0.4"), price(dt.datetime(2024, 1, 1), None, "9", None, "EUR")], "b")
+    land(spark, root, "access_workspaces", [workspace("w1", "core-prod")], "b")
+    land(spark, root, "account_groups", [group("g1", ["Users/u1"]), group("g2", ["Users/u2"])], "b")

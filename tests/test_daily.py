@@ -106,6 +106,83 @@ def test_rerun_without_news_changes_nothing(daily):
     assert rows(daily.tables.read("tf_billing_cost").drop("custom_tags")) == cost
 
 
+def shares(daily):
+    return ({r.statement_cd: r.attributed_cost_usd for r in daily.gold()["vf_pbi_query_cost"].collect()},
+            {r.databricks_request_cd: r.attributed_cost_usd for r in daily.gold()["vf_pbi_serving_cost"].collect()})
+
+
+def lines(daily):
+    return rows(daily.tables.read("tf_billing_cost"), "account_cd", "workspace_cd", "record_cd", "ingestion_dt", "line_cost_usd")
+
+
+def test_lines_without_a_key_part_are_kept_once(daily, spark):
+    before = len(lines(daily))
+    odd = {"meta": {"warehouse_id": "wh1"}}
+    landing.land(spark, daily.landed, "billing_usage", [
+        landing.usage(None, **odd), landing.usage(None, **odd), landing.usage("n1", workspace_id=None, **odd),
+        landing.usage("r1", account_id="other", **odd)], "c")
+    daily.run()
+    kept = lines(daily)
+    assert len(kept) == before + 4
+    marks = daily.current("_marks")
+    daily.tables.replace("_marks", marks.filter("table_name <> 'tf_billing_cost'"))
+    daily.run_cost()
+    assert lines(daily) == kept
+    broken = daily.tables.read("_expectations").filter("rule_lb = 'record_id not null' and failed_nb > 0")
+    assert {r.failed_nb for r in broken.collect()} == {2}
+
+
+def test_a_failure_in_attribution_is_made_good(daily, spark, monkeypatch):
+    landing.land(spark, daily.landed, "billing_usage", [landing.usage("big", meta={"warehouse_id": "wh1"}, usage_quantity=100.0)], "d")
+    monkeypatch.setattr(daily, "run_attribution", lambda days: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run()
+    monkeypatch.undo()
+    daily.run()
+    seen = shares(daily)
+    daily.run_attribution()
+    assert shares(daily) == seen
+
+
+def test_a_late_entity_is_charged(daily, spark):
+    landing.land(spark, daily.landed, "serving_endpoint_usage", [landing.request("q9", "late", 40)], "e")
+    daily.run()
+    assert "q9" not in shares(daily)[1]
+    landing.land(spark, daily.landed, "serving_served_entities", [landing.entity("late", "ep1")], "e")
+    daily.run()
+    seen = shares(daily)
+    assert seen[1]["q9"] > 0
+    daily.run_attribution()
+    assert shares(daily) == seen
+
+
+def test_a_write_that_stops_changes_nothing(daily, monkeypatch):
+    before = lines(daily)
+    daily.tables.replace("_marks", daily.current("_marks").filter("table_name <> 'tf_billing_cost'"))
+    monkeypatch.setattr(daily.tables, "_publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run_cost()
+    monkeypatch.undo()
+    assert lines(daily) == before
+    daily.run_cost()
+    assert lines(daily) == before
+
+
+def test_full_refresh_ends_in_the_same_facts(daily, spark):
+    fresh = Daily(spark, daily.landed, daily.root)
+    before, charged = lines(daily), shares(daily)
+    fresh.run(full=True)
+    assert fresh.generation == 2 == Daily(spark, daily.landed, daily.root).generation
+    assert lines(fresh) == before and shares(fresh) == charged
+
+
+def test_days_are_read_from_their_own_folders(daily):
+    plan = daily.tables.days("tf_billing_cost", "ingestion_dt", [landing.D])._jdf.queryExecution().executedPlan().toString()
+    assert "1 paths" in plan
+    late = daily.arrived_usage(landing.NOON)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_day_dt" in late
+
+
 def test_views_answer_sql(daily, spark):
     daily.register_views()
     total = spark.sql("select sum(line_cost_usd) from vf_pbi_billing_cost").first()[0]

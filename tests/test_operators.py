@@ -278,11 +278,10 @@ def pool(frame):
         (T0.date(), "a", 100.0), (T0.date(), "b", 50.0), (T0.date(), "idle", 9.0)])
 
 
-@pytest.mark.parametrize("form", ["join", "window"])
-def test_allocation_edges(frame, form):
-    out = allocate(items(frame), pool(frame), ["day", "wh"], "w", exempt=F.col("cached") == 1, form=form)
+def test_allocation_edges(frame):
+    out = allocate(items(frame), pool(frame), ["day", "wh"], "w", exempt=F.col("cached") == 1)
     assert {r.n: r.attributed_cost_usd for r in out.collect()} == {1: 75.0, 2: 25.0, 3: 0.0, 4: 0.0, 5: None}
-    even = allocate(items(frame), pool(frame), ["day", "wh"], "w", even_split=True, no_pool=0, form=form, count_as="n_nb")
+    even = allocate(items(frame), pool(frame), ["day", "wh"], "w", even_split=True, no_pool=0, count_as="n_nb")
     got = {r.n: (r.attributed_cost_usd, r.n_nb) for r in even.collect()}
     assert got == {1: (75.0, 3), 2: (25.0, 3), 3: (0.0, 3), 4: (50.0, 1), 5: (0.0, 1)}
 
@@ -456,6 +455,14 @@ def test_percentile_is_exact(frame, p):
     assert total == pytest.approx(np.percentile([v for _, v in data], p * 100), rel=1e-12, abs=1e-6)
 
 
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.9, 1.0])
+def test_percentile_keeps_fractions(frame, p):
+    rnd = random.Random(2)
+    data = [rnd.choice([0.25, -0.75, rnd.uniform(-3, 3), rnd.uniform(-1e12, 1e12)]) for _ in range(500)]
+    got = ranking.percentile_inc(frame("v double", [(v,) for v in data]), "v", p, out="x").first().x
+    assert got == pytest.approx(np.percentile(data, p * 100), rel=1e-12, abs=1e-9)
+
+
 def test_share(frame):
     df = frame("g string, n string, v double", [("a", "x", 1.0), ("a", "y", 3.0), (None, "z", 0.0)])
     assert rows(ranking.share(df, "v", ["g"]), "n", "share_nb") == [("x", 0.25), ("y", 0.75), ("z", None)]

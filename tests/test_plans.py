@@ -195,13 +195,11 @@ def test_every_measure_computes(frame, spark):
     assert q.failed_statement_rate == 0.5 and q.queue_time_share == 100 / 400000
 
 
-def test_matrix_and_column_values(frame):
-    df = frame("r string, c string, v double", [("x", "b", 1.0), ("x", "a", 2.0), ("y", "a", 3.0)])
-    axis = reports.column_values(df, "c")
-    assert axis == ["a", "b"]
-    assert rows(reports.matrix(df, ["r"], "c", "v", axis)) == [("x", 2.0, 1.0), ("y", 3.0, None)]
-    with pytest.raises(ValueError):
-        reports.column_values(df, "c", limit=1)
+def test_matrix_has_every_value(frame):
+    df = frame("r string, c string, v double", [("x", "b", 1.0), ("x", "a", 2.0), ("y", "a", 3.0), ("x", "a", 0.5), ("y", None, 4.0)])
+    out = reports.matrix(df, ["r"], "c", "v")
+    assert set(out.columns) == {"r", "a", "b", "null"}
+    assert rows(out, "r", "a", "b", "null") == [("x", 2.5, 1.0, None), ("y", 3.0, None, 4.0)]
 
 
 def test_shared_resources_count_once_per_cell(frame):

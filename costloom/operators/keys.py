@@ -56,6 +56,20 @@ def fill_keys(dim: DataFrame, natural_key: Sequence[str], id_col: str, start: in
     return kept.unionByName(fresh)
 
 
+def with_new_keys(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], id_col: str) -> DataFrame:
+    """``source`` with a fresh ``id_col`` on rows that ``dim`` lacks, NULL on the others, ready to
+    be merged into ``dim``.
+
+    Only the dimension's keys are read for this, so the merge that follows is the only pass
+    over whole rows. As in the merge, a NULL key part matches nothing.
+    """
+    keys = dim.select(*natural_key)
+    known = source.join(keys, list(natural_key), "left_semi").withColumn(id_col, F.lit(None).cast("bigint"))
+    new = source.join(keys, list(natural_key), "left_anti")
+    numbered = assign_keys(new.withColumn(id_col, F.lit(None)), natural_key, id_col, highest_key(dim, id_col))
+    return known.unionByName(numbered)
+
+
 STAMPS = ("create_dt", "change_time", "sys_create_dt", "sys_update_dt", "sys_load_dt")
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import cdc, incremental as inc
-from ..operators.keys import fill_keys, highest_key
+from ..operators.keys import with_new_keys
 from ..operators.latest import latest
 from ..operators.merge import merge
 from . import identities as ids
@@ -58,12 +58,11 @@ def merge_entities(dim: DataFrame, landed: DataFrame, spec: BillingEntity) -> Da
     guard = [c for c in ("product_lb", spec.label[0] if spec.label else None, spec.owner, "tags")
              if c and c in dim.columns]
     now = F.current_timestamp()
-    merged = merge(
-        dim, found, spec.keys, guard=guard,
+    return merge(
+        dim, with_new_keys(found, dim, spec.keys, spec.id_col), spec.keys, guard=guard,
         update={**{c: F.col(f"s.{c}") for c in guard}, "sys_update_dt": now},
         insert={"sys_create_dt": now, "sys_update_dt": now},
     )
-    return fill_keys(merged, spec.keys, spec.id_col, highest_key(dim, spec.id_col))
 
 
 def merge_workspaces(dim: DataFrame, rows: DataFrame) -> DataFrame:

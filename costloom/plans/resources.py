@@ -9,10 +9,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import flag
-from ..operators.keys import fill_keys, highest_key, real_rows
+from ..operators.keys import real_rows, with_new_keys
 from ..operators.latest import latest
 from ..operators.merge import merge
 from ..operators.tags import tagged
+from ..session import ensure_checkpoint_dir
 
 RESOURCE_KEYS = ["account_cd", "workspace_cd", "source_cd", "resource_type_lb"]
 RESOURCE_GUARD = ["region_lb", "display_name_lb", "owned_by_cd", "is_active_fl"]
@@ -155,27 +156,29 @@ def unify_resources_earlier(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def merge_resources(resources: DataFrame, unified: DataFrame) -> DataFrame:
-    """Upsert; surrogates of known resources stay, new ones are numbered after the highest."""
+    """Upsert; surrogates of known resources stay, new ones are numbered after the highest.
+
+    The union of all branches is read several times, so it is written to the checkpoint folder once."""
+    ensure_checkpoint_dir(unified.sparkSession)
+    unified = unified.checkpoint()
     now = F.current_timestamp()
-    merged = merge(
+    return merge(
         resources,
-        unified,
+        with_new_keys(unified, resources, RESOURCE_KEYS, "resource_id"),
         RESOURCE_KEYS,
         guard=RESOURCE_GUARD,
         update={**{c: F.col(f"s.{c}") for c in RESOURCE_GUARD}, "sys_update_dt": now},
         insert={"sys_create_dt": now, "sys_update_dt": now},
     )
-    return fill_keys(merged, RESOURCE_KEYS, "resource_id", highest_key(resources, "resource_id"))
 
 
 def merge_tag_keys(keys: DataFrame, found: DataFrame) -> DataFrame:
     """Insert tag keys not known yet, compared without regard to case."""
     now = F.current_timestamp()
     fold = lambda df: df.withColumn("__u", F.upper("tag_key_cd"))
-    merged = merge(
-        fold(keys), fold(found), ["__u"], insert={"sys_create_dt": now, "sys_update_dt": now}
-    ).drop("__u")
-    return fill_keys(merged, ["tag_key_cd"], "tag_key_id", highest_key(keys, "tag_key_id"))
+    known = fold(keys)
+    fresh = with_new_keys(fold(found.drop("tag_key_id")), known, ["__u"], "tag_key_id")
+    return merge(known, fresh, ["__u"], insert={"sys_create_dt": now, "sys_update_dt": now}).drop("__u")
 
 
 def merge_bridge(bridge: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -469,6 +469,13 @@ def test_share(frame):
     assert rows(ranking.share(df, "v"), "n", "share_nb") == [("x", 0.25), ("y", 0.75), ("z", 0.0)]
 
 
+def test_keyed_merge_joins_whole_rows_once(spark):
+    from checks import queries as q
+
+    plan = q.QUERIES["merge_resources"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1
+
+
 # ---- expectations ----------------------------------------------------------
 
 def test_expectations_count_and_keep(frame):

@@ -76,6 +76,14 @@ DIMENSION_TABLES = {
 }
 
 
+def _usage_rows(landed: DataFrame) -> DataFrame:
+    return silver.usage_fact(landed).withColumn(LOAD_DAY, F.to_date(silver.LOAD))
+
+
+def _serving_rows(landed: DataFrame) -> DataFrame:
+    return silver.source_view(landed, silver.SERVING_USAGE).withColumn(REQUEST_DAY, F.to_date("request_dt"))
+
+
 def changed_days(requests: DataFrame, late_requests: DataFrame, late_cost: DataFrame | None = None,
                  late_statements: DataFrame | None = None, late_entities: DataFrame | None = None) -> set[dt.date]:
     """Days whose shares change through late rows; a late entity touches every day it has requests on."""
@@ -137,45 +145,39 @@ class Daily:
 
     def arrived_usage(self, mark: dt.datetime) -> DataFrame:
         """Usage loaded after ``mark``; older load days are not read."""
-        stored = self.spark.read.parquet(self.tables.folder("tf_billing_usage"))
+        stored = self._appended("tf_billing_usage", "billing_usage", _usage_rows)
         recent = stored.filter(F.col(LOAD_DAY) >= F.lit(mark.date()))
         return inc.incremental(recent, silver.LOAD, mark).drop(LOAD_DAY)
 
     def serving(self) -> DataFrame:
-        return self.spark.read.parquet(self.tables.folder("tf_serving_usage"))
+        return self._appended("tf_serving_usage", "serving_endpoint_usage", _serving_rows).drop(flows.BATCH)
+
+    def _appended(self, name: str, landed: str, rows: flows.Prepare) -> DataFrame:
+        schema = rows(self.spark.createDataFrame([], self.landed_schemas[landed])).schema
+        return flows.read_appended_batches(self.spark, self.tables.folder(name), schema)
 
     # -- steps -------------------------------------------------------------
 
     def run_streams(self) -> None:
-        """Append facts and fold every change feed."""
-        running = {}
-        usage = silver.usage_fact(self._stream("billing_usage")).withColumn(LOAD_DAY, F.to_date(silver.LOAD))
-        running["tf_billing_usage"] = flows.append_flow(
-            usage, self.tables.folder("tf_billing_usage"), self._checkpoint("tf_billing_usage"), [LOAD_DAY])
-        serving = silver.source_view(self._stream("serving_endpoint_usage"), silver.SERVING_USAGE)
-        running["tf_serving_usage"] = flows.append_flow(
-            serving.withColumn(REQUEST_DAY, F.to_date("request_dt")), self.tables.folder("tf_serving_usage"),
-            self._checkpoint("tf_serving_usage"), [REQUEST_DAY])
+        """Append facts and fold every change feed: one stream for each landed table, whatever it feeds."""
         history = silver.source_view(self._stream("query_history"), silver.QUERY_HISTORY)
-        running["tf_query_history"] = flows.scd1_by_day_flow(
+        running = {"query_history": flows.scd1_by_day_flow(
             history.withColumn("start_day_dt", F.to_date("start_dt")), self.tables, "tf_query_history",
-            silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, "start_day_dt",
-            self._checkpoint("tf_query_history"))
-        for spec in silver.CHANGE_FED:
-            name = DIMENSION_TABLES[spec.table]
-            feed = silver.source_view(self._stream(spec.table), spec)
-            running[name] = flows.scd1_flow(
-                feed, self.tables, name, spec.keys, spec.seq, self._checkpoint(name), id_col=spec.id_col,
-                seed=lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col))
-            running[f"{name}_history"] = flows.scd2_flow(
-                silver.source_view(self._stream(spec.table), spec), self.tables, f"{name}_history",
-                spec.keys, spec.seq, self._checkpoint(f"{name}_history"))
+            silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, "start_day_dt", self._checkpoint("query_history"))}
+        folds = {"billing_usage": [flows.append_fold(_usage_rows, self.tables.folder("tf_billing_usage"), [LOAD_DAY])],
+                 "serving_endpoint_usage": [flows.append_fold(_serving_rows, self.tables.folder("tf_serving_usage"), [REQUEST_DAY])]}
         for spec in silver.BILLING_ENTITIES:
-            name = f"td_billing_{spec.name}"
-            running[name] = flows.scd1_flow(
-                silver.extract_entity(self._stream("billing_usage"), spec), self.tables, name, spec.keys,
-                "ingestion_dt", self._checkpoint(name), silver.ENTITY_ORDER, spec.id_col,
-                seed=lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col))
+            folds["billing_usage"].append(flows.scd1_fold(
+                lambda batch, s=spec: silver.extract_entity(batch, s), self.tables, f"td_billing_{spec.name}", spec.keys, "ingestion_dt",
+                silver.ENTITY_ORDER, spec.id_col, lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col)))
+        for spec in silver.CHANGE_FED:
+            name, view = DIMENSION_TABLES[spec.table], lambda batch, s=spec: silver.source_view(batch, s)
+            folds[spec.table] = [
+                flows.scd1_fold(view, self.tables, name, spec.keys, spec.seq, (), spec.id_col,
+                                lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col)),
+                flows.scd2_fold(view, self.tables, f"{name}_history", spec.keys, spec.seq)]
+        for landed, parts in folds.items():
+            running[landed] = flows.feed_flow(self._stream(landed), parts, self._checkpoint(landed))
         run_all(running)
 
     def run_workspaces(self) -> None:
@@ -224,7 +226,8 @@ class Daily:
             if not days:
                 return
             self.expected("tf_billing_usage", arrived, silver.USAGE_RULES)
-            fresh = costing.costed(silver.dedupe_usage(arrived), prices, self.currency)
+            lines = silver.dedupe_usage(arrived, origin=flows.BATCH).drop(flows.BATCH)
+            fresh = costing.costed(lines, prices, self.currency)
             stored = self.tables.days("tf_billing_cost", costing.COST_DAY, days)
             merged = fresh if stored is None else costing.merge_cost(stored, fresh)
             self.tables.overwrite_days("tf_billing_cost", merged, costing.COST_DAY)

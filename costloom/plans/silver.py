@@ -319,18 +319,19 @@ LINE_KEYS = ("account_cd", "workspace_cd", "record_cd", "ingestion_dt")
 LINE = "line_cd"
 
 
-def dedupe_usage(usage: DataFrame, load: str = LOAD) -> DataFrame:
+def dedupe_usage(usage: DataFrame, load: str = LOAD, origin: str = LOAD) -> DataFrame:
     """The latest load of every billing line, with the line's identity in ``line_cd``.
 
     A line is known by account, workspace, record and ingestion day. Where one of these is
     missing nothing can tell whether it was sent before, so the line stays whatever else
-    arrived: its identity is its load time, its content and, for equal lines of one load, a
-    number. The load time is stored with the usage, so a repeated step finds the same
+    arrived: its identity is its ``origin`` (load time or batch), its content and, for equal lines of
+    one origin, a number. Origins are stored with the usage, so a repeated step finds the same
     identities.
     """
     keys = list(LINE_KEYS)
     whole = usage.filter(~any_null(keys))
-    partial = usage.filter(any_null(keys)).withColumn("__same", row_hash(usage))
+    content = row_hash(usage, [origin, *(c for c in usage.columns if c not in (load, origin))])
+    partial = usage.filter(any_null(keys)).withColumn("__same", content)
     copy = F.row_number().over(Window.partitionBy("__same").orderBy(F.lit(0)))
     named = partial.withColumn(LINE, F.concat_ws("-", F.col("__same").cast("string"), copy.cast("string"))).drop("__same")
     return latest(whole, keys, load).withColumn(LINE, F.lit("")).unionByName(named)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc
@@ -18,6 +18,9 @@ from ..operators.keys import highest_key
 from ..sources.tables import Tables, touched_days
 
 
+BATCH = "batch_nb"
+
+
 def _run(source: DataFrame, fold: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         source.writeStream.foreachBatch(fold)
@@ -27,6 +30,41 @@ def _run(source: DataFrame, fold: Callable[[DataFrame, int], None], checkpoint:
     )
 
 
+Fold = Callable[[DataFrame, int], None]
+Prepare = Callable[[DataFrame], DataFrame]
+
+
+def feed_flow(source: DataFrame, folds: Sequence[Fold], checkpoint: str) -> StreamingQuery:
+    """Fold every micro-batch of one source into several targets. The batch is read once and kept for
+    all of them; as each fold may be repeated, a failure between two of them is made good by
+    the replay."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for one in folds:
+                one(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _run(source, fold, checkpoint)
+
+
+def append_fold(prepare: Prepare, target: str, partition_by: Sequence[str] = ()) -> Fold:
+    """Append a batch under its own number; a replay writes the same folder again."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        rows = prepare(batch)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(f"{target}/{BATCH}={batch_id}")
+
+    return fold
+
+
+def read_appended_batches(spark, target: str, schema: T.StructType) -> DataFrame:
+    """All batches that ``append_fold`` wrote, with their number; ``schema`` includes the partition columns."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(target)
+
+
 def append_flow(source: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Stateless append to a Parquet folder."""
     return (
@@ -49,10 +87,29 @@ def scd1_flow(
 ) -> StreamingQuery:
     """Keep ``name`` at the current state of the feed. ``seed`` adds sentinel rows to a
     table that is written for the first time."""
+    return _run(source, scd1_fold(_as_is, tables, name, keys, seq, ties, id_col, seed), checkpoint)
+
+
+def _as_is(batch: DataFrame) -> DataFrame:
+    return batch
+
+
+def scd1_fold(
+    prepare: Prepare,
+    tables: Tables,
+    name: str,
+    keys: Sequence[str],
+    seq: str,
+    ties: Sequence[str] = (),
+    id_col: str | None = None,
+    seed: Prepare | None = None,
+) -> Fold:
+    """``scd1_flow`` as one of several folds of a feed."""
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         if (batch_id + 1) in tables.versions(name):
             return
+        batch = prepare(batch)
         old = tables.read(name, before=batch_id + 1)
         start = highest_key(old, id_col) if old is not None and id_col else 0
         new = cdc.scd1(old, batch, keys, seq, ties, id_col, start)
@@ -60,7 +117,7 @@ def scd1_flow(
             new = seed(new)
         tables.replace(name, new, version=batch_id + 1)
 
-    return _run(source, fold, checkpoint)
+    return fold
 
 
 def scd2_flow(
@@ -73,10 +130,16 @@ def scd2_flow(
     ties: Sequence[str] = (),
 ) -> StreamingQuery:
     """Keep ``name`` as the version history of the feed."""
+    return _run(source, scd2_fold(_as_is, tables, name, keys, seq, ties), checkpoint)
+
+
+def scd2_fold(prepare: Prepare, tables: Tables, name: str, keys: Sequence[str], seq: str, ties: Sequence[str] = ()) -> Fold:
+    """``scd2_flow`` as one of several folds of a feed."""
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         if (batch_id + 1) in tables.versions(name):
             return
+        batch = prepare(batch)
         old = tables.read(name, before=batch_id + 1)
         new = (
             cdc.scd2(batch, keys, seq, ties)
@@ -85,7 +148,7 @@ def scd2_flow(
         )
         tables.replace(name, new, version=batch_id + 1)
 
-    return _run(source, fold, checkpoint)
+    return fold
 
 
 def scd1_by_day_flow(

@@ -23,7 +23,7 @@ from checks import queries as q  # noqa: E402
 from checks.fixtures import landed_usage, view  # noqa: E402
 from costloom.operators import cdc, closure as groups, tags  # noqa: E402
 from costloom.operators.merge import merge  # noqa: E402
-from costloom.plans import costing, gold, measures as kpi, periods, silver  # noqa: E402
+from costloom.plans import costing, gold, measures as kpi, periods, resources as res, silver  # noqa: E402
 from costloom.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -77,11 +77,24 @@ def headline(spark, read):
         return cdc.scd2_apply(read("history_before"), late, q.CHANGE_KEYS, "change_time")
 
     def merge_one_percent():
-        """One percent of the lines change; only the ingestion days they lie on are read."""
+        """One percent of the lines change, spread over all days."""
         cost = read("cost")
         part = cost.filter(F.pmod(F.xxhash64("record_cd"), F.lit(100)) == 0).withColumn(
             "line_cost_usd", (F.coalesce("line_cost_usd", F.lit(0)) + 1).cast("decimal(38,8)"))
-        return merge(cost, part, costing.COST_KEYS, guard=["line_cost_usd", "usage_load_dt"], update=part.columns)
+        return merge(cost, part, silver.LINE_KEYS, guard=["line_cost_usd", "usage_load_dt"], update=part.columns)
+
+    def merge_one_day():
+        """All lines of one ingestion day change; its rows alone are read and merged."""
+        day = read("cost").filter("ingestion_dt = date '1995-06-17'")
+        part = day.withColumn("line_cost_usd", (F.coalesce("line_cost_usd", F.lit(0)) + 1).cast("decimal(38,8)"))
+        return merge(day, part, silver.LINE_KEYS, guard=["line_cost_usd", "usage_load_dt"], update=part.columns)
+
+    def resources():
+        """Jobs and clusters are known, other resources are new."""
+        snapshot = read("resource").withColumn("region_lb", F.lit("eu"))
+        seen = F.lit("2020-01-01").cast("timestamp")
+        known = snapshot.filter("resource_type_lb in ('JOB', 'CLUSTER')").withColumns({"sys_create_dt": seen, "sys_update_dt": seen})
+        return res.merge_resources(known, snapshot.drop("resource_id"))
 
     def bridge():
         held = tags.resource_labels(read("tag_map"), read("tag_key"))
@@ -100,6 +113,9 @@ def headline(spark, read):
         "scd2_full": lambda: cdc.scd2(read("change"), q.CHANGE_KEYS, "change_time"),
         "scd2_increment": scd2_increment,
         "merge_one_percent": merge_one_percent,
+        "merge_one_day": merge_one_day,
+        "merge_resources": resources,
+        "user_visibility": lambda: q.QUERIES["user_visibility"](spark, SF_DIR),
         "group_closure": lambda: groups.closure(read("edge")),
         "tag_bridge": bridge,
         "gold_billing_cost": facts,

@@ -1,14 +1,14 @@
 """Benchmark decontamination: CGK walks, bit sampling, exact edit distance.
 
-The words of a text are its alphabet. A CGK walk reads a string with random steps: at step j it emits the symbol under
-its pointer and moves on if a random bit of (j, symbol) says so. Two strings at a small edit distance fall back
-into step after an edit, so their walks differ in few places: edit distance has become Hamming distance, and bit sampling
-hashes that. Here ``SAMPLES`` steps of a walk are sampled, the first among them, and their symbols are the bucket.
-
-A window of an item's size lies at every word of every document. Repetition r walks from a point of its own inside
-the window (r / repetitions of its length), with its own random bits and sampled steps, so that every part of an item
-is sampled and an edit spoils few repetitions. The number of repetitions follows from the recall that is asked for at
-an edit rate. Candidates are verified exactly: an item is found where a stretch of the document is within an edit
+The words of a text are its alphabet. A CGK walk reads a window of a string with random steps: at step j it emits the symbol
+under its pointer (a blank behind the window) and moves on if a random bit of (j, symbol) says so. The same words give the same walk.
+Bit sampling hashes it: the symbols at the sampled steps are the bucket. Walks of up to ``SAMPLES`` steps, which are those of
+windows of up to five words, are sampled at every step, longer ones at ``SAMPLES`` of them, the first among them.
+
+An item of n words may have e = int(``max_edits`` * n) edits. It is cut into e + 1 stretches that cover all of it, each with a walk
+of its own. An edit spoils one stretch at most, so one at least stands in the document word for word, and a window
+of its size lies at every word of every document: every item within the limit becomes a candidate, whatever its length.
+Candidates are verified exactly: an item is found where a stretch of the document is within an edit
 distance of ``max_edits`` times its number of words (runs of letters, digits and underscores, in lower case).
 
 The items are read in blocks of bounded size, one pass over the documents each; documents are never joined or shuffled.
@@ -31,11 +31,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import fresh, map_texts
 
 MAX_EDITS = 0.2
-EDIT_RATE = 0.1
-RECALL = 0.999
 MIN_WORDS = 5
-STEPS = 12
-SAMPLES = 5
+SAMPLES = 15
 BLOCK_BYTES = 4 << 20
 BATCH_WORDS = 200_000
 WORDS = re.compile(r"\w+")
@@ -67,70 +64,96 @@ def infix_distance(pattern: Sequence, text: Sequence, most: int) -> tuple[int, i
     return (best, end) if best <= most else None
 
 
-def repetitions(recall: float = RECALL, rate: float = EDIT_RATE, steps: int = STEPS) -> int:
-    """How many repetitions find an item with ``rate`` of its words edited with probability ``recall``: a walk of ``steps``
-    passes half as many words, and a repetition is sure to hit if all of them are clean."""
-    hit = (1 - rate) ** (steps / 2 + 1)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - hit)))
+def stretches(n: int, most: int) -> list[tuple[int, int]]:
+    """Begin and end of the ``most`` + 1 stretches that an item of ``n`` words is cut into; ``most`` edits leave one of them whole."""
+    cuts = [n * i // (most + 1) for i in range(most + 2)]
+    return list(zip(cuts, cuts[1:]))
+
+
+@dataclass
+class Walks:
+    """The walks of all stretches of ``size`` words, and their buckets."""
+
+    size: int
+    blank: int
+    bits: np.ndarray
+    steps: list[int]
+    allowed: np.ndarray | None = None
+    hashes: np.ndarray | None = None
+    items: list[list[tuple[int, int]]] = field(default_factory=list)
+
+    @classmethod
+    def build(cls, size: int, blank: int, code: np.ndarray, held: list[tuple[int, int, int]], rng: np.random.Generator) -> Walks:
+        """``held`` has the item number, the offset in the item and the position in ``code`` of each stretch."""
+        length = 3 * size
+        bits = rng.integers(0, 2, (length, blank + 1), dtype=np.int8)
+        bits[:, blank] = 0
+        walks = cls(size, blank, bits, [0, *sorted((1 + rng.permutation(length - 1)[:SAMPLES - 1]).tolist())])
+        _, key, seen = walks.run(code, np.array([at for *_, at in held]))
+        walks.allowed = np.zeros((len(walks.steps), blank + 1), bool)
+        for k, symbols in enumerate(seen):
+            walks.allowed[k, symbols] = True
+        walks.hashes, bucket = np.unique(key, return_inverse=True)
+        walks.items = [[] for _ in walks.hashes]
+        for (number, offset, _), b in zip(held, bucket.tolist()):
+            walks.items[b].append((number, offset))
+        return walks
+
+    def run(self, code: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Starts, hashes and sampled symbols of the walks from ``start``; a walk ends as soon as a sampled symbol fits no bucket."""
+        at, key, seen = start, np.zeros(len(start), np.uint64), []
+        for j in range(self.steps[-1] + 1):
+            symbol = np.where(at < start + self.size, code[at], self.blank)
+            if j in self.steps:
+                if self.allowed is None:
+                    seen.append(symbol)
+                else:
+                    clear = self.allowed[self.steps.index(j)][symbol]
+                    start, at, key, symbol = start[clear], at[clear], key[clear], symbol[clear]
+                key = key * np.uint64(0x9E3779B97F4A7C15) + symbol.astype(np.uint64) + np.uint64(1)
+            at = at + self.bits[j][symbol]
+        return start, key, seen
 
 
 @dataclass
 class Index:
-    """The items of one block under all repetitions."""
+    """The items of one block with the walks of their stretches."""
 
     items: list[tuple[int, list[str]]]
     max_edits: float
     vocabulary: dict[str, int] = field(default_factory=dict)
-    tables: list[dict] = field(default_factory=list)
+    tables: list[Walks] = field(default_factory=list)
 
     @classmethod
-    def build(cls, rows: list[tuple[int, str]], max_edits: float = MAX_EDITS, reps: int | None = None, seed: int = 11) -> Index:
+    def build(cls, rows: list[tuple[int, str]], max_edits: float = MAX_EDITS, seed: int = 11) -> Index:
         split = [(i, WORDS.findall((t or "").lower())) for i, t in rows]
         index = cls([x for x in split if len(x[1]) >= MIN_WORDS], max_edits)
-        for _, words in index.items:
+        sizes: dict[int, list[tuple[int, int, int]]] = {}
+        begin = 0
+        for number, (_, words) in enumerate(index.items):
             for w in words:
                 index.vocabulary.setdefault(w, len(index.vocabulary) + 1)
-        coded = [np.array([index.vocabulary[w] for w in words]) for _, words in index.items]
-        rng, reps = np.random.default_rng(seed), reps or repetitions()
-        size = len(index.vocabulary) + 1
-        for r in range(reps):
-            bits = rng.integers(0, 2, (STEPS, size), dtype=np.int8)
-            steps = [0, *sorted(rng.choice(np.arange(1, STEPS + 1), SAMPLES - 1, replace=False).tolist())]
-            keys: dict[tuple, list[tuple[int, int]]] = {}
-            for number, code in enumerate(coded):
-                start = at = round(max(0, len(code) - STEPS // 2 - 2) * r / max(1, reps - 1))
-                seen = [int(code[at])]
-                for j in range(1, steps[-1] + 1):
-                    at += bits[j - 1, code[at]]
-                    if at == len(code):
-                        break
-                    if j in steps:
-                        seen.append(int(code[at]))
-                if len(seen) == SAMPLES:
-                    keys.setdefault(tuple(seen), []).append((number, start))
-            allowed = np.zeros((SAMPLES, size), bool)
-            for k in keys:
-                allowed[range(SAMPLES), k] = True
-            index.tables.append({"bits": bits, "steps": steps, "keys": keys, "allowed": allowed})
+            for a, b in stretches(len(words), index.most(words)):
+                sizes.setdefault(b - a, []).append((number, a, begin + a))
+            begin += len(words)
+        code = np.array([*(index.vocabulary[w] for _, words in index.items for w in words), 0], np.int32)
+        rng, blank = np.random.default_rng(seed), len(index.vocabulary) + 1
+        index.tables = [Walks.build(size, blank, code, sizes[size], rng) for size in sorted(sizes)]
         return index
 
-    def _candidates(self, code: np.ndarray):
-        """(item number, first word) of every window whose walk falls into an item's bucket.
+    def most(self, words: list[str]) -> int:
+        """How many edits an item may have; fewer than its words, so that something of it is left."""
+        return min(int(self.max_edits * len(words)), len(words) - 1)
 
-        A walk ends as soon as a sampled symbol fits no bucket.
-        """
-        padded = np.concatenate([code, np.zeros(STEPS + 1, code.dtype)])
+    def _candidates(self, code: np.ndarray):
+        """(item number, first word) of every window whose walk falls into the bucket of an item's stretch."""
+        padded = np.append(code, np.zeros(max((t.size for t in self.tables), default=0), code.dtype))
         for t in self.tables:
-            start = at = np.flatnonzero(t["allowed"][0][code])
-            seen = [code[start]]
-            for j in range(1, t["steps"][-1] + 1):
-                at = at + t["bits"][j - 1][padded[at]]
-                if j in t["steps"]:
-                    clear = t["allowed"][len(seen)][padded[at]]
-                    start, at, seen = start[clear], at[clear], [x[clear] for x in seen]
-                    seen.append(padded[at])
-            for first, *key in zip(start.tolist(), *(x.tolist() for x in seen)):
-                for number, offset in t["keys"].get(tuple(key), ()):
+            start, key, _ = t.run(padded, np.flatnonzero(t.allowed[0][code]))
+            bucket = np.minimum(np.searchsorted(t.hashes, key), len(t.hashes) - 1)
+            hit = t.hashes[bucket] == key
+            for first, b in zip(start[hit].tolist(), bucket[hit].tolist()):
+                for number, offset in t.items[b]:
                     yield number, first - offset
 
     def search(self, docs: list[list[str]]) -> list[list[tuple[int, int, int]]]:
@@ -157,16 +180,16 @@ class Index:
             words = self.items[number][1]
             pattern = [get(w) for w in words]
             held = set(pattern)
-            most = int(self.max_edits * len(words))
-            slack, best, stretches = 2 + len(words) // 4, None, []
+            most = self.most(words)
+            slack, best, places = 2 + most, None, []
             for first in sorted(firsts):
                 a, b = max(0, first - slack), first + len(words) + slack
-                if stretches and a <= stretches[-1][1] - len(words):
-                    stretches[-1][1] = b
+                if places and a <= places[-1][1] - len(words):
+                    places[-1][1] = b
                 else:
-                    stretches.append([a, b])
+                    places.append([a, b])
             begin = int(ends[d]) - len(docs[d])
-            for a, b in stretches:
+            for a, b in places:
                 stretch = code[begin + a: begin + min(b, len(docs[d]))].tolist()
                 # Each word of the item that is not edited is a word of the stretch.
                 if sum(map(held.__contains__, stretch)) < len(words) - most:
@@ -180,7 +203,7 @@ class Index:
 
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """(item_id, edits, first word, item length) of the items found in each text, worked on in batches of bounded size."""
-        reach = 2 * max((len(w) for _, w in self.items), default=0) + STEPS
+        reach = max((len(w) + 2 * (2 + self.most(w)) for _, w in self.items), default=0)
         best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
         batch: list[tuple[int, int, list[str]]] = []
 

@@ -75,6 +75,30 @@ def test_recall_at_the_edit_rate():
     assert sum(k in [h[0] for h in hits] for k, hits in enumerate(found)) >= 297
 
 
+def test_every_item_is_found_at_the_full_limit():
+    r = random.Random(4)
+    rows = [(n * 100 + k, " ".join(words(n * 100 + k, n))) for n in (*range(5, 31), 45, 60) for k in range(40)]
+    index = dc.Index.build(rows)
+    docs = []
+    for i, t in rows:
+        w = t.split()
+        for k in r.sample(range(len(w)), len(w) // 5):
+            w[k] = r.choice(["", "zzz", f"{w[k]} yyy", f"yyy {w[k]}"])
+        docs.append(f"{prose(i + 1, 40)} {' '.join(w)} {prose(i + 2, 40)}")
+    for (i, t), text, hits in zip(rows, docs, index.find(docs)):
+        want = edit(dc.WORDS.findall(t), dc.WORDS.findall(text))
+        assert (i, want) in [h[:2] for h in hits], (i, t, text)
+
+
+def test_short_items_are_found_without_their_first_word():
+    rows = [(n, " ".join(words(n, n))) for n in range(5, 11)]
+    index = dc.Index.build(rows)
+    for i, t in rows:
+        rest = t.split(" ", 1)[1]
+        for text in (f"{prose(1)} qqq {rest} {prose(2)}", f"{prose(1)} {rest} {prose(2)}", rest):
+            assert i in [h[0] for h in index.find([text])[0]]
+
+
 def test_long_documents_are_cut_with_overlap(monkeypatch):
     rows = [(1, " ".join(words(77, 30)))]
     index = dc.Index.build(rows)

@@ -9,11 +9,13 @@ An item of n words may have e = int(``max_edits`` * n) edits. It is cut into e +
 of its own. An edit spoils one stretch at most, so one at least stands in the document word for word, and a window
 of its size lies at every word of every document: every item within the limit becomes a candidate, whatever its length.
 Candidates are verified exactly: an item is found where a stretch of the document is within an edit
-distance of ``max_edits`` times its number of words (runs of letters, digits and underscores, in lower case).
+distance of ``max_edits`` times its number of words (runs of letters, digits and underscores, in lower case; in scripts that
+are written without spaces every letter, digit or vowel sign is a word). Items of fewer than ``MIN_WORDS`` words may have no
+edits: they are found where their words stand in this order, one after another.
 
 The items are read in blocks of bounded size, one pass over the documents each; documents are never joined or shuffled.
 
-Null texts match nothing, nor do items with fewer than ``MIN_WORDS`` words. Very long texts are walked in pieces that
+Null texts match nothing, nor do items without a word. Very long texts are walked in pieces that
 overlap by more than an item and its slack. Repeated items count once, repeated documents give repeated results, ties in distance go to the first place.
 An empty benchmark keeps every document. Other columns of the documents are carried along whatever their names.
 """
@@ -35,11 +37,27 @@ MIN_WORDS = 5
 SAMPLES = 15
 BLOCK_BYTES = 4 << 20
 BATCH_WORDS = 200_000
-WORDS = re.compile(r"\w+")
+#: Han, kana, bopomofo, Yi, Thai, Lao, Myanmar, Khmer, Tai, Balinese, Javanese: letters, digits and their signs, without punctuation.
+UNSPACED = (
+    "\u3005-\u3007\u3021-\u3029\u303b\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003fffd"
+    "\u3041-\u3096\u3099\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff\uff66-\uff9f\U0001aff0-\U0001b16f"
+    "\u3105-\u312f\u31a0-\u31bf\ua000-\ua48c\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e81-\u0ece\u0ed0-\u0ed9\u0edc-\u0edf"
+    "\u1000-\u1049\u1050-\u109d\ua9e0-\ua9fe\uaa60-\uaa76\uaa7a-\uaa7f\u1780-\u17d3\u17d7\u17dc\u17dd\u17e0-\u17e9"
+    "\u1950-\u1974\u1980-\u19da\u1a20-\u1a7c\u1a80-\u1a99\uaa80-\uaac2\uaadb-\uaadd\u1b00-\u1b4c\u1b50-\u1b59\ua980-\ua9c0\ua9d0-\ua9d9"
+)
+WORDS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
+_SPACED = re.compile(r"\w+")
+_ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
 HIT = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType()),
                                 T.StructField("first_word", T.LongType()), T.StructField("item_words", T.IntegerType())]))
 
 
+def split_words(text: str | None) -> list[str]:
+    """The words of a text, which are those of ``WORDS``."""
+    low = (text or "").lower()
+    return (_SPACED if low.isascii() or not _ANY_UNSPACED.search(low) else WORDS).findall(low)
+
+
 def infix_distance(pattern: Sequence, text: Sequence, most: int) -> tuple[int, int] | None:
     """Least edit distance of ``pattern`` to any stretch of ``text``, and that stretch's end; None above ``most``.
 
@@ -126,8 +144,8 @@ class Index:
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]], max_edits: float = MAX_EDITS, seed: int = 11) -> Index:
-        split = [(i, WORDS.findall((t or "").lower())) for i, t in rows]
-        index = cls([x for x in split if len(x[1]) >= MIN_WORDS], max_edits)
+        split = [(i, split_words(t)) for i, t in rows]
+        index = cls([x for x in split if x[1]], max_edits)
         sizes: dict[int, list[tuple[int, int, int]]] = {}
         begin = 0
         for number, (_, words) in enumerate(index.items):
@@ -142,8 +160,8 @@ class Index:
         return index
 
     def most(self, words: list[str]) -> int:
-        """How many edits an item may have; fewer than its words, so that something of it is left."""
-        return min(int(self.max_edits * len(words)), len(words) - 1)
+        """How many edits an item may have: none if it is short, and fewer than its words, so that something of it is left."""
+        return min(int(self.max_edits * len(words)), len(words) - 1) if len(words) >= MIN_WORDS else 0
 
     def _candidates(self, code: np.ndarray):
         """(item number, first word) of every window whose walk falls into the bucket of an item's stretch."""
@@ -215,7 +233,7 @@ class Index:
 
         held = 0
         for n, text in enumerate(texts):
-            words = WORDS.findall(text.lower()) if text else []
+            words = split_words(text)
             for a in range(0, max(1, len(words) - reach), BATCH_WORDS):
                 piece = words[a:a + BATCH_WORDS + reach]
                 if held + len(piece) > BATCH_WORDS and batch:

@@ -99,6 +99,28 @@ def test_short_items_are_found_without_their_first_word():
             assert i in [h[0] for h in index.find([text])[0]]
 
 
+def test_scripts_without_spaces_are_read_letter_by_letter():
+    rows = [(1, "光合作用把二氧化碳和水转化为有机物并释放氧气"), (2, "東京タワーは高さ三百三十三メートルの電波塔です"),
+            (3, "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"), (4, "模型GPT有多少个参数"), (5, "水は百度で沸く")]
+    index = dc.Index.build(rows)
+    around = "我们昨天去了公园。{}，然后回家吃饭。"
+    for i, t in rows:
+        for k in (0, len(t) // 2, len(t) - 1):
+            for text in (around.format(t), f"{prose(1)} {t} {prose(2)}", around.format(t[:k] + "犬" + t[k + 1:])):
+                assert [h[0] for h in index.find([text])[0]] == [i]
+    assert index.find([around.format("光合作用"), prose(5), "ประเทศไทย"]) == [[], [], []]
+    assert dc.split_words("Ab 我们x_1 ที่!") == ["ab", "我", "们", "x_1", "ท", "ี", "่"]
+
+
+def test_short_items_are_found_word_for_word(spark):
+    rows = [(1, "Zürich"), (2, "born in Ulm"), (3, "one two three four"), (4, "沸点"), (5, "?!"), (6, "")]
+    docs = [(1, f"{prose(1)} zürich."), (2, "He was born -- in Ulm!"), (3, "born at Ulm, in Ulm"), (4, "one two three three four"),
+            (5, "zero one two three four"), (6, "水的沸点是"), (7, "沸腾点"), (8, None), (9, "born in"), (10, "")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    got = collected(dc.contaminated(documents(spark, docs), bench), "doc_id", "item_id", "edits")
+    assert got == [(1, 1, 0), (2, 2, 0), (5, 3, 0), (6, 4, 0)]
+
+
 def test_long_documents_are_cut_with_overlap(monkeypatch):
     rows = [(1, " ".join(words(77, 30)))]
     index = dc.Index.build(rows)

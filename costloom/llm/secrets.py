@@ -1,11 +1,11 @@
 """Secret scan with corpus-wide ownership frequency. DataFrame functions only.
 
 Candidates are found by pattern. Their hashes are then counted over the whole corpus: a value that
-turns up under many owners is a copied example, one that stays with an owner or two is that owner's
-own and may be live. High-entropy strings without a keyword are too noisy to report by pattern alone;
+turns up under many owners or in many repositories is a copied example, one that stays with an owner or two
+and in few repositories is that owner's own and may be live. Documents are the repositories; those of one text are copies and count once. High-entropy strings without a keyword are too noisy to report by pattern alone;
 the frequency decides about them.
 
-Null texts count as empty, null owners and repositories as one owner and repository of their own.
+Null texts count as empty, null owners as one owner of their own.
 Repeated rows give repeated results. Empty tables give empty results, other columns are not read.
 """
 
@@ -30,6 +30,7 @@ BASE = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32)
 
 BLOCK = 256
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -92,37 +93,38 @@ def written(found: Column) -> Column:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """``(value, owner, repository)`` to ``(value, owners, repositories)``.
+    """``(value, owner, repository)`` to ``(value, owners, repositories)``, both counted distinct.
 
-    Each step counts distinct rows of the one before and is summed on the map side, so a value held by a
+    Distinct rows are found first and counted on the map side, so a value held by a
     third of all documents is never gathered in one task.
     """
-    per_repository = candidates.select("value", "owner", "repository").distinct()
-    per_owner = per_repository.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    return grouped_for_join(per_owner, ["value"], F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    holder = lambda is_owner, name: F.struct(F.lit(is_owner).alias("is_owner"), F.col(name).cast("string").alias("who"))
+    holders = candidates.select("value", F.explode(F.array(holder(True, "owner"), holder(False, "repository"))).alias("h")).distinct()
+    return grouped_for_join(holders, ["value"], F.count_if("h.is_owner").alias("owners"), F.count_if(~F.col("h.is_owner")).alias("repositories"))
 
 
-def classified(docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source",
-               max_owners: int = MAX_OWNERS) -> DataFrame:
+def classified(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source",
+               max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """One row per document: ``id``, ``row`` (hash of the row), ``base`` spans and ``found``, all spans with ``live``.
 
-    ``live`` says that at most ``max_owners`` owners hold the value. Entropy spans appear only if live and
+    ``live`` says that at most ``max_owners`` owners and ``max_repositories`` documents of different text hold the value. Entropy spans appear only if live and
     clear of the base spans.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     clear = lambda base: lambda e: ~F.exists(base, lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"]))
     scanned = checkpointed(
-        docs.select(F.col(repository).alias("id"), F.col(owner).alias("owner"), row_hash(docs).alias("row"),
+        docs.select(F.col(doc_id).alias("id"), F.col(owner).alias("owner"), row_hash(docs).alias("row"), F.xxhash64(body).alias("repository"),
                     base_spans(body).alias("base"), entropy_spans(body).alias("extra"))
         .withColumn("extra", F.filter("extra", clear(F.col("base")))))
     any_span = F.size("base") + F.size("extra") > 0
     each = scanned.filter(any_span).select(
-        "id", "row", "owner", F.explode(F.concat("base", "extra")).alias("s"))
-    each = each.select("id", "row", "owner", F.col("id").alias("repository"), F.sha2("s.value", 256).alias("value"),
+        "id", "row", "owner", "repository", F.explode(F.concat("base", "extra")).alias("s"))
+    each = each.select("id", "row", "owner", "repository", F.sha2("s.value", 256).alias("value"),
                        F.struct("s.start", "s.kind", "s.end").alias("s")).distinct()
     counts = ownership(each)
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     seen = each.join(counts, "value").groupBy("id", "row").agg(F.array_sort(F.collect_list(F.struct(
-        "s.start", "s.kind", "s.end", (F.col("owners") <= max_owners).alias("live"), "owners", "repositories"))).alias("found"))
+        "s.start", "s.kind", "s.end", live.alias("live"), "owners", "repositories"))).alias("found"))
     kept = F.filter("found", lambda s: (s["kind"] < len(BASE)) | s["live"])
     left = scanned.filter(any_span).select("id", "row", "base")
     with_spans = left.alias("l").join(
@@ -133,24 +135,26 @@ def classified(docs: DataFrame, text: str = "text", repository: str = "doc_id",
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source",
-         max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per document: counts and digest of the base spans, all spans, and how many are live or examples."""
+         max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """Per document: counts and digest of the base spans, all spans, how many are live or examples, and ``held_by``:
+    ``owners:repositories`` of each span's value, in the order of the spans."""
     count = lambda n: F.size(F.filter("base", lambda s: s["kind"] == n)).cast("long")
     alive = F.size(F.filter("found", lambda s: s["live"])).cast("long")
-    return classified(docs, text, doc_id, owner, max_owners).select(
+    held_by = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["owners"].cast("string"), s["repositories"].cast("string"))), ",")
+    return classified(docs, text, doc_id, owner, max_owners, max_repositories).select(
         F.col("id").alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("found")).alias("spans"),
-        alive.alias("n_live"), (F.size("found").cast("long") - alive).alias("n_examples"))
+        alive.alias("n_live"), (F.size("found").cast("long") - alive).alias("n_examples"), held_by.alias("held_by"))
 
 
 def redact(docs: DataFrame, mark: str = "<SECRET>", text: str = "text", doc_id: str = "doc_id", owner: str = "source",
-           max_owners: int = MAX_OWNERS) -> DataFrame:
+           max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``docs`` with every live span replaced by ``mark``; other rows and columns stay as they are.
 
     Only documents with a live span are joined; all others pass by.
     """
     live = lambda s: s["live"]
-    hit = classified(docs, text, doc_id, owner, max_owners).filter(F.exists("found", live)).select(
+    hit = classified(docs, text, doc_id, owner, max_owners, max_repositories).filter(F.exists("found", live)).select(
         F.col("id").alias("__hit_id"), F.col("row").alias("__hit_row"), F.filter("found", live).alias("__hit")).dropDuplicates(
         ["__hit_id", "__hit_row"])
 

@@ -57,6 +57,17 @@ def test_entropy_spans_need_a_single_owner(spark):
     assert spans[1] == "entropy:4:28" and not any(spans[k] for k in range(2, 7))
 
 
+def test_values_of_many_documents_of_one_owner_are_examples(spark):
+    own, copied = "password = mineAlone123", f"token = copiedAsAWhole1 {prose(3)}"
+    rows = [(k, f"password = hunter2example {prose(k)}", "en", "hot") for k in range(12)]
+    rows += [(20 + k, copied, "en", "hot") for k in range(12)] + [(40, own, "en", "a"), (41, f"{own} {prose(1)}", "en", "b")]
+    docs = documents(spark, rows)
+    got = {r.doc_id: (r.n_live, r.n_examples, r.held_by) for r in secrets.scan(docs).collect()}
+    assert got == {**{k: (0, 1, "1:12") for k in range(12)}, **{20 + k: (1, 0, "1:1") for k in range(12)}, 40: (1, 0, "2:2"), 41: (1, 0, "2:2")}
+    texts = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert texts[0] == rows[0][1] and texts[20] == f"<SECRET> {prose(3)}" and texts[40] == "<SECRET>"
+
+
 def test_redaction_touches_live_spans_alone(spark):
     rows = [(1, "é token = mineAlone123, end", "en", "a"), (2, prose(1)), (3, None), (None, "secret: aaaaaaaa", "en", None)]
     rows += [(10 + k, "password = hunter2example", "en", f"owner{k}") for k in range(4)]

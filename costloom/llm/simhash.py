@@ -6,7 +6,9 @@ rows first, so copies cost nothing further on. Pairs within ``RADIUS`` bits are
 1. *Shards by distance to block vantages.* The 64 bits are cut into k blocks; of two fingerprints within 4 bits, k - 4 blocks
    at least are at distance 0. Each choice of k - 4 blocks is a table; a fingerprint's own block values are the
    vantage whose distance-0 shard it joins, so pairs that straddle a boundary in one table meet in another. k grows
-   with the number of fingerprints (5 tables up to 16 million, then 15, 35, ...), which keeps shards small. A tree over all
+   with the number of fingerprints (5 tables up to 16 million, then 15, 35, ...), which keeps shards small. Shards are counted; one
+   of more than ``LARGEST`` fingerprints, as of documents with a long part in common, is cut again: its pairs differ in
+   at most 4 of the bits left, so of 5 blocks of these one at least is at distance 0. This is done until no shard is too large. A tree over all
    64 bits alone does not scale: distances of unlike texts lie at 32 give or take 4, and with a radius of 4 a search
    enters 1.7 of 2 branches at every level.
 2. *A vantage-point tree in each shard.* The ball of radius 4 around the vantage is linked at once; the others are split at the
@@ -22,10 +24,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, islice
 
 import numpy as np
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..operators.spread import grouped_for_join
 from .common import checkpointed, map_texts, row_hash
@@ -35,6 +38,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 SHARD = 2048
+LARGEST = 1 << 13
 LEAF = 64
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LONG = 1 << 22
@@ -140,17 +144,49 @@ def block_masks(count: int, shard: int = SHARD, radius: int = RADIUS) -> list[in
     k = radius + 1
     while k < 12 and count / 2 ** (64 * (k - radius) / k) > shard:
         k += 1
-    edges = [round(64 * i / k) for i in range(k + 1)]
-    block = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(k)]
-    masks = [sum(block[i] for i in kept) for kept in combinations(range(k), k - radius)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    block = _blocks(list(range(64)), k)
+    return [_signed(sum(block[i] for i in kept)) for kept in combinations(range(k), k - radius)]
 
 
-def shard_edges(distinct: DataFrame, count: int, column: str = "fingerprint") -> DataFrame:
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _blocks(bits: list[int], k: int) -> list[int]:
+    edges = [round(len(bits) * i / k) for i in range(k + 1)]
+    return [sum(1 << b for b in bits[i:j]) for i, j in zip(edges, edges[1:])]
+
+
+def finer_masks(mask: int, radius: int = RADIUS) -> list[int]:
+    """Masks that cut a shard of ``mask`` further: fingerprints within the radius that agree under ``mask`` agree under one of them."""
+    left = [b for b in range(64) if not mask >> b & 1]
+    return [_signed(mask & (1 << 64) - 1 | block) for block in _blocks(left, radius + 1)]
+
+
+def dealt_shards(distinct: DataFrame, masks: list[int], column: str = "fingerprint", largest: int = LARGEST) -> DataFrame:
+    """``(table, key, f)``: the fingerprints under every mask (the table), with shards of more than ``largest`` cut by finer masks."""
+    if largest < 1 << RADIUS + 1:
+        raise ValueError(f"a shard of up to {1 << RADIUS + 1} fingerprints may have too few bits left to be cut")
+
+    def deal(points: DataFrame, under: Column) -> DataFrame:
+        return points.select(F.explode(under).alias("table"), "f").select("table", F.col("table").bitwiseAND(F.col("f")).alias("key"), "f")
+
+    done, todo = [], deal(distinct.select(F.col(column).alias("f")), F.array(*map(F.lit, masks)).cast("array<long>"))
+    while True:
+        # Every shard that is too large has its own row here, and there are fewer than fingerprints / largest in a table.
+        over = checkpointed(todo.groupBy("table", "key").count().filter(F.col("count") > largest).select("table", "key"))
+        cut = [r["table"] for r in over.select("table").distinct().collect()]
+        if not cut:
+            return reduce(DataFrame.unionByName, [*done, todo])
+        done.append(todo.join(over, ["table", "key"], "left_anti"))
+        finer = distinct.sparkSession.createDataFrame([(m, finer_masks(m)) for m in cut], "table long, finer array<long>")
+        large = todo.join(over, ["table", "key"]).join(finer, "table")
+        todo = checkpointed(deal(large, F.col("finer")).distinct())
+
+
+def shard_edges(distinct: DataFrame, count: int, column: str = "fingerprint", largest: int = LARGEST) -> DataFrame:
     """Tree edges ``(a, b)`` that join all fingerprints within the radius, from every shard."""
-    masks = block_masks(count)
-    table = F.explode(F.array(*(F.struct(F.lit(k).alias("table"), F.col(column).bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks))))
-    dealt = distinct.select(column, table.alias("s")).select("s.table", "s.key", F.col(column).alias("f"))
+    dealt = dealt_shards(distinct, block_masks(count), column, largest)
 
     def flush(parts):
         points = np.concatenate(parts).view(np.uint64)

@@ -69,6 +69,40 @@ def test_tables_cover_every_pair():
             assert any(not diff & m for m in masks)
 
 
+def template_points():
+    """Fingerprints with 40 bits in common, some of them within the radius."""
+    rng = np.random.default_rng(8)
+    free = rng.permutation(64)[:24]
+    spread = lambda x: sum(1 << int(b) for k, b in enumerate(free) if x >> k & 1)
+    base = 0x5A5A5A5A5A5A5A5A & ~sum(1 << int(b) for b in free)
+    points = {base | spread(int(x)) for x in rng.integers(0, 1 << 24, 400)}
+    points |= {p ^ sum(1 << int(b) for b in rng.choice(free, rng.integers(1, 6), replace=False)) for p in sorted(points)[:100]}
+    return sorted(points)
+
+
+def test_finer_masks_cover_every_pair():
+    rng = np.random.default_rng(6)
+    for mask in simhash.block_masks(100):
+        for m in (mask, *simhash.finer_masks(mask)):
+            left = [b for b in range(64) if not m >> b & 1]
+            finer = [f & (1 << 64) - 1 for f in simhash.finer_masks(m)]
+            assert all(m & (1 << 64) - 1 & ~f == 0 for f in finer)
+            for _ in range(100):
+                diff = sum(1 << int(b) for b in rng.choice(left, 4, replace=False))
+                assert any(not diff & f for f in finer)
+
+
+def test_large_shards_are_cut_and_lose_no_link(spark):
+    points = template_points()
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    distinct = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
+    sizes = simhash.dealt_shards(distinct, simhash.block_masks(len(points)), largest=40).groupBy("table", "key").count()
+    assert max(r["count"] for r in sizes.collect()) <= 40
+    found = dict(collected(components(simhash.shard_edges(distinct, len(points), largest=40))))
+    got, want = [found.get(p, p) for p in signed], brute_groups(points)
+    assert len(set(zip(got, want))) == len(set(got)) == len(set(want)) < len(points)
+
+
 def test_components_equal_brute_force(spark):
     rows = corpus()
     out = simhash.deduplicate(documents(spark, rows)).collect()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, lattice, mixing, pii, quality, secrets, simhash, warc
+from . import bpe, chat, decontaminate, importance, langid, lattice, mixing, pii, quality, secrets, simhash, warc, whiten
 from .common import shared_folder, table
 
 QUERIES: dict = {}
@@ -131,3 +131,18 @@ def op9_chat(spark, sf_dir):
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_whiten")
+def op11_whiten(spark, sf_dir):
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_bpe")
+def op12_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op13_importance")
+def op13_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

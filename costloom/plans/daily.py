@@ -19,17 +19,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import closure as groups, incremental as inc, tags
 from ..operators.keys import with_sentinels
 from ..operators.latest import latest_snapshot
-from ..operators.quality import expectation_report
 from ..schemas import (
     GROUP_SENTINELS, IDENTITY_SENTINELS, LANDED, RESOURCE_SENTINELS, SERVICE_PRINCIPAL_SENTINELS,
     TAG_KEY_SENTINELS, USER_SENTINELS, WORKSPACE_SENTINELS,
 )
+from ..sources.load_index import LoadIndex
 from ..sources.tables import Tables, touched_days
 from ..streaming import flows
 from ..streaming.ingest import read_appended, run_all
 from . import costing, gold, identities as ids, resources as res, silver
 
-LOAD_DAY, REQUEST_DAY = "load_day_dt", "request_day_dt"
+LOAD_DAY, REQUEST_DAY, START_DAY = "load_day_dt", "request_day_dt", "start_day_dt"
+ENTITY = ["account_cd", "workspace_cd", "served_entity_cd"]
+RULED = {"tf_billing_usage": silver.USAGE_RULES, "tf_serving_usage": silver.SERVING_RULES}
+CLOSURE = ("tr_dbx_group_edge", "tr_dbx_group_reach", "tr_dbx_group_closure")
 AUDIT = "sys_create_dt timestamp, sys_update_dt timestamp"
 # Empty form of the merged dimensions: surrogate first, then natural key and labels.
 EMPTY = {
@@ -50,7 +53,8 @@ EMPTY = {
                     "is_active_fl int, " + AUDIT,
     "tr_dbx_group_member": "account_cd string, group_cd string, member_cd string, member_type_lb string, "
                            "is_deleted_fl int, " + AUDIT,
-    "tr_dbx_user_security": "user_cd string, member_cd string, " + AUDIT,
+    "tr_dbx_group_reach": "account_cd string, group_cd string, inner_cd string",
+    "tr_dbx_group_closure": "account_cd string, group_cd string, member_cd string",
     "td_resource": "resource_id bigint, resource_type_lb string, source_cd string, account_cd string, "
                    "region_lb string, workspace_cd string, display_name_lb string, owned_by_cd string, "
                    "is_active_fl int, " + AUDIT,
@@ -84,10 +88,17 @@ def _serving_rows(landed: DataFrame) -> DataFrame:
     return silver.source_view(landed, silver.SERVING_USAGE).withColumn(REQUEST_DAY, F.to_date("request_dt"))
 
 
+def _served_days(landed: DataFrame) -> DataFrame:
+    return _serving_rows(landed).select(*ENTITY, REQUEST_DAY).distinct()
+
+
+def _history_rows(landed: DataFrame) -> DataFrame:
+    return silver.source_view(landed, silver.QUERY_HISTORY).withColumn(START_DAY, F.to_date("start_dt"))
+
+
 def changed_days(requests: DataFrame, late_requests: DataFrame, late_cost: DataFrame | None = None,
                  late_statements: DataFrame | None = None, late_entities: DataFrame | None = None) -> set[dt.date]:
     """Days whose shares change through late rows; a late entity touches every day it has requests on."""
-    on = ["account_cd", "workspace_cd", "served_entity_cd"]
     day = F.to_date("request_dt").alias("day")
     parts = [late_requests.select(day)]
     if late_cost is not None:
@@ -95,7 +106,7 @@ def changed_days(requests: DataFrame, late_requests: DataFrame, late_cost: DataF
     if late_statements is not None:
         parts.append(late_statements.select(F.to_date("start_dt").alias("day")))
     if late_entities is not None:
-        parts.append(requests.join(late_entities.select(*on), on, "left_semi").select(day))
+        parts.append(requests.join(late_entities.select(*ENTITY), ENTITY, "left_semi").select(day))
     return {d for d in touched_days(reduce(DataFrame.unionByName, parts), "day") if d is not None}
 
 
@@ -119,6 +130,7 @@ class Daily:
         self.generation = generation
         self.home = f"{self.root}/generation-{generation:04d}"
         self.tables = Tables(self.spark, f"{self.home}/tables")
+        self.index = LoadIndex(self.tables)
 
     def _checkpoint(self, name: str) -> str:
         return f"{self.home}/checkpoints/{name}"
@@ -160,12 +172,17 @@ class Daily:
 
     def run_streams(self) -> None:
         """Append facts and fold every change feed: one stream for each landed table, whatever it feeds."""
-        history = silver.source_view(self._stream("query_history"), silver.QUERY_HISTORY)
-        running = {"query_history": flows.scd1_by_day_flow(
-            history.withColumn("start_day_dt", F.to_date("start_dt")), self.tables, "tf_query_history",
-            silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, "start_day_dt", self._checkpoint("query_history"))}
-        folds = {"billing_usage": [flows.append_fold(_usage_rows, self.tables.folder("tf_billing_usage"), [LOAD_DAY])],
-                 "serving_endpoint_usage": [flows.append_fold(_serving_rows, self.tables.folder("tf_serving_usage"), [REQUEST_DAY])]}
+        folds = {
+            "query_history": [
+                flows.index_fold(_history_rows, self.index, "tf_query_history", START_DAY),
+                flows.scd1_by_day_fold(_history_rows, self.tables, "tf_query_history", silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, START_DAY)],
+            "billing_usage": [self._appending("tf_billing_usage", _usage_rows, LOAD_DAY)],
+            "serving_endpoint_usage": [
+                flows.index_fold(_serving_rows, self.index, "tf_serving_usage", REQUEST_DAY),
+                flows.append_fold(_served_days, self.tables.folder("_served_days")),
+                self._appending("tf_serving_usage", _serving_rows, REQUEST_DAY)],
+        }
+        running = {}
         for spec in silver.BILLING_ENTITIES:
             folds["billing_usage"].append(flows.scd1_fold(
                 lambda batch, s=spec: silver.extract_entity(batch, s), self.tables, f"td_billing_{spec.name}", spec.keys, "ingestion_dt",
@@ -173,12 +190,29 @@ class Daily:
         for spec in silver.CHANGE_FED:
             name, view = DIMENSION_TABLES[spec.table], lambda batch, s=spec: silver.source_view(batch, s)
             folds[spec.table] = [
+                flows.index_fold(view, self.index, name, spec.seq),
                 flows.scd1_fold(view, self.tables, name, spec.keys, spec.seq, (), spec.id_col,
                                 lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col)),
                 flows.scd2_fold(view, self.tables, f"{name}_history", spec.keys, spec.seq)]
         for landed, parts in folds.items():
             running[landed] = flows.feed_flow(self._stream(landed), parts, self._checkpoint(landed))
         run_all(running)
+        parts = [f"_expectations_{n}" for n in RULED]
+        if number := sum(max(self.tables.versions(n), default=0) for n in parts):
+            found = [df for n in parts if (df := self.tables.read(n)) is not None]
+            self.tables.replace("_expectations", reduce(DataFrame.unionByName, found), version=number)
+
+    def _appending(self, name: str, rows: flows.Prepare, day: str) -> flows.Fold:
+        """Append to a fact; what a batch breaks of the fact's rules is counted on the way and kept under the batch's number."""
+        kept = f"_expectations_{name}"
+
+        def report(found: DataFrame, batch_id: int) -> None:
+            found = found.select(F.lit(name).alias("table_name"), "*", F.current_timestamp().alias(silver.LOAD))
+            known = self.tables.read(kept, before=batch_id + 1)
+            self.tables.replace(kept, found if known is None else known.unionByName(found), version=batch_id + 1)
+
+        return flows.observed_fold(
+            rows, RULED[name], report, lambda watched: flows.append_fold(watched, self.tables.folder(name), [day]))
 
     def run_workspaces(self) -> None:
         self.tables.replace(
@@ -200,14 +234,29 @@ class Daily:
             self.tables.replace(name, merged)
 
     def run_visibility(self) -> None:
-        """Visibility is computed inside each account and stored by user and member."""
+        """Who is in which group at any depth, inside each account. Pairs of users are made when they are read.
+
+        The three tables of a state (edges, groups that a group reaches, its members) carry one version number, and the
+        row that names it comes last, so a run that stops half-way starts again from the old state. Without
+        changed memberships nothing is written; else only groups above a change are derived again.
+        """
         scope = ["account_cd"]
-        edges = self.current("tr_dbx_group_member")
-        people = self.current("td_dbx_user").filter(F.col("user_id") > 0)
-        pairs = groups.visibility(people, edges, groups.closure(edges, scope), scope)
-        pairs = pairs.select("user_cd", "member_cd").distinct()
-        self.tables.replace(
-            "tr_dbx_user_security", ids.merge_visibility(self.current("tr_dbx_user_security"), pairs))
+        edges = self.current("tr_dbx_group_member").filter("is_deleted_fl = 0").select(*scope, "group_cd", "member_cd", "member_type_lb")
+        state = self.tables.read("_closure_state")
+        if state is None:
+            reach, apply = groups.reachable_groups(edges, scope), None
+        else:
+            before, reach, closed = (self.tables.read(n, before=state.first()[0] + 1) for n in CLOSURE)
+            changed = groups.changed_edges(before, edges, scope).checkpoint()
+            if changed.isEmpty():
+                return
+            reach, touched = groups.reach_apply(reach, edges, changed, scope)
+            apply = lambda now: groups.closure_apply(closed, now, edges, changed, touched, scope)
+        number = 1 + max(v for n in CLOSURE for v in (0, *self.tables.versions(n)))
+        self.tables.replace(CLOSURE[0], edges, version=number)
+        reach = self.tables.replace(CLOSURE[1], reach, version=number)
+        self.tables.replace(CLOSURE[2], apply(reach) if apply else groups.members_of(reach, edges, scope), version=number)
+        self.tables.replace("_closure_state", self.spark.range(1).select(F.lit(number).alias("version_nb")))
 
     def run_cost(self) -> None:
         """Price what arrived since the stored mark.
@@ -225,24 +274,17 @@ class Daily:
             days = touched_days(arrived, costing.COST_DAY)
             if not days:
                 return
-            self.expected("tf_billing_usage", arrived, silver.USAGE_RULES)
             lines = silver.dedupe_usage(arrived, origin=flows.BATCH).drop(flows.BATCH)
             fresh = costing.costed(lines, prices, self.currency)
             stored = self.tables.days("tf_billing_cost", costing.COST_DAY, days)
             merged = fresh if stored is None else costing.merge_cost(stored, fresh)
+            self.index.record("tf_billing_cost", self.tables.next_load("tf_billing_cost"), lines, costing.COST_DAY, "usage_dt")
             self.tables.overwrite_days("tf_billing_cost", merged, costing.COST_DAY)
             self.tables.replace(
                 "_marks", inc.upsert_mark(marks, "tf_billing_cost", inc.next_mark(arrived, silver.LOAD, mark)))
         finally:
             arrived.unpersist()
 
-    def expected(self, table: str, rows: DataFrame, rules: dict[str, str]) -> None:
-        """Add what ``rows`` break of ``rules`` to the table of expectations; no row is dropped."""
-        found = expectation_report(rows, rules).select(
-            F.lit(table).alias("table_name"), "rule_lb", "checked_nb", "failed_nb", F.current_timestamp().alias(silver.LOAD))
-        known = self.tables.read("_expectations")
-        self.tables.replace("_expectations", found if known is None else known.unionByName(found))
-
     def _dimensions(self) -> dict[str, DataFrame]:
         names = [*DIMENSION_TABLES.values(), *[f"td_billing_{s.name}" for s in silver.BILLING_ENTITIES]]
         found = {n: self.tables.read(n) for n in names}
@@ -261,65 +303,86 @@ class Daily:
 
     def run_attribution(self, days: list[dt.date] | None = None) -> None:
         """Recompute attributed cost for the given usage days (default: all). A late
-        statement or a corrected line changes every share of its day."""
-
-        def of_days(df: DataFrame, column: str) -> DataFrame:
-            return df if days is None else df.filter(F.col(column).isin(days))
-
-        cost = self.tables.read("tf_billing_cost")
-        if cost is None:
+        statement or a corrected line changes every share of its day. Of each fact only the folders are
+        read that hold rows of these days."""
+        if not self.tables.exists("tf_billing_cost"):
             return
-        cost = of_days(cost, "usage_dt")
-        history = self.tables.read("tf_query_history") if days is None else self.tables.days("tf_query_history", "start_day_dt", days)
+        if days is None:
+            cost, history, usage = self.tables.read("tf_billing_cost"), self.tables.read("tf_query_history"), self.serving()
+        else:
+            folders = self.index.folders("tf_billing_cost", days)
+            cost = self.tables.days("tf_billing_cost", costing.COST_DAY, folders).filter(F.col("usage_dt").isin(days))
+            history = self.tables.days("tf_query_history", START_DAY, days)
+            usage = self.serving().filter(F.col(REQUEST_DAY).isin(days))
         if history is not None:
-            queries = costing.query_attribution(history.drop("start_day_dt"), costing.warehouse_pool(cost))
+            queries = costing.query_attribution(history.drop(START_DAY), costing.warehouse_pool(cost))
             self.tables.overwrite_days("mvf_query_cost_attribution", queries, "usage_dt", days)
-        usage = of_days(self.serving(), REQUEST_DAY).drop(REQUEST_DAY)
         requests = costing.serving_attribution(
-            usage, self.tables.read("td_serving_entity"), costing.endpoint_pool(cost))
+            usage.drop(REQUEST_DAY), self.tables.read("td_serving_entity"), costing.endpoint_pool(cost))
         self.tables.overwrite_days("mvf_serving_cost_attribution", requests, "usage_dt", days)
 
-    def _attributed_from(self) -> dict[str, DataFrame]:
-        """The tables that attribution reads, by name."""
-        names = ["tf_billing_cost", "tf_query_history", "td_serving_entity"]
-        found = {n: df for n in names if (df := self.tables.read(n)) is not None}
-        return {**found, "tf_serving_usage": self.serving()}
+    def _index_facts(self) -> None:
+        """Facts that were stored before there was an index are indexed once, from their days."""
+        facts = {"tf_billing_cost": (costing.COST_DAY, "usage_dt", lambda: self.tables.read("tf_billing_cost")),
+                 "tf_query_history": (START_DAY, None, lambda: self.tables.read("tf_query_history")),
+                 "tf_serving_usage": (REQUEST_DAY, None, self.serving)}
+        for name, (folder, day, read) in facts.items():
+            if self.tables.holds(name) and not self.index.known(name):
+                self.index.record(name, "stored", read(), folder, day)
+        if self.tables.holds("tf_serving_usage") and not self.tables.holds("_served_days"):
+            self.serving().select(*ENTITY, REQUEST_DAY).distinct().write.parquet(f"{self.tables.folder('_served_days')}/{flows.BATCH}=-1")
 
     def stale_days(self, since: dt.datetime) -> list[dt.date]:
         """Usage days whose shares may have changed after ``since``: days with cost lines, statements
-        or requests loaded since, and days of requests whose served entity was."""
-        read = self._attributed_from()
-        late = {n: inc.incremental(df, silver.LOAD, since) for n, df in read.items()}
-        return sorted(changed_days(
-            read["tf_serving_usage"], late["tf_serving_usage"], late.get("tf_billing_cost"), late.get("tf_query_history"),
-            late.get("td_serving_entity")))
+        or requests loaded since, and days of requests whose served entity was. Facts are not read: the index of
+        loads knows their days, and entities are looked up only when one was loaded."""
+        parts = [self.index.since(n, since) for n in ("tf_billing_cost", "tf_query_history", "tf_serving_usage")]
+        entities = self.tables.read("td_serving_entity")
+        if entities is not None and self.tables.holds("_served_days") and not self.index.since("td_serving_entity", since).isEmpty():
+            late = inc.incremental(entities, silver.LOAD, since)
+            empty = _served_days(self.spark.createDataFrame([], self.landed_schemas["serving_endpoint_usage"]))
+            served = flows.read_appended_batches(self.spark, self.tables.folder("_served_days"), empty.schema)
+            parts.append(served.join(late.select(*ENTITY), ENTITY, "left_semi").select(F.col(REQUEST_DAY).alias("day_dt")))
+        return sorted(d for d in touched_days(reduce(DataFrame.unionByName, parts), "day_dt") if d is not None)
 
     def run_stale_attribution(self) -> None:
-        """Recompute the stale days. The mark is the newest load time read, and moves last."""
+        """Recompute the stale days. The mark is the newest load that the index knows, and moves last."""
+        self._index_facts()
         marks = self.current("_marks")
         since = inc.stored_mark(marks, "attribution")
-        reached = [inc.high_water_mark(df, silver.LOAD) for df in self._attributed_from().values()]
-        days = self.stale_days(since)
-        if not days:
+        reached = self.index.reached(["tf_billing_cost", "tf_query_history", "tf_serving_usage", "td_serving_entity"])
+        if reached is None or reached <= since:
             return
-        self.run_attribution(days)
-        value = self.spark.range(1).select(F.lit(max(reached)).cast("timestamp").alias("last_processed_dt"))
+        days = self.stale_days(since)
+        if days:
+            self.run_attribution(days)
+        value = self.spark.range(1).select(F.lit(reached).cast("timestamp").alias("last_processed_dt"))
         self.tables.replace("_marks", inc.upsert_mark(marks, "attribution", value))
 
     def run(self, full: bool = False) -> None:
-        """All steps. ``full`` reads everything that ever landed into a new generation."""
+        """All steps. ``full`` reads everything that ever landed into a new generation; if one of its steps fails, this
+        object goes on with the current generation, as all readers do, and the next full refresh begins anew."""
+        steps = (self.run_streams, self.run_workspaces, self.run_identities, self.run_visibility, self.run_cost,
+                 self.run_resources, self.run_stale_attribution)
+        current = self.generation
         if full:
-            self._use(self.generation + 1)
-        self.run_streams()
-        self.run_workspaces()
-        self.run_identities()
-        self.run_visibility()
-        self.run_cost()
-        self.run_resources()
-        self.run_stale_attribution()
-        if full:
-            now = self.spark.range(1).select(F.lit(self.generation).alias("generation_nb"))
-            self._generations.replace("current", now)
+            self._use(self._unused_generation())
+        try:
+            for step in steps:
+                step()
+            if full:
+                now = self.spark.range(1).select(F.lit(self.generation).alias("generation_nb"))
+                self._generations.replace("current", now)
+        except BaseException:
+            self._use(current)
+            raise
+
+    def _unused_generation(self) -> int:
+        """The number of a generation that no earlier refresh, complete or not, has written to."""
+        number, home = self.generation + 1, Tables(self.spark, self.root)
+        while home.holds(f"generation-{number:04d}"):
+            number += 1
+        return number
 
     # -- reporting ---------------------------------------------------------
 
@@ -336,7 +399,8 @@ class Daily:
             "vd_pbi_dbx_group": gold.group_dim(read("td_dbx_group")),
             "vr_pbi_resource_tag": gold.resource_tag_grid(read("tr_resource_tag"), resources, read("td_tag_key")),
             "vr_pbi_dbx_group_member": gold.group_member_bridge(read("tr_dbx_group_member")),
-            "vr_pbi_dbx_user_security": gold.visibility_bridge(read("tr_dbx_user_security")),
+            "vr_pbi_dbx_user_security": gold.visibility_pairs(
+                read("td_dbx_user"), read("tr_dbx_group_member"), read("tr_dbx_group_closure")),
             "vf_pbi_billing_cost": gold.billing_cost_fact(
                 self.tables.read("tf_billing_cost"), workspaces, resources, people),
             "vf_pbi_query_cost": gold.query_cost_fact(

@@ -90,6 +90,19 @@ def visibility_bridge(pairs: DataFrame) -> DataFrame:
     return _pick(pairs, "user_cd", "member_cd", *AUDIT)
 
 
+def visibility_pairs(people: DataFrame, edges: DataFrame, closed: DataFrame, scope=("account_cd",)) -> DataFrame:
+    """``visibility_bridge`` from its factors, when it is read: a filter on ``user_cd`` reaches the memberships before they meet
+    the members. A pair is as old as the oldest membership, or user, that makes it."""
+    scope = list(scope)
+    live = edges.filter((F.col("is_deleted_fl") == 0) & (F.col("member_type_lb") == "Users"))
+    own = live.select(*scope, "group_cd", F.col("member_cd").alias("user_cd"), *AUDIT)
+    shared = own.join(closed, [*scope, "group_cd"]).select("user_cd", "member_cd", *AUDIT)
+    self_rows = people.filter(F.col("user_id") > 0).select("user_cd", F.col("user_cd").alias("member_cd"), *AUDIT)
+    pairs = shared.unionByName(self_rows).groupBy("user_cd", "member_cd").agg(
+        F.min("sys_create_dt").alias("sys_create_dt"), F.max("sys_update_dt").alias("sys_update_dt"))
+    return visibility_bridge(pairs)
+
+
 def _resolve_workspace(fact: DataFrame, workspaces: DataFrame) -> DataFrame:
     return resolve_fk(
         fact, workspaces, ["account_cd", "workspace_cd"], "workspace_id", rules.UNKNOWN_WORKSPACE

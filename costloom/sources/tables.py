@@ -40,6 +40,10 @@ class Tables:
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def holds(self, name: str) -> bool:
+        """Whether the folder of ``name`` exists, whatever shape it has."""
+        return self._is_file(name)
+
     # -- versioned tables --------------------------------------------------
 
     def versions(self, name: str) -> list[int]:
@@ -144,6 +148,10 @@ class Tables:
         self._publish(name, number + 1, {"schema": open_.jsonValue(), "days": held})
         return self.read(name)
 
+    def next_load(self, name: str) -> int:
+        """The number of the load that ``overwrite_days`` writes next."""
+        return self._manifest(name)[0] + 1
+
     def days(self, name: str, day: str, wanted: Sequence) -> DataFrame | None:
         """The stored rows of some days; only their folders are read."""
         return self._read_days(name, {f"{day}={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in wanted})

@@ -8,13 +8,15 @@ failure therefore ends in the same table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc
 from ..operators.keys import highest_key
+from ..operators.quality import expect
+from ..sources.load_index import LoadIndex
 from ..sources.tables import Tables, touched_days
 
 
@@ -60,6 +62,37 @@ def append_fold(prepare: Prepare, target: str, partition_by: Sequence[str] = ())
     return fold
 
 
+def index_fold(prepare: Prepare, index: LoadIndex, fact: str, folder_day: str, day: str | None = None) -> Fold:
+    """Note the days of a batch in the index of loads. It stands before the fold that writes the batch, which a failure
+    repeats together with it."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        index.record(fact, batch_id, prepare(batch), folder_day, day)
+
+    return fold
+
+
+def observed_fold(prepare: Prepare, rules: Mapping[str, str], report: Callable[[DataFrame, int], None], then: Callable[[Prepare], Fold]) -> Fold:
+    """Count what a batch breaks of ``rules`` while another fold, made by ``then``, writes it: no pass of its own.
+
+    ``report`` gets one row per rule once the batch is written."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        seen: list = []
+
+        def watched(rows: DataFrame) -> DataFrame:
+            rows, observation = expect(prepare(rows), rules)
+            seen.append(observation)
+            return rows
+
+        then(watched)(batch, batch_id)
+        counts = seen[0].get
+        rows = [(rule, counts["rows"], counts[rule]) for rule in rules]
+        report(batch.sparkSession.createDataFrame(rows, "rule_lb string, checked_nb bigint, failed_nb bigint"), batch_id)
+
+    return fold
+
+
 def read_appended_batches(spark, target: str, schema: T.StructType) -> DataFrame:
     """All batches that ``append_fold`` wrote, with their number; ``schema`` includes the partition columns."""
     return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(target)
@@ -165,14 +198,18 @@ def scd1_by_day_flow(
     touches are read and replaced. ``day`` must not change within a key. Folding is
     idempotent (the newest sequence wins), so a replay is harmless."""
 
+    return feed_flow(source, [scd1_by_day_fold(_as_is, tables, name, keys, seq, day, ties)], checkpoint)
+
+
+def scd1_by_day_fold(
+    prepare: Prepare, tables: Tables, name: str, keys: Sequence[str], seq: str, day: str, ties: Sequence[str] = ()
+) -> Fold:
+    """``scd1_by_day_flow`` as one of several folds of a feed."""
+
     def fold(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch = batch.persist()
-        try:
-            stored = tables.days(name, day, touched_days(batch, day))
-            tables.overwrite_days(name, cdc.scd1(stored, batch, keys, seq, ties), day)
-        finally:
-            batch.unpersist()
+        batch = prepare(batch)
+        days = touched_days(batch, day)
+        if days:
+            tables.overwrite_days(name, cdc.scd1(tables.days(name, day, days), batch, keys, seq, ties), day)
 
-    return _run(source.withColumn(day, F.col(day)), fold, checkpoint)
+    return fold

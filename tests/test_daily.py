@@ -98,7 +98,7 @@ def test_second_run_is_incremental(daily, spark):
 
 
 def test_rerun_without_news_changes_nothing(daily):
-    names = ["td_resource", "td_identity", "tr_resource_tag", "tr_dbx_user_security", "td_tag_key"]
+    names = ["td_resource", "td_identity", "tr_resource_tag", "tr_dbx_group_reach", "tr_dbx_group_closure", "td_tag_key"]
     before = {n: rows(daily.current(n)) for n in names}
     cost = rows(daily.tables.read("tf_billing_cost").drop("custom_tags"))
     daily.run()
@@ -187,3 +187,90 @@ def test_views_answer_sql(daily, spark):
     daily.register_views()
     total = spark.sql("select sum(line_cost_usd) from vf_pbi_billing_cost").first()[0]
     assert total == pytest.approx(kpi.measure(daily.gold()["vf_pbi_billing_cost"], "total_cost").first()[0])
+
+
+def fact_reads(daily, monkeypatch):
+    """Names of the fact tables that are read from now on."""
+    seen, facts = [], {"tf_billing_cost", "tf_query_history", "tf_serving_usage"}
+    for method in ("read", "days"):
+        whole = getattr(daily.tables, method)
+        monkeypatch.setattr(daily.tables, method, lambda name, *a, whole=whole, **k: (seen.append(name), whole(name, *a, **k))[1])
+    serving = daily.serving
+    monkeypatch.setattr(daily, "serving", lambda: (seen.append("tf_serving_usage"), serving())[1])
+    return lambda: [n for n in seen if n in facts]
+
+
+def test_attribution_without_news_reads_no_fact(daily, monkeypatch):
+    daily.run()
+    seen = fact_reads(daily, monkeypatch)
+    attributed = daily.tables.next_load("mvf_query_cost_attribution")
+    daily.run_stale_attribution()
+    assert seen() == [] and daily.tables.next_load("mvf_query_cost_attribution") == attributed
+
+
+def test_attribution_reads_the_folders_of_stale_days_alone(daily, spark, monkeypatch):
+    import datetime as dt
+
+    other = dt.date(2023, 5, 6)
+    landing.land(spark, daily.landed, "billing_usage", [
+        landing.usage("far1", meta={"warehouse_id": "wh1"}, usage_date=other, ingestion_date=other),
+        landing.usage("far2", meta={"warehouse_id": "wh1"}, usage_date=other, ingestion_date=other + dt.timedelta(days=3))], "far")
+    daily.run_streams()
+    daily.run_cost()
+    read = []
+    days = daily.tables.days
+    monkeypatch.setattr(daily.tables, "days", lambda name, day, wanted: (read.append((name, sorted(wanted))), days(name, day, wanted))[1])
+    daily.run_stale_attribution()
+    assert read == [("tf_billing_cost", [other, other + dt.timedelta(days=3)]), ("tf_query_history", [other])]
+    plan = daily.serving().filter(F.col("request_day_dt").isin([other]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [request_day_dt" in plan.replace("isnotnull(request_day_dt#", "") or "request_day_dt" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_facts_stored_before_the_index_are_indexed_once(daily, monkeypatch):
+    monkeypatch.setattr(daily.index, "name", "_load_index_again")
+    seen = shares(daily)
+    daily.run_stale_attribution()
+    assert {n for n in ("tf_billing_cost", "tf_query_history", "tf_serving_usage") if daily.index.known(n)} == {
+        "tf_billing_cost", "tf_query_history", "tf_serving_usage"}
+    assert shares(daily) == seen
+    reads = fact_reads(daily, monkeypatch)
+    daily.run_stale_attribution()
+    assert reads() == []
+
+
+def test_both_rule_sets_are_counted(daily):
+    found = daily.tables.read("_expectations")
+    assert {r.table_name for r in found.collect()} == {"tf_billing_usage", "tf_serving_usage"}
+    stored = {n: daily.tables.read(n).count() if n in ("tf_billing_cost",) else None for n in ("tf_billing_cost",)}
+    per = {r.table_name: r.n for r in found.groupBy("table_name", "rule_lb").agg(F.sum("checked_nb").alias("n")).select("table_name", "n").distinct().collect()}
+    assert per["tf_serving_usage"] == daily.serving().count() and per["tf_billing_usage"] >= stored["tf_billing_cost"]
+
+
+def test_closure_follows_the_directory(daily, spark):
+    from costloom.operators import closure as groups
+
+    edges = daily.current("tr_dbx_group_member").filter("is_deleted_fl = 0")
+    assert rows(daily.current("tr_dbx_group_closure")) == rows(groups.closure(edges, ["account_cd"]))
+    versions = daily.tables.versions("tr_dbx_group_closure")
+    daily.run_visibility()
+    assert daily.tables.versions("tr_dbx_group_closure") == versions
+    changed = daily.current("tr_dbx_group_member").withColumn("is_deleted_fl", F.lit(1) - F.col("is_deleted_fl"))
+    daily.tables.replace("tr_dbx_group_member", changed)
+    daily.run_visibility()
+    edges = changed.filter("is_deleted_fl = 0")
+    assert rows(daily.current("tr_dbx_group_closure")) == rows(groups.closure(edges, ["account_cd"]))
+    assert rows(daily.current("tr_dbx_group_reach"), "account_cd", "group_cd", "inner_cd") == rows(groups.reachable_groups(edges, ["account_cd"]))
+
+
+def test_a_full_refresh_that_fails_leaves_the_current_generation(daily, spark, monkeypatch):
+    before, charged = daily.generation, shares(daily)
+    monkeypatch.setattr(Daily, "run_resources", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        daily.run(full=True)
+    monkeypatch.undo()
+    assert daily.generation == before and shares(daily) == charged
+    daily.run()
+    assert shares(daily) == charged
+    daily.run(full=True)
+    assert daily.generation > before and shares(daily) == charged
+    assert Daily(spark, daily.landed, daily.root).generation == daily.generation

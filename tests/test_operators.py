@@ -426,6 +426,62 @@ def test_visibility_and_deleted_edges(frame):
     assert rows(out) == [("u1", "u1"), ("u1", "u2"), ("u2", "u2"), ("u9", "u9")]
 
 
+def random_edges(rnd, groups_nb, nest, leaf):
+    edges = {(f"g{rnd.randrange(groups_nb)}", f"g{rnd.randrange(groups_nb)}", "Groups") for _ in range(nest)}
+    return edges | {(f"g{rnd.randrange(groups_nb)}", f"u{rnd.randrange(9)}", "Users") for _ in range(leaf)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_closure_under_change_equals_closure_from_scratch(frame, seed):
+    """Two days of added and ended edges, with cycles and paths that end."""
+    rnd = random.Random(seed)
+    now = random_edges(rnd, 14, 16, 14)
+    reach, closed = groups.reachable_groups(frame(EDGE, sorted(now))), groups.closure(frame(EDGE, sorted(now)))
+    for _ in range(2):
+        then = {e for e in now if rnd.random() < 0.75} | random_edges(rnd, 16, 5, 4)
+        before, after = frame(EDGE, sorted(now)), frame(EDGE, sorted(then))
+        changed = groups.changed_edges(before, after)
+        assert set(rows(changed)) == now ^ then
+        reach, touched = groups.reach_apply(reach, after, changed)
+        reach = reach.checkpoint()
+        closed = groups.closure_apply(closed, reach, after, changed, touched).checkpoint()
+        assert rows(reach) == rows(groups.reachable_groups(after))
+        assert rows(closed) == brute_closure(then)
+        now = then
+
+
+def test_a_cut_chain_and_a_new_link(frame):
+    chain = [(f"g{i}", f"g{i+1}", "Groups") for i in range(40)] + [("g40", "u", "Users")]
+    cut = [e for e in chain if e[0] != "g20"] + [("g30", "g5", "Groups"), ("g5", "v", "Users")]
+    before, after = frame(EDGE, chain), frame(EDGE, cut)
+    changed = groups.changed_edges(before, after)
+    reach, touched = groups.reach_apply(groups.reachable_groups(before), after, changed)
+    assert rows(groups.closure_apply(groups.closure(before), reach, after, changed, touched)) == brute_closure(cut)
+    assert touched.count() == 31  # groups above the cut or above the new link
+
+
+def test_nothing_changed_touches_nothing(frame):
+    df = frame(EDGE, [("g", "h", "Groups"), ("h", "u", "Users")])
+    changed = groups.changed_edges(df, df.unionAll(df))
+    reach, touched = groups.reach_apply(groups.reachable_groups(df), df, changed)
+    assert changed.isEmpty() and touched.isEmpty() and rows(reach) == [("g", "g"), ("g", "h"), ("h", "h")]
+
+
+def test_visibility_from_factors(frame):
+    rnd = random.Random(5)
+    edges = sorted(random_edges(rnd, 6, 7, 20))
+    df = frame(EDGE, edges)
+    users, closed, own = frame("user_cd string", [(f"u{i}",) for i in range(10)]), groups.closure(df), groups.memberships(df)
+    every = rows(groups.visibility(users, df, closed))
+    assert rows(groups.visible_to(users, users, own, closed)) == [p for p in every if p[0] in {f"u{i}" for i in range(10)}]
+    asked = frame("user_cd string", [("u3",), ("u3",), ("u9",), ("nobody",)])
+    assert rows(groups.visible_to(asked, users, own, closed)) == [p for p in every if p[0] in ("u3", "u9")]
+    facts = frame("who string, n int", [(f"u{i}", i) for i in range(10)] + [("u1", 11), (None, 12)])
+    for u in ("u1", "u9"):
+        want = sorted(((f"u{i}", n) for i in range(10) for n in ((i, 11) if i == 1 else (i,)) if (u, f"u{i}") in every), key=repr)
+        assert rows(groups.visible_rows(facts, "who", [u], own, closed)) == want
+
+
 # ---- ranking ---------------------------------------------------------------
 
 @pytest.mark.parametrize("dense", [True, False])

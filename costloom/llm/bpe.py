@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import fresh, map_texts
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 LONG = 256
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
 _NEVER = np.int64(1) << 40
 _MODELS: dict[int, Model] = {}
 
@@ -333,9 +333,18 @@ def decode(df: DataFrame, ids: str = "ids", vocabulary: str | None = None, decod
 
 
 def round_trip(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
-    """Number of tokens and digests of ids and decoded text of every document."""
+    """Number of tokens and digests of ids and decoded text of every document, encoded and decoded by the same worker."""
+    raw = _shipped(docs, vocabulary)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    encoded = encode(narrow, "text", vocabulary).select(
-        "doc_id", "ids", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    return decode(encoded, "ids", vocabulary).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+    def fn(texts):
+        import pyarrow as pa
+
+        own = model(raw.value)
+        packed = own.encode(texts)
+        return [pa.array(packed, pa.binary()), pa.array(map(own.decode, packed), pa.string())]
+
+    fields = [T.StructField("ids", T.BinaryType(), False), T.StructField("decoded", T.StringType(), False)]
+    return map_texts(narrow, "text", fields, fn, ["text"]).select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

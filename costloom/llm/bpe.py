@@ -84,6 +84,8 @@ class Model:
         keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
         order = np.argsort(keys)
         self.keys, self.key_ranks = keys[order], order.astype(np.int64)
+        self.rank_of, self.made = {k: r for k, (r, _) in self.ranks.items()}, [made for _, made in self.ranks.values()]
+        self.inner_bytes, self.final_bytes = [vocab[c] for c in names], [vocab[c + suffix] for c in names]
         byte = {c: b for b, c in enumerate(names)}
         self.inner: dict[bytes, int] = {}
         self.final: dict[bytes, int] = {}
@@ -186,6 +188,8 @@ class Model:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Merges of lowest rank first, of equal ones the leftmost."""
+        if len(symbols) <= LONG:
+            return self._merge_short(symbols)
         n, ids, ranks, size = len(symbols), list(symbols), self.ranks, self.size
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(*found, i, i + 1) for i in range(n - 1) if (found := ranks.get(ids[i] * size + ids[i + 1]))]
@@ -203,6 +207,20 @@ class Model:
                 heapq.heappush(heap, (*found, before[i], i))
         return [t for t in ids if t >= 0]
 
+    def _merge_short(self, symbols: list[int]) -> list[int]:
+        """``merge`` by a scan of all pairs at every step, which is faster for short words."""
+        ids, size, rank_of, never = list(symbols), self.size, self.rank_of, int(_NEVER)
+        due = [rank_of.get(a * size + b, never) for a, b in zip(ids, ids[1:])]
+        while due and (rank := min(due)) < never:
+            i = due.index(rank)
+            made = ids[i] = self.made[rank]
+            del ids[i + 1], due[i]
+            if i < len(due):
+                due[i] = rank_of.get(made * size + ids[i + 1], never)
+            if i:
+                due[i - 1] = rank_of.get(ids[i - 1] * size + made, never)
+        return ids
+
     def mend(self, ids: list[int]) -> list[int]:
         """The exact tokens of a long word: windows around incompatible pairs are merged and widened until they fit in."""
         done, at = [], 0
@@ -242,7 +260,7 @@ class Model:
         out = [proposed[e - n:e] for e, n in zip(ends.tolist(), sizes)]
         for k in failing:
             word = words[k].encode()
-            out[k] = self.mend(out[k]) if len(word) > LONG else self.merge([s for t in out[k] for s in self.symbols(t)])
+            out[k] = self.mend(out[k]) if len(word) > LONG else self.merge([*map(self.inner_bytes.__getitem__, word[:-1]), self.final_bytes[word[-1]]])
         return out
 
     def pieces(self, text: str) -> list[str]:

@@ -96,6 +96,17 @@ def headline(spark, read):
         known = snapshot.filter("resource_type_lb in ('JOB', 'CLUSTER')").withColumns({"sys_create_dt": seen, "sys_update_dt": seen})
         return res.merge_resources(known, snapshot.drop("resource_id"))
 
+    def visible_cost():
+        """What one user may see of the cost fact, from the stored factors."""
+        edges = read("edge")
+        facts = read("cost").withColumn("member_cd", F.regexp_replace("run_as_cd", "^user([0-9]+)@x.org$", "c$1"))
+        return groups.visible_rows(facts, "member_cd", ["c1"], groups.memberships(edges), groups.closure(edges))
+
+    def untagged():
+        held = tags.resource_labels(read("tag_map"), read("tag_key"))
+        parts = spark.read.parquet(f"{SF_DIR}/part.parquet").select(F.col("p_partkey").alias("resource_id"))
+        return tags.untagged_counts(parts, read("tag_key"), tags.label_sets(held))
+
     def bridge():
         held = tags.resource_labels(read("tag_map"), read("tag_key"))
         parts = spark.read.parquet(f"{SF_DIR}/part.parquet").select(F.col("p_partkey").alias("resource_id"))
@@ -115,9 +126,11 @@ def headline(spark, read):
         "merge_one_percent": merge_one_percent,
         "merge_one_day": merge_one_day,
         "merge_resources": resources,
-        "user_visibility": lambda: q.QUERIES["user_visibility"](spark, SF_DIR),
+        "visibility_of_named_users": lambda: q.QUERIES["visibility_of_named_users"](spark, SF_DIR),
+        "cost_visible_to_user": visible_cost,
         "group_closure": lambda: groups.closure(read("edge")),
         "tag_bridge": bridge,
+        "untagged_counts": untagged,
         "gold_billing_cost": facts,
         "monthly_trend": lambda: periods.monthly_trend(read("gold"), "line_cost_usd", ["product_lb"]),
         "cost_measures": lambda: kpi.measure(read("gold"), names, ["product_lb"]),

@@ -79,6 +79,25 @@ from {fx_usage} u left join (select * from {fx_price} where currency_code_lb='US
  and u.usage_end_dt>=p.price_start_dt and (p.price_end_dt is null or u.usage_end_dt<p.price_end_dt)
 """
 
+# A thousand windows of a day each for every SKU, the last one open.
+VIEWS["fx_price_daily"] = """
+select account_cd, sku_name_lb, cloud_lb, 'USD' as currency_code_lb,
+ cast(date '1996-01-01'+n as <TS>) as price_start_dt, case when n<999 then cast(date '1996-01-01'+n+1 as <TS>) end as price_end_dt,
+ cast(0.10+n%50*0.01 as decimal(18,4)) as default_price_nb,
+ case when n%7=0 then cast(0.05+n%30*0.01 as decimal(18,4)) end as effective_list_price_nb
+from (select account_cd, sku_name_lb, cloud_lb, <DAYS> as n from (select distinct account_cd, sku_name_lb, cloud_lb from {fx_usage}) k) d
+where n%11<>3
+"""
+DIALECT["<DAYS>"] = ("explode(sequence(0,999))", "unnest(cast(range(1000) as int[]))")
+
+# Two days of memberships: some end, some are added, groups in groups among them.
+VIEWS["fx_edge_before"] = """
+select * from {fx_edge} where substr(member_cd,length(member_cd),1) not in ('3','7') or (group_cd like 'r%' and member_type_lb='Users')
+"""
+VIEWS["fx_edge_after"] = """
+select * from {fx_edge} where substr(member_cd,length(member_cd),1) not in ('1','7') or (group_cd like 'n%' and member_type_lb='Groups')
+"""
+
 # Logins with a low balance are unknown; some belong to two identities.
 VIEWS["fx_identity"] = """
 select c_custkey*2+1 as identity_id, concat('acct-',n_regionkey) as account_cd, concat('user',c_custkey,'@x.org') as identity_cd,

@@ -16,7 +16,7 @@ from costloom.operators.allocation import reconcile
 from costloom.operators.keys import assign_keys, with_sentinels
 from costloom.operators.latest import latest
 from costloom.operators.merge import merge
-from costloom.operators.pricing import price_lines, price_overlaps, reprice
+from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expectation_report
 from costloom.plans import calendar as cal, costing, gold, identities as ids, measures as kpi
 from costloom.plans import marked, periods, reports, resources as res, silver
@@ -47,6 +47,10 @@ def money(column: str, alias: str | None = None):
     return F.col(column).cast(MONEY).alias(alias or column)
 
 
+def money_sum(column: str, alias: str):
+    return F.sum(column).cast(MONEY).alias(alias)
+
+
 def rounded(column: str, digits: int = 6):
     return F.round(F.col(column), digits).alias(column)
 
@@ -123,6 +127,17 @@ def _price_lines(spark, sf):
                                   "usage_quantity_nb", "line_cost_usd")
 
 
+@query("price_line_cost_asof", sql("""
+    select u.record_cd, u.account_cd, u.sku_name_lb, u.usage_end_dt, u.usage_quantity_nb,
+     cast(u.usage_quantity_nb*coalesce(p.effective_list_price_nb,p.default_price_nb) as decimal(38,8)) as line_cost_usd
+    from fx_usage u left join fx_price_daily p on u.account_cd=p.account_cd and u.sku_name_lb=p.sku_name_lb and u.cloud_lb=p.cloud_lb
+     and u.usage_end_dt>=p.price_start_dt and (p.price_end_dt is null or u.usage_end_dt<p.price_end_dt)""", "fx_usage", "fx_price_daily"))
+def _price_lines_asof(spark, sf):
+    """A thousand windows per SKU, some of whose days have no price."""
+    priced = price_lines_asof(usage(spark, sf), view(spark, sf, "fx_price_daily"), currency="USD")
+    return priced.select("record_cd", "account_cd", "sku_name_lb", "usage_end_dt", "usage_quantity_nb", money("line_cost_usd"))
+
+
 @query("price_window_overlaps", sql("""
     select currency_code_lb, account_cd, sku_name_lb, cloud_lb, price_start_dt, n as next_start_dt from (
      select p.*, lead(price_start_dt) over (partition by account_cd,sku_name_lb,cloud_lb order by price_start_dt, price_end_dt nulls last) as n
@@ -922,6 +937,46 @@ def _visibility(spark, sf):
     return _visible(spark, sf)
 
 
+_AFTER = {k: v.replace("fx_edge", "fx_edge_after") for k, v in _CLOSURE.items()}
+
+
+@query("group_closure_after_changes", sql("select group_cd, member_cd from closed", "fx_edge_after", **_AFTER))
+def _closure_after_changes(spark, sf):
+    """The closure of one day, kept under the added and ended memberships of the next."""
+    before, after = view(spark, sf, "fx_edge_before"), view(spark, sf, "fx_edge_after")
+    reach = groups.reachable_groups(before).checkpoint()
+    changed = groups.changed_edges(before, after)
+    now, touched = groups.reach_apply(reach, after, changed)
+    return groups.closure_apply(groups.members_of(reach, before), now.checkpoint(), after, changed, touched)
+
+
+def _factors(spark, sf):
+    edges = view(spark, sf, "fx_edge")
+    users = table(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("user_cd"), "c_acctbal")
+    return users, groups.memberships(edges), groups.closure(edges)
+
+
+@query("visibility_of_named_users", sql(
+    f"select user_cd, member_cd from ({_VISIBLE}) where user_cd in (select concat('c',c_custkey) from customer where c_acctbal>9900)",
+    "fx_edge", **_CLOSURE))
+def _visibility_named(spark, sf):
+    """Pairs of the users that are asked about, from the stored factors."""
+    users, own, closed = _factors(spark, sf)
+    return groups.visible_to(users.filter("c_acctbal > 9900"), users, own, closed)
+
+
+@query("cost_visible_to_user", sql(f"""
+    select usage_dt, cast(sum(line_cost_usd) as decimal(38,8)) as total_cost, count(*) as lines_nb from fx_cost
+    where replace(replace(run_as_cd,'user','c'),'@x.org','') in (select member_cd from ({_VISIBLE}) where user_cd='c1') group by usage_dt""",
+    "fx_cost", "fx_edge", **_CLOSURE))
+def _cost_visible(spark, sf):
+    """The lines that one user may see: a semi-join on the members of the user's groups."""
+    _, own, closed = _factors(spark, sf)
+    login = F.replace(F.replace("run_as_cd", F.lit("user"), F.lit("c")), F.lit("@x.org"), F.lit(""))
+    lines = groups.visible_rows(cost(spark, sf).withColumn("member_cd", login), "member_cd", ["c1"], own, closed)
+    return lines.groupBy("usage_dt").agg(money_sum("line_cost_usd", "total_cost"), F.count(F.lit(1)).alias("lines_nb"))
+
+
 @query("merge_user_visibility", sql(_VISIBLE, "fx_edge", **_CLOSURE))
 def _merge_visibility(spark, sf):
     """Known pairs: every direct membership, right or not; the difference is applied."""
@@ -1024,6 +1079,60 @@ def _tag_bridge(spark, sf):
     return gold.resource_tag_bridge(_bridge(spark, sf)[0]).select("resource_id", "tag_key_id", "tag_value_lb")
 
 
+_GRID = f"{_BRIDGE} where p.p_partkey>0"
+
+
+def _held(spark, sf):
+    maps, _, keyed = _tag_frames(spark, sf)
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("resource_id"))
+    return parts, keyed, tags.resource_labels(maps, keyed)
+
+
+@query("untagged_counts", sql(f"""
+    select tag_key_id, cast(sum(case when tag_value_lb<>'Untagged' then 1 else 0 end) as bigint) as tagged_nb,
+     cast(sum(case when tag_value_lb='Untagged' then 1 else 0 end) as bigint) as untagged_nb from ({_GRID}) group by tag_key_id""",
+    "fx_tag", labelled=_LABELLED))
+def _untagged(spark, sf):
+    """Counts by complement, without a row of the grid."""
+    parts, keyed, held = _held(spark, sf)
+    return tags.untagged_counts(parts, keyed, tags.label_sets(held))
+
+
+@query("resources_without_labels", sql(f"""
+    select resource_id from ({_GRID}) where tag_key_id in (2,3) group by resource_id having min(tag_value_lb)='Untagged' and max(tag_value_lb)='Untagged'""",
+    "fx_tag", labelled=_LABELLED))
+def _without(spark, sf):
+    parts, _, held = _held(spark, sf)
+    return tags.without_labels(parts, tags.label_sets(held), [2, 3])
+
+
+_PARTCOST = "select l_partkey as resource_id, l_returnflag, cast(l_extendedprice as decimal(18,2)) as cost from lineitem"
+
+
+@query("cost_by_tag_value", sql(f"""
+    select g.tag_key_id, g.tag_value_lb, count(distinct c.resource_id) as resources_nb, cast(sum(c.cost) as decimal(38,8)) as total_cost
+    from ({_GRID}) g join partcost c on c.resource_id=g.resource_id group by g.tag_key_id, g.tag_value_lb""",
+    "fx_tag", labelled=_LABELLED, partcost=_PARTCOST))
+def _cost_by_tag(spark, sf):
+    return _tag_cost(spark, sf, [])
+
+
+@query("cost_by_tag_value_and_flag", sql(f"""
+    select g.tag_key_id, g.tag_value_lb, c.l_returnflag, count(distinct c.resource_id) as resources_nb, cast(sum(c.cost) as decimal(38,8)) as total_cost
+    from ({_GRID}) g join partcost c on c.resource_id=g.resource_id group by g.tag_key_id, g.tag_value_lb, c.l_returnflag""",
+    "fx_tag", labelled=_LABELLED, partcost=_PARTCOST))
+def _cost_by_tag_and_flag(spark, sf):
+    return _tag_cost(spark, sf, ["l_returnflag"])
+
+
+def _tag_cost(spark, sf, by):
+    parts, keyed, held = _held(spark, sf)
+    cost_ = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("resource_id"), "l_returnflag", F.col("l_extendedprice").cast("decimal(18,2)").alias("line_cost_usd"))
+    out = tags.cost_by_tag(cost_, parts, keyed, held, by=by)
+    return out.withColumn("total_cost", money("total_cost"))
+
+
 @query("resource_labels_exact_spelling", sql("""
     select t.resource_id, cast(case k.tag_key_cd when 'AppId' then 1 when 'Environment' then 2 else 3 end as bigint) as tag_key_id, t.tag_value_lb
     from fx_tag t join keys k on t.raw_key_lb=k.raw_key_lb""", "fx_tag", labelled=_LABELLED, keys=_TAGKEYS))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .compare import _has_map
+
 PRICE_KEYS = ("account_cd", "sku_name_lb", "cloud_lb")
 
 
@@ -44,6 +47,63 @@ def price_lines(
     )
 
 
+SLICE_DAYS, LANES = 30, 8
+
+
+def price_lines_asof(
+    usage: DataFrame,
+    prices: DataFrame,
+    on: Sequence[str] = PRICE_KEYS,
+    currency: str | None = None,
+    at: str = "usage_end_dt",
+    quantity: str = "usage_quantity_nb",
+    out: str = "line_cost_usd",
+    slice_days: int = SLICE_DAYS,
+    lanes: int = LANES,
+) -> DataFrame:
+    """``price_lines`` for long price histories, where a line would meet every window of its SKU.
+
+    Lines and window starts are one stream in time, cut into slices of ``slice_days``. Inside a slice a line takes the
+    last price that started before it; where there is none, the last price of all earlier slices, which is
+    carried along one row per SKU and slice. The work is a sort of lines and prices, whatever the number of windows. A
+    slice's lines are dealt to ``lanes`` tasks, each with the slice's prices, so one SKU's busy days are many tasks'
+    work. Windows of one SKU must not overlap (``price_overlaps`` is empty); lines that lack a key part or the
+    time are passed by and keep a NULL cost.
+    """
+    if currency is not None:
+        prices = prices.filter(F.col("currency_code_lb") == currency)
+    on, key = list(on), [f"__k{i}" for i in range(len(on))]
+    whole = reduce(lambda a, c: a & c, [F.col(c).isNotNull() for c in [*on, at]])
+    slice_of = lambda c: F.floor(F.unix_date(F.to_date(c)) / slice_days).cast("int")
+    window = F.struct(F.col("price_end_dt").alias("until"), F.coalesce("effective_list_price_nb", "default_price_nb").alias("price"))
+    starts = prices.filter(F.col("price_start_dt").isNotNull()).select(
+        *[F.col(c).alias(k) for c, k in zip(on, key)], slice_of("price_start_dt").alias("__slice"),
+        F.col("price_start_dt").alias("__time"), window.alias("__window"))
+    row = F.struct(*[F.col(f"`{c}`") for c in usage.columns])
+    plain = [f"`{f.name}`" for f in usage.schema.fields if not _has_map(f.dataType)]
+    deal = F.pmod(F.xxhash64(*plain), F.lit(lanes)).cast("int")
+    lines = usage.filter(whole).select(
+        *[F.col(c).alias(k) for c, k in zip(on, key)], slice_of(at).alias("__slice"), F.col(at).alias("__time"),
+        row.alias("__line"), deal.alias("__lane"))
+    # What each SKU's slices begin with: the last start of any slice before, over one row per SKU and slice.
+    ended = starts.groupBy(*key, "__slice").agg(F.max_by("__window", "__time").alias("__last"))
+    asked = lines.select(*key, "__slice").distinct().withColumn("__last", F.lit(None).cast(ended.schema["__last"].dataType))
+    slices = ended.unionByName(asked).groupBy(*key, "__slice").agg(F.first("__last", ignorenulls=True).alias("__last"))
+    before = Window.partitionBy(*key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.select(*key, "__slice", F.last("__last", ignorenulls=True).over(before).alias("__window")).filter(
+        F.col("__window").isNotNull()).withColumn("__time", F.lit(None).cast(starts.schema["__time"].dataType))
+    # The carried price comes first in its slice: a NULL time sorts before all others.
+    offered = starts.unionByName(carried).withColumn("__lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    both = lines.unionByName(offered, allowMissingColumns=True)
+    along = Window.partitionBy(*key, "__slice", "__lane").orderBy(F.col("__time").asc_nulls_first(), F.col("__line").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    held = both.withColumn("__held", F.last("__window", ignorenulls=True).over(along)).filter(F.col("__line").isNotNull())
+    valid = F.col("__held.until").isNull() | (F.col("__time") < F.col("__held.until"))
+    priced = held.select("__line.*", F.when(valid, F.col(f"__line.`{quantity}`") * F.col("__held.price")).alias(out))
+    rest = usage.filter(~whole).select(*usage.columns, F.lit(None).cast(priced.schema[out].dataType).alias(out))
+    return priced.unionByName(rest)
+
+
 def price_overlaps(prices: DataFrame, on: Sequence[str] = PRICE_KEYS) -> DataFrame:
     """Windows that overlap the next one of the same key. Empty means each usage
     line can match at most one price."""

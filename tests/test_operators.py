@@ -10,7 +10,7 @@ from costloom.operators.allocation import allocate, reconcile, statement_weight
 from costloom.operators.keys import assign_keys, fill_keys, highest_key, resolve_fk, with_sentinels
 from costloom.operators.latest import latest, latest_snapshot
 from costloom.operators.merge import align_schemas, merge
-from costloom.operators.pricing import price_lines, price_overlaps, reprice
+from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expect, expectation_report
 from tests.conftest import rows
 
@@ -265,6 +265,44 @@ def test_price_overlaps(frame):
     assert price_overlaps(prices(frame)).count() == 2
 
 
+def test_asof_price_equals_the_window_join(frame):
+    """Gaps, open ends, many windows, slices without a start of their own, and odd lines."""
+    rnd = random.Random(4)
+    day = lambda n: T0 + dt.timedelta(days=n, minutes=rnd.randrange(3))
+    windows = []
+    for sku in "abc":
+        starts = sorted(rnd.sample(range(400), 120))
+        for n, (s, e) in enumerate(zip(starts, [*starts[1:], None])):
+            until = None if e is None else T0 + dt.timedelta(days=rnd.choice([e, max(s + 1, e - 2)]))
+            windows.append(("x", sku, "AWS", "USD", T0 + dt.timedelta(days=s), until, float(n), None if n % 3 else n / 2))
+    usage = [(i, rnd.choice("xxxy"), rnd.choice("abcd"), "AWS", day(rnd.randrange(-9, 600)), float(i)) for i in range(500)]
+    usage += [(500 + i, None, "a", "AWS", day(5), 1.0) for i in range(3)] + [(510, "x", "a", "AWS", None, 1.0), (511, "x", "a", None, day(4), 1.0)]
+    usage += [(512, "x", "a", "AWS", T0 + dt.timedelta(days=60), None)] * 2
+    df = frame("id int, account_cd string, sku_name_lb string, cloud_lb string, usage_end_dt timestamp, usage_quantity_nb double", usage)
+    p = frame(PRICE, windows)
+    assert price_overlaps(p).count() == 0
+    want = rows(price_lines(df, p, currency="USD"))
+    for options in ({}, {"slice_days": 1, "lanes": 1}, {"slice_days": 1000, "lanes": 3}):
+        assert rows(price_lines_asof(df, p, currency="USD", **options)) == want
+    assert rows(price_lines_asof(df, p.limit(0)), "id", "line_cost_usd") == sorted(((u[0], None) for u in usage), key=repr)
+    assert price_lines_asof(df.limit(0), p).count() == 0
+
+
+def test_asof_price_deals_a_hot_sku_to_several_tasks(spark):
+    lines = spark.range(4000).select("id", F.lit("s").alias("sku"), F.lit(T0).alias("at"), F.lit(1.0).alias("w"))
+    p = spark.range(1).select(F.lit("s").alias("sku"), F.lit(T0).alias("price_start_dt"), F.lit(None).cast("timestamp").alias("price_end_dt"),
+                              F.lit(1.0).alias("default_price_nb"), F.lit(2.0).alias("effective_list_price_nb"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        out = price_lines_asof(lines, p, on=["sku"], at="at", quantity="w").withColumn("part", F.spark_partition_id())
+        per = [r[1] for r in out.groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(per) == 4000 and len(per) >= 5 and max(per) < 2000
+
+
 # ---- allocation ------------------------------------------------------------
 
 def items(frame):
@@ -382,6 +420,38 @@ def test_bridge_needs_no_cartesian_product(frame):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_untagged_by_complement_equals_the_grid(frame):
+    rnd = random.Random(6)
+    ids = [i for i in range(1, 70_000, 97)] + [32_768, 32_769, 65_536, 65_537]
+    resources = frame("resource_id bigint", [(i,) for i in {*ids, -3, 0}])
+    keys = frame("tag_key_id bigint", [(1,), (2,), (3,), (-1,)])
+    held = sorted({(i, k): (i, k, rnd.choice("xyz")) for i in ids for k in (1, 2) if rnd.random() < 0.4}.values())
+    carried = frame("resource_id bigint, tag_key_id bigint, tag_value_lb string", held)
+    sets = tags.label_sets(carried)
+    grid = tags.tag_bridge(resources, keys, carried)
+    counts = grid.groupBy("tag_key_id").agg(F.count_if(F.col("tag_value_lb") != tags.UNTAGGED), F.count_if(F.col("tag_value_lb") == tags.UNTAGGED))
+    assert rows(tags.untagged_counts(resources, keys, sets)) == rows(counts)
+    assert rows(tags.untagged_counts(resources, keys, sets.limit(0)), "tagged_nb", "untagged_nb") == [(0, len(set(ids)))] * 3
+    for labels in ([1], [1, 2], [3]):
+        lacking = {i for i in ids if not any((i, k) in {h[:2] for h in held} for k in labels)}
+        assert rows(tags.without_labels(resources, sets, labels)) == sorted(((i,) for i in lacking), key=repr)
+    cost = frame("resource_id bigint, day int, line_cost_usd bigint", [
+        (rnd.choice([*ids[:200], -3, 99_999_999]), rnd.randrange(3), rnd.randrange(100)) for _ in range(900)])
+    for by in ([], ["day"]):
+        cell = ["tag_key_id", "tag_value_lb", *by]
+        want = grid.join(cost, "resource_id").groupBy(*cell).agg(
+            F.countDistinct("resource_id").alias("resources_nb"), F.sum("line_cost_usd").alias("total_cost"))
+        got = tags.cost_by_tag(cost, resources, keys, carried, by=by)
+        assert rows(got, *cell, "resources_nb", "total_cost") == rows(want, *cell, "resources_nb", "total_cost")
+
+
+def test_untagged_by_complement_makes_no_grid(frame):
+    held = frame("resource_id bigint, tag_key_id bigint, tag_value_lb string", [(1, 1, "a")])
+    parts, keys = frame("resource_id bigint", [(1,), (2,)]), frame("tag_key_id bigint", [(1,)])
+    plan = tags.untagged_counts(parts, keys, tags.label_sets(held))._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 # ---- closure ---------------------------------------------------------------
 
 EDGE = "group_cd string, member_cd string, member_type_lb string"

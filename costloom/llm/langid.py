@@ -108,7 +108,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], bits: int = BITS, dim:
 
     def forward(picked):
         ids = np.concatenate([rows[i][1] for i in picked])
-        share = np.concatenate([rows[i][2] / rows[i][2].sum() for i in picked])
+        share = np.concatenate([rows[i][2] / rows[i][2].sum(dtype=np.float64) for i in picked])
         starts = np.cumsum([0, *(len(rows[i][1]) for i in picked[:-1])])
         mean = np.add.reduceat(emb[ids] * share[:, None], starts)
         logits = mean @ weight + bias
@@ -183,7 +183,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     numbers = T.ArrayType(T.IntegerType())
     sample = map_texts(picked, "text", [T.StructField("ids", numbers), T.StructField("counts", numbers)], counts, drop=["text"])
     sample = sample.filter(F.size("ids") > 0).orderBy("luck", "id", F.xxhash64("ids")).limit(sample_rows).select("lang", "ids", "counts").toArrow()
-    rows = [(lang, np.asarray(i.values), np.asarray(c.values, dtype=np.float64))
+    rows = [(lang, np.asarray(i.values), np.asarray(c.values))  # as they arrived, without a copy
             for lang, i, c in zip(sample["lang"].to_pylist(), sample["ids"], sample["counts"])]
     return train(rows, **options)
 

@@ -226,10 +226,10 @@ def groups(prints: DataFrame, column: str = "fingerprint", doc_id: str = "doc_id
     distinct = checkpointed(prints.groupBy(column).agg(F.min(doc_id).alias("__first")))
     edges = shard_edges(distinct, distinct.count(), column)
     stars = components(edges)
-    labelled = distinct.join(stars.withColumnRenamed("node", column), column, "left").select(
+    labelled = distinct.join(stars.withColumnRenamed("node", column).hint("merge"), column, "left").select(
         column, "__first", F.coalesce("component", column).alias("label"))
     least = grouped_for_join(labelled, ["label"], F.min("__first").alias("component_id"))
-    return labelled.join(least, "label").select(column, "label", "component_id")
+    return checkpointed(labelled.join(least.hint("merge"), "label").select(column, "label", "component_id"))
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

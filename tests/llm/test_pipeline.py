@@ -52,7 +52,7 @@ def test_empty_tables(spark):
 
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "secrets", "mixing"]
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and simhash.RADIUS == 4
 
 

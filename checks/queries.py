@@ -18,7 +18,7 @@ from costloom.operators.latest import latest
 from costloom.operators.merge import merge
 from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expectation_report
-from costloom.plans import calendar as cal, costing, gold, identities as ids, measures as kpi
+from costloom.plans import calendar as cal, costing, daily_state, gold, identities as ids, measures as kpi
 from costloom.plans import marked, periods, reports, resources as res, silver
 from costloom.plans.daily import changed_days
 from costloom.schemas import WORKSPACE_SENTINELS
@@ -1463,6 +1463,64 @@ def _period_totals(spark, sf):
     return out.select("product_lb", *[money(c) for c in out.columns if c != "product_lb"])
 
 
+_LINEDAY = "select cast(l_shipdate as date) as usage_dt, l_partkey as resource_id, l_returnflag, cast(l_extendedprice*100 as bigint) as cents_nb from lineitem"
+
+
+def _part_days(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("usage_dt"), F.col("l_partkey").alias("resource_id"), "l_returnflag",
+        (F.col("l_extendedprice") * 100).cast("bigint").alias("cents_nb"))
+
+
+def _part_state(spark, sf):
+    """Bitmaps per day, of which the first days were kept wrongly and are replaced."""
+    days, early = _part_days(spark, sf), [dt.date(1995, 1, n) for n in range(1, 32)]
+    old = daily_state.distinct_state(days.withColumn("resource_id", F.when(F.col("usage_dt").isin(early), F.lit(1)).otherwise(F.col("resource_id"))),
+                                     by=["l_returnflag"])
+    fresh = daily_state.distinct_state(days.filter(F.col("usage_dt").isin(early)), by=["l_returnflag"])
+    return daily_state.replace_days(old, fresh, early)
+
+
+@query("state_distinct_by_period", sql(
+    "select l_returnflag, " + ", ".join(f"count(distinct case when {t} then resource_id end) as {n}" for n, t in _P.items())
+    + " from lineday, lastday group by l_returnflag", lineday=_LINEDAY, lastday="select last_day(max(usage_dt)) as m from lineday"))
+def _state_distinct(spark, sf):
+    """Every period form of distinct resources, from a bitmap per day."""
+    return daily_state.distinct_table(_part_state(spark, sf), by=["l_returnflag"])
+
+
+@query("state_distinct_trend", sql("""
+    select l_returnflag, cast(y as int) as year, cast(mm as int) as month, month_nb, ytd_nb, mat_nb, nullif(ly_nb,0) as ly_nb, nullif(prior_month_nb,0) as prior_month_nb from (
+     select a.l_returnflag, a.y, a.mm, count(distinct case when d.i=a.i then d.resource_id end) as month_nb,
+      count(distinct case when d.y=a.y and d.i<=a.i then d.resource_id end) as ytd_nb, count(distinct case when d.i between a.i-11 and a.i then d.resource_id end) as mat_nb,
+      count(distinct case when d.i=a.i-12 then d.resource_id end) as ly_nb, count(distinct case when d.i=a.i-1 then d.resource_id end) as prior_month_nb
+     from (select distinct l_returnflag, y, mm, i from monthday) a join (select distinct l_returnflag, y, i, resource_id from monthday) d
+      on a.l_returnflag=d.l_returnflag and d.i between a.i-12 and a.i group by all)""",
+    lineday=_LINEDAY, monthday="select *, year(usage_dt) as y, month(usage_dt) as mm, year(usage_dt)*12+month(usage_dt) as i from lineday"))
+def _state_trend(spark, sf):
+    return daily_state.distinct_trend(_part_state(spark, sf), by=["l_returnflag"])
+
+
+_STATE_FORMS = [("YTD", False), ("YTD", True), ("MTD", False), ("MAT", False), ("MAT", True)]
+
+
+@query("state_p90_by_period", sql(
+    "select l_returnflag, " + ", ".join(
+        f"round(quantile_cont(case when {_P[p.lower() + ('_prior' if prior else '')]} then cents_nb end, 0.9),6) as {p.lower()}{'_prior' if prior else ''}"
+        for p, prior in _STATE_FORMS)
+    + " from lineday, lastday group by l_returnflag", lineday=_LINEDAY, lastday="select last_day(date '1997-05-10') as m"))
+def _state_p90(spark, sf):
+    """Exact percentiles of several period forms, from the counts of their days."""
+    days = _part_days(spark, sf)
+    state, by, as_of = daily_state.count_state(days, "cents_nb", ["l_returnflag"]), ["l_returnflag"], dt.date(1997, 5, 31)
+    out = days.select(*by).distinct()
+    for period, prior in _STATE_FORMS:
+        name = f"{period.lower()}{'_prior' if prior else ''}"
+        form = daily_state.percentile_total(state, "cents_nb", 0.9, period, as_of, prior, by, out=name)
+        out = out.join(form.select(*by, rounded(name)), by, "left")
+    return out
+
+
 @query("period_rolling_12_months", sql(
     f"select workspace_cd, cast(sum(line_cost_usd) as decimal(38,8)) as total_nb from fx_cost, lastday where {_P['mat']} group by workspace_cd", "fx_cost", lastday=_LAST))
 def _mat(spark, sf):

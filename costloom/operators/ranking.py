@@ -75,12 +75,19 @@ def percentile_inc(
     magnitude bins; the cumulative bin sizes tell which bin holds the wanted ranks
     and only the counts of those bins are put in order.
     """
+    return percentile_of_counts(df.withColumn("__one", F.lit(1)), value, "__one", p, by, out)
+
+
+def percentile_of_counts(
+    df: DataFrame, value: str, count: str, p: float, by: Sequence[str] = (), out: str = "percentile_nb"
+) -> DataFrame:
+    """``percentile_inc`` where each row stands for ``count`` equal values, as kept in a table of counts."""
     by = list(by)
     whole = isinstance(df.schema[value].dataType, T.IntegralType)
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("bigint" if whole else "double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"))
+        .agg(F.sum(count).alias("__c"))
         .withColumn("__bin", _bin(F.col("__v") if whole else _floor(F.col("__v"))))
     )
     # A few thousand bins at most per group, whatever the number of rows.

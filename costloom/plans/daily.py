@@ -11,6 +11,7 @@ its place when it is complete.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -24,6 +25,7 @@ from ..schemas import (
     TAG_KEY_SENTINELS, USER_SENTINELS, WORKSPACE_SENTINELS,
 )
 from ..sources.load_index import LoadIndex
+from ..sources.schemas_seen import SeenSchemas
 from ..sources.tables import Tables, touched_days
 from ..streaming import flows
 from ..streaming.ingest import read_appended, run_all
@@ -80,20 +82,20 @@ DIMENSION_TABLES = {
 }
 
 
-def _usage_rows(landed: DataFrame) -> DataFrame:
-    return silver.usage_fact(landed).withColumn(LOAD_DAY, F.to_date(silver.LOAD))
+def _usage_rows(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return silver.usage_fact(landed, extra).withColumn(LOAD_DAY, F.to_date(silver.LOAD))
 
 
-def _serving_rows(landed: DataFrame) -> DataFrame:
-    return silver.source_view(landed, silver.SERVING_USAGE).withColumn(REQUEST_DAY, F.to_date("request_dt"))
+def _serving_rows(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return silver.source_view(landed, silver.SERVING_USAGE, extra).withColumn(REQUEST_DAY, F.to_date("request_dt"))
 
 
 def _served_days(landed: DataFrame) -> DataFrame:
     return _serving_rows(landed).select(*ENTITY, REQUEST_DAY).distinct()
 
 
-def _history_rows(landed: DataFrame) -> DataFrame:
-    return silver.source_view(landed, silver.QUERY_HISTORY).withColumn(START_DAY, F.to_date("start_dt"))
+def _history_rows(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    return silver.source_view(landed, silver.QUERY_HISTORY, extra).withColumn(START_DAY, F.to_date("start_dt"))
 
 
 def changed_days(requests: DataFrame, late_requests: DataFrame, late_cost: DataFrame | None = None,
@@ -131,12 +133,18 @@ class Daily:
         self.home = f"{self.root}/generation-{generation:04d}"
         self.tables = Tables(self.spark, f"{self.home}/tables")
         self.index = LoadIndex(self.tables)
+        self.schemas = SeenSchemas(self.tables)
 
     def _checkpoint(self, name: str) -> str:
         return f"{self.home}/checkpoints/{name}"
 
     def _stream(self, name: str) -> DataFrame:
-        return read_appended(self.spark, f"{self.landed}/{name}", self.landed_schemas[name])
+        return read_appended(self.spark, f"{self.landed}/{name}", self.schemas.schema(name, self.landed_schemas[name]))
+
+    def _carrying(self, name: str, rows: Callable[..., DataFrame]) -> flows.Prepare:
+        """``rows`` of a feed together with the fields that landed without being declared."""
+        extra = self.schemas.extra(name, self.landed_schemas[name])
+        return lambda landed: rows(landed, extra)
 
     def snapshot(self, name: str) -> DataFrame:
         """The newest full snapshot of each account. A run is a folder, and the column
@@ -165,22 +173,28 @@ class Daily:
         return self._appended("tf_serving_usage", "serving_endpoint_usage", _serving_rows).drop(flows.BATCH)
 
     def _appended(self, name: str, landed: str, rows: flows.Prepare) -> DataFrame:
-        schema = rows(self.spark.createDataFrame([], self.landed_schemas[landed])).schema
+        known = self.schemas.schema(landed, self.landed_schemas[landed])
+        schema = self._carrying(landed, rows)(self.spark.createDataFrame([], known)).schema
         return flows.read_appended_batches(self.spark, self.tables.folder(name), schema)
 
     # -- steps -------------------------------------------------------------
 
     def run_streams(self) -> None:
-        """Append facts and fold every change feed: one stream for each landed table, whatever it feeds."""
+        """Append facts and fold every change feed: one stream for each landed table, whatever it feeds. A stream
+        starts with all fields that were ever seen in its feed."""
+        feeds = ["query_history", "billing_usage", "serving_endpoint_usage", *(s.table for s in silver.CHANGE_FED)]
+        self.schemas.look({n: (f"{self.landed}/{n}", self.landed_schemas[n]) for n in feeds})
+        history, usage = self._carrying("query_history", _history_rows), self._carrying("billing_usage", _usage_rows)
+        serving = self._carrying("serving_endpoint_usage", _serving_rows)
         folds = {
             "query_history": [
-                flows.index_fold(_history_rows, self.index, "tf_query_history", START_DAY),
-                flows.scd1_by_day_fold(_history_rows, self.tables, "tf_query_history", silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, START_DAY)],
-            "billing_usage": [self._appending("tf_billing_usage", _usage_rows, LOAD_DAY)],
+                flows.index_fold(history, self.index, "tf_query_history", START_DAY),
+                flows.scd1_by_day_fold(history, self.tables, "tf_query_history", silver.QUERY_HISTORY.keys, silver.QUERY_HISTORY.seq, START_DAY)],
+            "billing_usage": [self._appending("tf_billing_usage", usage, LOAD_DAY)],
             "serving_endpoint_usage": [
-                flows.index_fold(_serving_rows, self.index, "tf_serving_usage", REQUEST_DAY),
+                flows.index_fold(serving, self.index, "tf_serving_usage", REQUEST_DAY),
                 flows.append_fold(_served_days, self.tables.folder("_served_days")),
-                self._appending("tf_serving_usage", _serving_rows, REQUEST_DAY)],
+                self._appending("tf_serving_usage", serving, REQUEST_DAY)],
         }
         running = {}
         for spec in silver.BILLING_ENTITIES:
@@ -188,7 +202,8 @@ class Daily:
                 lambda batch, s=spec: silver.extract_entity(batch, s), self.tables, f"td_billing_{spec.name}", spec.keys, "ingestion_dt",
                 silver.ENTITY_ORDER, spec.id_col, lambda df, s=spec: with_sentinels(df, s.sentinels, s.id_col)))
         for spec in silver.CHANGE_FED:
-            name, view = DIMENSION_TABLES[spec.table], lambda batch, s=spec: silver.source_view(batch, s)
+            name = DIMENSION_TABLES[spec.table]
+            view = self._carrying(spec.table, lambda batch, extra, s=spec: silver.source_view(batch, s, extra))
             folds[spec.table] = [
                 flows.index_fold(view, self.index, name, spec.seq),
                 flows.scd1_fold(view, self.tables, name, spec.keys, spec.seq, (), spec.id_col,

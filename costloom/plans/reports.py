@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -68,7 +67,7 @@ def cost_by_tag_domain(
 
     A resource counts once per cell but may sit in several domains. ``rollup`` adds
     sub-totals (NULL in the rolled-up columns, ``level_nb`` tells them from missing
-    names); each level is computed from the distinct resources below it, since
+    names); each level counts the distinct resources below it, since
     summing cells would count shared resources twice. Cost is reduced to one row per
     resource and month before it meets the applications.
     """
@@ -77,15 +76,10 @@ def cost_by_tag_domain(
         F.sum("line_cost_usd").alias("__cost")
     )
     members = resources_by_application(bridge, keys, apps, tag)
-    depths = range(len(LEVELS), -1, -1) if rollup else [len(LEVELS)]
-    parts = []
-    for depth in depths:
-        kept = LEVELS[:depth]
-        inside = members.select(*kept, "resource_id").distinct()
-        cells = inside.join(monthly, "resource_id").groupBy(*kept, "month_dt").agg(
-            F.sum("__cost").alias("total_cost")
-        )
-        for c in LEVELS[depth:]:
-            cells = cells.withColumn(c, F.lit(None).cast("string"))
-        parts.append(cells.select(*LEVELS, "month_dt", "total_cost", F.lit(depth).alias("level_nb")))
-    return reduce(DataFrame.unionByName, parts)
+    depths = list(range(len(LEVELS) + 1)) if rollup else [len(LEVELS)]
+    # All levels in one pass: a member row stands once in each, with what is rolled up as NULL, and is made distinct there.
+    level = F.col("level_nb")
+    names = [F.when(level > k, F.col(c)).alias(c) for k, c in enumerate(LEVELS)]
+    cells = members.withColumn("level_nb", F.explode(F.array(*map(F.lit, depths)))).select(*names, "resource_id", "level_nb").distinct()
+    return cells.join(monthly, "resource_id").groupBy(*LEVELS, "level_nb", "month_dt").agg(
+        F.sum("__cost").alias("total_cost")).select(*LEVELS, "month_dt", "total_cost", "level_nb")

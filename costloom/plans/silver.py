@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -255,8 +256,14 @@ SERVED_ENTITIES = Source(
 CHANGE_FED = (JOBS, PIPELINES, CLUSTERS, WAREHOUSES, SERVED_ENTITIES)
 
 
-def source_view(landed: DataFrame, spec: Source) -> DataFrame:
-    """Silver columns of one landed table; deletes become a flag, never a missing row."""
+def _carried(landed: DataFrame, extra: Sequence[str], taken: Iterable[str]) -> list:
+    """Landed fields that no rule renames, under their own name, or with ``_landed`` behind it where that is taken."""
+    taken = {c.lower() for c in taken}
+    return [F.col(f"`{c}`").alias(f"{c}_landed" if c.lower() in taken else c) for c in extra]
+
+
+def source_view(landed: DataFrame, spec: Source, extra: Sequence[str] = ()) -> DataFrame:
+    """Silver columns of one landed table; deletes become a flag, never a missing row. ``extra`` fields are carried along."""
     columns = []
     for raw, name in spec.rename.items():
         value = F.col(raw)
@@ -267,11 +274,12 @@ def source_view(landed: DataFrame, spec: Source) -> DataFrame:
         columns.append(value.alias(name))
     if spec.deleted:
         columns.append(flag(F.col(spec.deleted).isNotNull()).alias("is_deleted_fl"))
-    return landed.select(*columns, F.current_timestamp().alias(LOAD))
+    taken = [*spec.rename.values(), "is_deleted_fl", LOAD, *([spec.id_col] if spec.id_col else [])]
+    return landed.select(*columns, F.current_timestamp().alias(LOAD), *_carried(landed, extra, taken))
 
 
-def usage_fact(landed: DataFrame) -> DataFrame:
-    """Billing lines: the four identities stay apart and the metadata stays a struct."""
+def usage_fact(landed: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Billing lines: the four identities stay apart and the metadata stays a struct. ``extra`` fields are carried along."""
     renamed = {
         "record_id": "record_cd",
         "account_id": "account_cd",
@@ -295,10 +303,12 @@ def usage_fact(landed: DataFrame) -> DataFrame:
         "identity_metadata.owned_by": "owned_by_cd",
         "product_features.jobs_tier": "jobs_tier_lb",
     }
+    flags = {f"{f}_fl": flag(F.col(f"product_features.{f}")) for f in ("is_serverless", "is_photon")}
     return landed.select(
         *[F.col(raw).alias(name) for raw, name in renamed.items()],
-        *[flag(F.col(f"product_features.{f}")).alias(f"{f}_fl") for f in ("is_serverless", "is_photon")],
+        *[value.alias(name) for name, value in flags.items()],
         F.current_timestamp().alias(LOAD),
+        *_carried(landed, extra, [*renamed.values(), *flags, LOAD, LINE, "line_cost_usd", "usage_load_dt"]),
     )
 
 

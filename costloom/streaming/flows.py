@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc
 from ..operators.keys import highest_key
+from ..operators.merge import align_schemas
 from ..operators.quality import expect
 from ..sources.load_index import LoadIndex
 from ..sources.tables import Tables, touched_days
@@ -123,6 +124,13 @@ def scd1_flow(
     return _run(source, scd1_fold(_as_is, tables, name, keys, seq, ties, id_col, seed), checkpoint)
 
 
+def _widened(stored: DataFrame | None, batch: DataFrame) -> DataFrame | None:
+    """The stored rows with the columns and struct fields that only the batch has, as NULL."""
+    if stored is None or not {f.simpleString() for f in batch.schema} - {f.simpleString() for f in stored.schema}:
+        return stored
+    return align_schemas(stored, batch)[0]
+
+
 def _as_is(batch: DataFrame) -> DataFrame:
     return batch
 
@@ -143,7 +151,7 @@ def scd1_fold(
         if (batch_id + 1) in tables.versions(name):
             return
         batch = prepare(batch)
-        old = tables.read(name, before=batch_id + 1)
+        old = _widened(tables.read(name, before=batch_id + 1), batch)
         start = highest_key(old, id_col) if old is not None and id_col else 0
         new = cdc.scd1(old, batch, keys, seq, ties, id_col, start)
         if old is None and seed is not None:
@@ -173,7 +181,7 @@ def scd2_fold(prepare: Prepare, tables: Tables, name: str, keys: Sequence[str],
         if (batch_id + 1) in tables.versions(name):
             return
         batch = prepare(batch)
-        old = tables.read(name, before=batch_id + 1)
+        old = _widened(tables.read(name, before=batch_id + 1), batch)
         new = (
             cdc.scd2(batch, keys, seq, ties)
             if old is None
@@ -210,6 +218,6 @@ def scd1_by_day_fold(
         batch = prepare(batch)
         days = touched_days(batch, day)
         if days:
-            tables.overwrite_days(name, cdc.scd1(tables.days(name, day, days), batch, keys, seq, ties), day)
+            tables.overwrite_days(name, cdc.scd1(_widened(tables.days(name, day, days), batch), batch, keys, seq, ties), day)
 
     return fold

@@ -274,3 +274,27 @@ def test_a_full_refresh_that_fails_leaves_the_current_generation(daily, spark, m
     daily.run(full=True)
     assert daily.generation > before and shares(daily) == charged
     assert Daily(spark, daily.landed, daily.root).generation == daily.generation
+
+
+def test_landed_fields_that_no_one_declared_reach_the_facts(daily, spark):
+    """A new column, and a new field inside a struct, of lines and statements; older rows read NULL."""
+    from pyspark.sql import types as T
+
+    def land_with(table, rows, name, **new):
+        landing.land(spark, f"{daily.root}/aside", table, rows, name)
+        spark.read.parquet(f"{daily.root}/aside/{table}/{name}").withColumns(new).write.parquet(f"{daily.landed}/{table}/{name}")
+
+    meta = F.col("usage_metadata")
+    land_with("billing_usage", [landing.usage("x1", meta={"warehouse_id": "wh1"})], "wide",
+              spot_lb=F.lit("spot"), usage_dt=F.lit("clash"), usage_metadata=meta.withField("zone_id", F.lit("z1")))
+    daily.run()
+    cost = daily.tables.read("tf_billing_cost")
+    seen = {r.record_cd: (r.spot_lb, r.usage_dt_landed, r.usage_metadata.zone_id) for r in cost.collect()}
+    assert seen["x1"] == ("spot", "clash", "z1") and seen["r1"] == (None, None, None)
+    assert isinstance(cost.schema["usage_dt"].dataType, T.DateType)
+    facts = {r.record_cd: r.line_cost_usd for r in daily.gold()["vf_pbi_billing_cost"].collect()}
+    assert facts["x1"] is not None
+    versions = daily.tables.versions("_schemas")
+    before = lines(daily)
+    daily.run()
+    assert daily.tables.versions("_schemas") == versions and lines(daily) == before

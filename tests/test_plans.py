@@ -220,3 +220,45 @@ def test_star_keeps_rows(frame):
     owners = frame("identity_cd string, display_name_lb string", [("ann", "Ann"), ("ann", "Ann B")])
     out = kpi.star(fact, (dim, "resource_id", {"name": "resource_lb", "owned_by_cd": "owned_by_cd"}), owners=owners)
     assert rows(out, "resource_id", "resource_lb", "owner_name_lb") == [(-2, None, None), (1, "one", "Ann"), (2, "two", None)]
+
+
+def test_daily_state_equals_the_fact(frame):
+    """Distinct surrogates and percentiles of every period form, from a state that was replaced in part."""
+    import datetime as dt
+    import random
+
+    from costloom.operators.ranking import percentile_inc
+    from costloom.plans import daily_state as state, periods
+
+    rnd, start = random.Random(3), dt.date(2022, 11, 3)
+    data = [(start + dt.timedelta(days=rnd.choice([n % 9, n % 500])), rnd.choice("ab"), rnd.choice([None, -3, rnd.randrange(1, 90), 40_000]), rnd.randrange(50))
+            for n in range(1500)]
+    fact = frame("usage_dt date, g string, resource_id bigint, ms bigint", data + [(None, "a", 5, 5)])
+    days = sorted({d for d, *_ in data})[::3]
+    wrong = fact.withColumn("resource_id", F.lit(77).cast("bigint"))
+    seen = state.replace_days(state.distinct_state(wrong.filter(F.col("usage_dt").isin(days)), by=["g"]).unionByName(
+        state.distinct_state(fact.filter(~F.col("usage_dt").isin(days)), by=["g"])),
+        state.distinct_state(fact.filter(F.col("usage_dt").isin(days)), by=["g"]), days)
+    as_of = periods.last_context_date(fact)
+    table = {r.g: r for r in state.distinct_table(seen, by=["g"]).collect()}
+    counts = state.count_state(fact, "ms", ["g"])
+    for period in ("MTD", "QTD", "WTD", "YTD", "L3M", "MAT"):
+        for prior in (False, True):
+            lo, hi = periods.period_bounds(period, as_of, prior)
+            for g in "ab":
+                want = len({r for d, x, r, _ in data if x == g and r is not None and lo <= d <= hi})
+                assert table[g][f"{period.lower()}{'_prior' if prior else ''}"] == want
+    for period, prior in (("YTD", False), ("MAT", True)):
+        lo, hi = periods.period_bounds(period, as_of, prior)
+        inside = fact.filter(F.col("usage_dt").between(F.lit(lo), F.lit(hi)))
+        assert rows(state.percentile_total(counts, "ms", 0.9, period, as_of, prior, ["g"])) == rows(percentile_inc(inside, "ms", 0.9, ["g"]))
+        assert {r.g: r.distinct_nb for r in state.distinct_total(seen, period, as_of, prior, ["g"]).collect()} == {
+            r.g: r.n for r in inside.groupBy("g").agg(F.count_distinct("resource_id").alias("n")).collect()}
+    trend = {(r.g, r.year, r.month): r for r in state.distinct_trend(seen, ["g"]).collect()}
+    month = lambda d: d.year * 12 + d.month - 1
+    for (g, y, m), r in trend.items():
+        at = y * 12 + m - 1
+        got = lambda lo, hi: len({x for d, k, x, _ in data if k == g and x is not None and lo <= month(d) <= hi})
+        assert (r.month_nb, r.ytd_nb, r.mat_nb, r.ly_nb or 0, r.prior_month_nb or 0) == (
+            got(at, at), got(y * 12, at), got(at - 11, at), got(at - 12, at - 12), got(at - 1, at - 1))
+    assert len(trend) == len({(k, month(d)) for d, k, x, _ in data if x is not None})

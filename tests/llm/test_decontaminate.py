@@ -40,7 +40,7 @@ def brute(docs, rows, rate=dc.MAX_EDITS):
     for d, text in docs:
         for i, t in dict.fromkeys(rows):
             w = dc.WORDS.findall((t or "").lower())
-            if text is not None and len(w) >= dc.MIN_WORDS:
+            if text is not None and w:
                 e = edit(w, dc.WORDS.findall(text.lower()))
                 if e <= int(rate * len(w)):
                     out.append((d, i, e))
@@ -90,6 +90,38 @@ def test_every_item_is_found_at_the_full_limit():
         assert (i, want) in [h[:2] for h in hits], (i, t, text)
 
 
+def test_recall_at_the_full_limit_by_length():
+    """More edits of every kind, all that each item may have."""
+    r = random.Random(12)
+    for sizes in ((5, 9), (10, 14), (15, 24), (25, 39), (40, 59)):
+        rows = [(k, " ".join(words(5000 + 100 * sizes[0] + k, r.randint(*sizes)))) for k in range(150)]
+        index, found, n = dc.Index.build(rows), 0, 0
+        for i, t in rows:
+            w = t.split()
+            for k in r.sample(range(len(w)), len(w) // 5):
+                w[k] = r.choice(["", "zzz", f"{w[k]} yyy", f"yyy {w[k]}", "xxx"])
+            found += i in [h[0] for h in index.find([f"{prose(i, 30)} {' '.join(w)} {prose(i + 7, 30)}"])[0]]
+            n += 1
+        assert found >= 0.99 * n, sizes
+
+
+def test_windows_cover_the_items_and_repetitions_grow_with_edits():
+    walks = dc.repetitions((30, 34), 0.2, 3, 11)
+    assert all(w.size + w.offset == 30 and w.size >= 30 - 6 - dc.ANCHORS and len(w.rows) == 3 * w.size for w in walks)
+    assert {w.offset for w in walks} == set(range(6 + dc.ANCHORS)) and {w.steps[0] for w in walks} == {0}
+    assert len({tuple(w.steps) for w in walks}) > len(walks) // 2
+    assert len(dc.repetitions((30, 34), 0.05, 3, 11)) < len(walks)
+    assert len(dc.repetitions((4, 4), 0.2, 3, 11)) == 1
+
+
+def test_many_items_get_more_samples(monkeypatch):
+    monkeypatch.setattr(dc, "BUCKET_ITEMS", 4)
+    rows = [(k, " ".join(words(k, 20))) for k in range(40)]
+    index = dc.Index.build(rows, 0.1)
+    assert all(len(w.steps) >= 4 for w in index.walks)
+    assert all([h[:2] for h in index.find([t])[0]] == [(i, 0)] for i, t in rows)
+
+
 def test_short_items_are_found_without_their_first_word():
     rows = [(n, " ".join(words(n, n))) for n in range(5, 11)]
     index = dc.Index.build(rows)

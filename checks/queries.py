@@ -7,14 +7,16 @@ without SQL only the row count is checked and a pytest covers the content.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from costloom.functions import rules
 from costloom.functions.dates import month_end
 from costloom.operators import cdc, closure as groups, incremental, ranking, tags
 from costloom.operators.allocation import reconcile
 from costloom.operators.keys import assign_keys, with_sentinels
-from costloom.operators.latest import latest
+from costloom.operators.latest import latest, latest_snapshot
 from costloom.operators.merge import merge
 from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expectation_report
@@ -362,6 +364,36 @@ def _usage_rules(spark, sf):
     return expectation_report(usage(spark, sf), silver.USAGE_RULES)
 
 
+@query("serving_rules", sql("""
+    select r as rule_lb, count(*) as checked_nb, cast(count_if(bad) as bigint) as failed_nb from (
+     select unnest(['databricks_request_cd not null','account_cd not null','request_dt not null']) as r,
+            unnest([status_code_nb<>200 or request_cd is null, account_cd is null, request_dt is null]) as bad from fx_serving) group by r""", "fx_serving"))
+def _serving_rules(spark, sf):
+    """Requests that failed lose their number here, so one rule is broken."""
+    broken = F.when(F.col("status_code_nb") == 200, F.col("databricks_request_cd"))
+    return expectation_report(serving(spark, sf).withColumn("databricks_request_cd", broken), silver.SERVING_RULES)
+
+
+@query("latest_snapshot_of_prices", sql("""
+    select account_cd, sku_name_lb, cloud_lb, currency_code_lb, price_start_dt, snapshot_run from (
+     select *, max(snapshot_run) over (partition by account_cd) as newest from (
+      select p.*, concat('run-', case when account_cd='acct-1' then 0 else year(price_start_dt)%3 end) as snapshot_run from fx_price p)) where snapshot_run=newest""", "fx_price"))
+def _latest_snapshot(spark, sf):
+    run = F.concat(F.lit("run-"), F.when(F.col("account_cd") == "acct-1", 0).otherwise(F.year("price_start_dt") % 3).cast("string"))
+    found = latest_snapshot(view(spark, sf, "fx_price").withColumn("snapshot_run", run), "snapshot_run", ["account_cd"])
+    return found.select("account_cd", "sku_name_lb", "cloud_lb", "currency_code_lb", "price_start_dt", "snapshot_run")
+
+
+@query("charged_resource_compat", sql("""
+    select record_cd, case when job_cd is not null then 'JOB' when pipeline_cd is not null then 'PIPELINE' when cluster_cd is not null then 'CLUSTER'
+     when warehouse_cd is not null then 'WAREHOUSE' when app_cd is not null then 'APP' when notebook_cd is not null then 'NOTEBOOK' when endpoint_cd is not null then 'ENDPOINT'
+     when network_client_cd is not null or product_lb='NETWORKING' then 'NETWORKING' when dqm_cd is not null then 'DATA_QUALITY_MONITORING' else product_lb end as type_lb,
+     coalesce(job_cd,pipeline_cd,cluster_cd,warehouse_cd,app_cd,notebook_cd,endpoint_cd,dqm_cd,network_client_cd,product_lb) as source_cd from fx_usage""", "fx_usage"))
+def _charged_compat(spark, sf):
+    """The earlier rules: type names with underscores, schema before networking client."""
+    return usage(spark, sf).select("record_cd", rules.resource_type(compat=True).alias("type_lb"), rules.resource_source(compat=True).alias("source_cd"))
+
+
 @query("dedupe_usage_latest_load", """
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate from (
      select l.*, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc) as rn
@@ -1171,6 +1203,73 @@ def _explode_tags(spark, sf):
                        F.explode("tags").alias("raw_key_lb", "tag_value_lb"))
 
 
+@query("tag_map_explode_all_types", sql("""
+    select k.kind as resource_type_lb, concat('s-',t.resource_id) as source_cd, t.raw_key_lb, t.tag_value_lb from fx_tag t,
+     (select unnest(['JOB','WAREHOUSE','PIPELINE','CLUSTER','APP','NOTEBOOK','ENDPOINT','NETWORKING','DATA QUALITY MONITORING']) as kind) k
+    where t.resource_id>0 and (t.resource_id+length(k.kind))%3>0""", "fx_tag"))
+def _explode_all_tags(spark, sf):
+    """Every type that carries tags, each with its own resources."""
+    maps, _, _ = _tag_frames(spark, sf)
+    dims, known = {}, []
+    for kind, name, natural, key in res.TAGGED:
+        mine = maps.filter((F.col("resource_id") + len(kind)) % 3 > 0)
+        place = dict(account_cd=F.lit("a"), workspace_cd=F.lit("w"))
+        dims[name] = mine.select(F.col("resource_id").alias(key), F.concat(F.lit("s-"), "resource_id").alias(natural), "tags").withColumns(place)
+        known.append(dims[name].select((F.col(key) * 10 + len(known)).alias("resource_id"), F.lit(kind).alias("resource_type_lb"),
+                                       F.col(natural).alias("source_cd"), "account_cd", "workspace_cd"))
+    resources = reduce(DataFrame.unionByName, known)
+    held = tags.attach_resource(res.tag_maps(dims), resources)
+    return held.join(resources, "resource_id").select("resource_type_lb", "source_cd", F.explode("tags").alias("raw_key_lb", "tag_value_lb"))
+
+
+_OWNED = {"JOB": "creator_userid_cd", "WAREHOUSE": "created_by_cd", "PIPELINE": "created_by_cd", "CLUSTER": "owned_by_cd"}
+_CHANGED = " union all ".join(
+    f"select '{k}' as resource_type_lb, entity_cd as source_cd, account_cd, 'eu' as region_lb, workspace_cd, name_lb as display_name_lb, "
+    f"{{{k}}} as owned_by_cd, case when is_deleted_fl=0 then 1 else 0 end as is_active_fl from cur" for k in _OWNED)
+
+
+def _resource_tables(spark, sf) -> dict[str, DataFrame]:
+    """All dimensions; an owner is named after its resource."""
+    landed, out = landed_usage(view(spark, sf, "fx_usage")), {}
+    for spec in silver.BILLING_ENTITIES:
+        owner = {"data_quality_monitoring": "created_by_cd"}.get(spec.name, "run_as_cd")
+        out[f"td_billing_{spec.name}"] = _as_dim(silver.billing_entity(landed, spec), spec.id_col, spec.code).withColumn(
+            owner, F.concat(F.lit("own-"), spec.code))
+    current = cdc.scd1(None, changes(spark, sf), CHANGE_KEYS, "change_time").withColumn("region_lb", F.lit("eu"))
+    for b in res.BRANCHES[:4]:
+        out[b.table] = _as_dim(current.withColumnsRenamed({"entity_cd": b.source, "name_lb": b.name}), b.id_col, b.source).withColumn(
+            _OWNED[b.kind], F.concat(F.lit("own-"), b.source))
+    return out
+
+
+_BILLED_ONLY = """
+    union all select distinct 'APP', app_cd, account_cd, 'global', workspace_cd, upper(app_cd), concat('own-',app_cd), 1 from fx_usage where app_cd is not null
+    union all select distinct 'NOTEBOOK', notebook_cd, account_cd, 'global', workspace_cd, concat('/nb/',notebook_cd), {nb}, 1 from fx_usage where notebook_cd is not null
+    union all select distinct 'NETWORKING', coalesce(network_client_cd,'NETWORKING'), account_cd, 'global', workspace_cd, coalesce(network_client_cd,'NETWORKING'), {net}, 1
+      from fx_usage where network_client_cd is not null or product_lb='NETWORKING'
+    union all select distinct {kind}, endpoint_cd, account_cd, 'global', workspace_cd, upper(endpoint_cd), {ep}, 1 from fx_usage where endpoint_cd is not null"""
+_OWN = "concat('own-',entity_cd)"
+
+
+@query("unify_resources_owned", sql(
+    _CHANGED.format(**dict.fromkeys(_OWNED, _OWN))
+    + _BILLED_ONLY.format(nb="concat('own-',notebook_cd)", net="concat('own-',coalesce(network_client_cd,'NETWORKING'))", kind="'ENDPOINT'", ep="concat('own-',endpoint_cd)")
+    + " union all select distinct 'DATA QUALITY MONITORING', dqm_cd, account_cd, 'global', workspace_cd, dqm_cd, concat('own-',dqm_cd), 1 from fx_usage where dqm_cd is not null",
+    "fx_usage", "fx_change", cur=_SCD1))
+def _unify_owned(spark, sf):
+    """All change-fed and billing branches, with the owner column of each."""
+    return res.unify_resources(_resource_tables(spark, sf)).select(*res.RESOURCE_COLUMNS)
+
+
+@query("unify_resources_earlier", sql(
+    _CHANGED.replace("'eu'", "'global'").format(**{**dict.fromkeys(_OWNED, _OWN), "WAREHOUSE": "cast(null as varchar)"})
+    + _BILLED_ONLY.format(nb="cast(null as varchar)", net="cast(null as varchar)", kind="product_lb", ep="cast(null as varchar)"),
+    "fx_usage", "fx_change", cur=_SCD1))
+def _unify_earlier(spark, sf):
+    """The former eight branches: endpoints typed by product, four owners."""
+    return res.unify_resources_earlier(_resource_tables(spark, sf)).select(*res.RESOURCE_COLUMNS)
+
+
 # ---- allocation ------------------------------------------------------------
 
 _QPOOL = "select usage_dt, account_cd, workspace_cd, warehouse_cd, sum(line_cost_usd) as c from fx_billed where warehouse_cd is not null group by all"

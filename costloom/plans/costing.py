@@ -15,13 +15,13 @@ QUERY_KEYS = ["usage_dt", "account_cd", "workspace_cd", "warehouse_cd"]
 SERVING_KEYS = ["usage_dt", "account_cd", "workspace_cd", "endpoint_cd"]
 
 
-def merge_prices(prices: DataFrame, landed: DataFrame) -> DataFrame:
+def merge_prices(prices: DataFrame, landed: DataFrame, actions: bool = False) -> DataFrame:
     """Fold a full price snapshot in. The start time is part of the key, so closed
     windows stay."""
-    return merge_price_rows(prices, price_view(landed))
+    return merge_price_rows(prices, price_view(landed), actions)
 
 
-def merge_price_rows(prices: DataFrame, rows: DataFrame) -> DataFrame:
+def merge_price_rows(prices: DataFrame, rows: DataFrame, actions: bool = False) -> DataFrame:
     guard = ["usage_unit_lb", "default_price_nb", "effective_list_price_nb", "price_end_dt"]
     now = F.current_timestamp()
     return merge(
@@ -31,6 +31,7 @@ def merge_price_rows(prices: DataFrame, rows: DataFrame) -> DataFrame:
         guard=guard,
         update={**{c: F.col(f"s.{c}") for c in guard}, "sys_update_dt": now},
         insert={"sys_create_dt": now, "sys_update_dt": now},
+        actions=actions,
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import closure as groups, incremental as inc, tags
 from ..operators.keys import with_sentinels
 from ..operators.latest import latest_snapshot
+from ..operators.merge import ACTION
 from ..schemas import (
     GROUP_SENTINELS, IDENTITY_SENTINELS, LANDED, RESOURCE_SENTINELS, SERVICE_PRINCIPAL_SENTINELS,
     TAG_KEY_SENTINELS, USER_SENTINELS, WORKSPACE_SENTINELS,
@@ -229,24 +230,25 @@ class Daily:
         return flows.observed_fold(
             rows, RULED[name], report, lambda watched: flows.append_fold(watched, self.tables.folder(name), [day]))
 
+    def _fold(self, name: str, merge: Callable[..., DataFrame], source: DataFrame) -> DataFrame:
+        """Merge ``source`` into a table; if no row is inserted, updated or closed, nothing is written."""
+        merged = merge(self.current(name), source, actions=True)
+        if self.tables.exists(name) and merged.filter(F.col(ACTION) != "keep").isEmpty():
+            return self.tables.read(name)
+        return self.tables.replace(name, merged.drop(ACTION))
+
     def run_workspaces(self) -> None:
-        self.tables.replace(
-            "td_workspace", ids.merge_workspaces(self.current("td_workspace"), self.snapshot("access_workspaces")))
+        self._fold("td_workspace", ids.merge_workspaces, self.snapshot("access_workspaces"))
 
     def run_identities(self) -> None:
         users = ids.parse_users(self.snapshot("account_users"))
         robots = ids.parse_service_principals(self.snapshot("account_service_principals"))
         landed_groups = self.snapshot("account_groups")
-        for name, merged in [
-            ("td_dbx_user", ids.merge_users(self.current("td_dbx_user"), users)),
-            ("td_dbx_service_principal",
-             ids.merge_service_principals(self.current("td_dbx_service_principal"), robots)),
-            ("td_identity", ids.merge_identities(self.current("td_identity"), ids.unify_identities(users, robots))),
-            ("td_dbx_group", ids.merge_groups(self.current("td_dbx_group"), ids.parse_groups(landed_groups))),
-            ("tr_dbx_group_member",
-             ids.merge_group_members(self.current("tr_dbx_group_member"), ids.parse_group_edges(landed_groups))),
-        ]:
-            self.tables.replace(name, merged)
+        self._fold("td_dbx_user", ids.merge_users, users)
+        self._fold("td_dbx_service_principal", ids.merge_service_principals, robots)
+        self._fold("td_identity", ids.merge_identities, ids.unify_identities(users, robots))
+        self._fold("td_dbx_group", ids.merge_groups, ids.parse_groups(landed_groups))
+        self._fold("tr_dbx_group_member", ids.merge_group_members, ids.parse_group_edges(landed_groups))
 
     def run_visibility(self) -> None:
         """Who is in which group at any depth, inside each account. Pairs of users are made when they are read.
@@ -279,9 +281,7 @@ class Daily:
         The mark moves last, so a run that stops half-way is repeated in full, and folding the
         same lines again changes nothing.
         """
-        prices = costing.merge_prices(
-            self.current("td_billing_list_price"), self.snapshot("billing_list_prices"))
-        prices = self.tables.replace("td_billing_list_price", prices)
+        prices = self._fold("td_billing_list_price", costing.merge_prices, self.snapshot("billing_list_prices"))
         marks = self.current("_marks")
         mark = inc.stored_mark(marks, "tf_billing_cost")
         arrived = self.arrived_usage(mark).persist()
@@ -309,12 +309,11 @@ class Daily:
         """Resources, tag keys and the tags that resources carry; the dense grid is made when it is read."""
         dims = self._dimensions()
         unified = res.unify_resources({**dims, "td_workspace": self.current("td_workspace")})
-        resources = self.tables.replace("td_resource", res.merge_resources(self.current("td_resource"), unified))
+        resources = self._fold("td_resource", res.merge_resources, unified)
         maps = res.tag_maps(dims)
-        keys = self.tables.replace(
-            "td_tag_key", res.merge_tag_keys(self.current("td_tag_key"), tags.tag_keys(maps)))
+        keys = self._fold("td_tag_key", res.merge_tag_keys, tags.tag_keys(maps))
         held = tags.resource_labels(tags.attach_resource(maps, resources), keys)
-        self.tables.replace("tr_resource_tag", res.merge_bridge(self.current("tr_resource_tag"), held))
+        self._fold("tr_resource_tag", res.merge_bridge, held)
 
     def run_attribution(self, days: list[dt.date] | None = None) -> None:
         """Recompute attributed cost for the given usage days (default: all). A late

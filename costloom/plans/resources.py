@@ -155,7 +155,7 @@ def unify_resources_earlier(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def merge_resources(resources: DataFrame, unified: DataFrame) -> DataFrame:
+def merge_resources(resources: DataFrame, unified: DataFrame, actions: bool = False) -> DataFrame:
     """Upsert; surrogates of known resources stay, new ones are numbered after the highest.
 
     The union of all branches is read several times, so it is written to the checkpoint folder once."""
@@ -169,19 +169,20 @@ def merge_resources(resources: DataFrame, unified: DataFrame) -> DataFrame:
         guard=RESOURCE_GUARD,
         update={**{c: F.col(f"s.{c}") for c in RESOURCE_GUARD}, "sys_update_dt": now},
         insert={"sys_create_dt": now, "sys_update_dt": now},
+        actions=actions,
     )
 
 
-def merge_tag_keys(keys: DataFrame, found: DataFrame) -> DataFrame:
+def merge_tag_keys(keys: DataFrame, found: DataFrame, actions: bool = False) -> DataFrame:
     """Insert tag keys not known yet, compared without regard to case."""
     now = F.current_timestamp()
     fold = lambda df: df.withColumn("__u", F.upper("tag_key_cd"))
     known = fold(keys)
     fresh = with_new_keys(fold(found.drop("tag_key_id")), known, ["__u"], "tag_key_id")
-    return merge(known, fresh, ["__u"], insert={"sys_create_dt": now, "sys_update_dt": now}).drop("__u")
+    return merge(known, fresh, ["__u"], insert={"sys_create_dt": now, "sys_update_dt": now}, actions=actions).drop("__u")
 
 
-def merge_bridge(bridge: DataFrame, fresh: DataFrame) -> DataFrame:
+def merge_bridge(bridge: DataFrame, fresh: DataFrame, actions: bool = False) -> DataFrame:
     """Upsert tag values; a pair that is gone from the grid keeps its last value."""
     now = F.current_timestamp()
     return merge(
@@ -191,6 +192,7 @@ def merge_bridge(bridge: DataFrame, fresh: DataFrame) -> DataFrame:
         guard=["tag_value_lb"],
         update={"tag_value_lb": F.col("s.tag_value_lb"), "sys_update_dt": now},
         insert={"sys_create_dt": now, "sys_update_dt": now},
+        actions=actions,
     )
 
 

@@ -501,7 +501,7 @@ def random_edges(rnd, groups_nb, nest, leaf):
     return edges | {(f"g{rnd.randrange(groups_nb)}", f"u{rnd.randrange(9)}", "Users") for _ in range(leaf)}
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_closure_under_change_equals_closure_from_scratch(frame, seed):
     """Two days of added and ended edges, with cycles and paths that end."""
     rnd = random.Random(seed)

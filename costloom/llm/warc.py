@@ -6,19 +6,22 @@ the first one's id and their number, the last of them with the total length. Arc
 record end as line separator, so that each task's files are committed once however often it is tried, and
 hold ``RECORDS`` segments at most, which bounds a file.
 
-*Reading.* Files are parsed by the lengths in their headers (whole or per-member gzip is recognised). Segments of records in several pieces
+*Reading.* Files are parsed by the lengths in their headers; gzip, whole or by members, is unpacked piece by piece. Segments of records in several pieces
 are grouped by origin id, ordered by number, checked for gaps and for the total length, and joined; whole records take no
 part in that shuffle. Then the chunked framing is decoded and the payload's digest checked.
 
 Null payloads are empty; null urls give no target URI; null page ids are carried as no page header and never chosen as
 response of a group with ids. Rows with equal page ids and payloads are all responses if they are the group's smallest. An
-empty table gives an archive without records. A record with a gap, a wrong length, framing or digest has ``error`` set instead of a payload.
+empty table gives an archive without records. A record with a gap, a wrong length, framing or digest, or cut short, has ``error`` set instead of a payload; so have
+junk between records and a gzip member that ends too early, as rows without a record id. The records after them are read.
 Payloads may be as long as a Spark value may be. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import re
 import uuid
 import zlib
@@ -32,11 +35,12 @@ CRLF = b"\r\n"
 LEAST_BYTES = 100
 SEGMENT = 16 << 10
 CHUNK = 4 << 10
+READ = 1 << 20
 RECORDS = 4096
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _PLAIN = re.compile(r"[^\x21-\x7E]")
 SEGMENTS = ("record_id string, kind string, page_id long, payload_digest string, refers_to long, uri string, origin string, number int, "
-            "total long, whole boolean, length long, block binary")
+            "total long, whole boolean, length long, block binary, error string")
 RECORD = ("record_id string, page_id long, uri string, kind string, refers_to long, payload binary, payload_bytes long, "
           "payload_digest string, segments int, error string")
 
@@ -135,33 +139,83 @@ def write_warc(pages: DataFrame, path: str, payload: str = "html", page_id: str
 
 # ---- reading ---------------------------------------------------------------
 
-def inflated(data: bytes) -> bytes:
-    """``data``, or what is in its gzip members."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data:
-        z = zlib.decompressobj(31)
-        out += [z.decompress(data), z.flush()]
-        data = z.unused_data.lstrip(b"\r\n\0")
-    return b"".join(out)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, with names in lower case, and blocks of all records."""
-    at = 0
-    while at < len(data):
-        if data[at:at + 2] == CRLF:
-            at += 2
+class _Bytes:
+    """The bytes of a file, those of its gzip members if it has any, read as they are asked for. ``damaged``: they end too early."""
+
+    def __init__(self, data: bytes):
+        self.source = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+        self.held, self.at, self.ended, self.damaged = b"", 0, False, False
+
+    def ask(self, n: int) -> int:
+        """Hold ``n`` bytes from the present place on, if there are so many; how many are held."""
+        parts, have = [], len(self.held) - self.at
+        while have < n and not self.ended:
+            try:
+                part = self.source.read1(READ)  # what was unpacked before a damaged place is not lost
+            except (EOFError, OSError, zlib.error):
+                part, self.damaged = b"", True
+            self.ended = not part
+            parts.append(part)
+            have += len(part)
+        if parts:
+            self.held, self.at = b"".join([self.held[self.at:], *parts]), 0
+        return have
+
+    def find(self, what: bytes, begin: int = 0) -> int:
+        """Offset of ``what`` from the present place on, -1 if it does not come; each byte is searched once."""
+        while True:
+            have = len(self.held) - self.at
+            found = self.held.find(what, self.at + begin)
+            if found >= 0:
+                return found - self.at
+            begin = max(begin, have - len(what) + 1)
+            if self.ask(2 * have + READ) == have:
+                return -1
+
+    def starts(self, what: bytes) -> bool:
+        return self.held.startswith(what, self.at)
+
+    def take(self, n: int) -> bytes:
+        out = self.held[self.at:self.at + n]
+        self.at += len(out)
+        return out
+
+
+def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Headers, with names in lower case, and blocks of all records, and what is wrong with them.
+
+    What does not begin like a record is skipped up to the next line that does. A record whose length leads past the
+    file's end, or to a place where no record ends, is cut before the next such line."""
+    text = _Bytes(data)
+    while text.ask(5):
+        if text.starts(CRLF):
+            text.take(2)
             continue
-        end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode("utf-8", "replace").split("\r\n")
-        if not first.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+        if not text.starts(b"WARC/"):
+            next_ = text.find(b"\nWARC/")
+            text.take(text.ask(len(text.held) + READ) if next_ < 0 else next_ + 1)
+            yield {}, b"", "no record"
+            continue
+        end = text.find(b"\r\n\r\n")
+        if end < 0:
+            text.take(text.ask(len(text.held) + READ))
+            yield {}, b"", "record header"
+            return
+        lines = text.take(end + 4)[:end].decode("utf-8", "replace").split("\r\n")[1:]
         head = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-        size = int(head["content-length"])
-        yield head, data[end + 4: end + 4 + size]
-        at = end + 4 + size
+        size = head.get("content-length", "")
+        if not size.isdecimal() or "warc-type" not in head:
+            yield head, b"", "record header"
+            continue
+        size = int(size)
+        have = text.ask(size + 2)
+        if have < size or have > size and not text.held.startswith(CRLF, text.at + size):
+            next_ = text.held.find(b"\r\nWARC/", text.at, text.at + min(have, size) + 7)
+            yield head, text.take(min(have, size) if next_ < 0 else next_ - text.at), "cut short"
+            continue
+        yield head, text.take(size), None
+    if text.damaged:
+        yield {}, b"", "gzip member"
 
 
 def segments(files: DataFrame) -> DataFrame:
@@ -171,20 +225,21 @@ def segments(files: DataFrame) -> DataFrame:
 
         kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
         schema = pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in SEGMENTS.split(", "))])
-        whole_number = lambda v: None if v is None else int(v)
+        whole_number = lambda v: None if v is None or not re.fullmatch("-?[0-9]{1,18}", v) else int(v)
         for batch in batches:
             for data in batch.column("content"):
                 rows, held = [], 0
-                for head, block in parse(inflated(data.as_py())):
-                    kind = head["warc-type"]
-                    if kind not in ("response", "revisit", "continuation"):
+                for head, block, damage in parse(data.as_py() or b""):
+                    kind = head.get("warc-type")
+                    if not damage and kind not in ("response", "revisit", "continuation"):
                         continue
-                    record = head["warc-record-id"]
+                    record = head.get("warc-record-id")
+                    number = whole_number(head.get("warc-segment-number"))
                     rows.append((record, kind, whole_number(head.get("x-page-id")), head.get("warc-payload-digest", "").removeprefix("sha256:"),
                                  whole_number(head.get("x-refers-to-page-id")), head.get("warc-target-uri"),
-                                 head.get("warc-segment-origin-id", record), int(head.get("warc-segment-number", 1)),
-                                 whole_number(head.get("warc-segment-total-length")), "warc-segment-number" not in head,
-                                 whole_number(head.get("x-payload-length")), block))
+                                 head.get("warc-segment-origin-id", record), number or 1,
+                                 whole_number(head.get("warc-segment-total-length")), number is None or damage is not None,
+                                 whole_number(head.get("x-payload-length")), None if damage else block, damage))
                     held += len(block)
                     if held > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -218,19 +273,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def reassembled(every: DataFrame) -> DataFrame:
     """Segments to whole records with their payloads decoded."""
-    whole = every.filter("whole").select("record_id", "kind", "page_id", "payload_digest", "refers_to", "uri", "length", "block",
-                                         F.lit(1).alias("segments"), F.lit(None).cast("string").alias("error"))
+    whole = every.filter("whole").select("record_id", "kind", "page_id", "payload_digest", "refers_to", "uri", "length", F.array("block").alias("blocks"),
+                                         F.lit(1).alias("segments"), "error")
     # All pieces of one record are as long together as its payload was in its row.
     pieces = every.filter("not whole").groupBy("origin").agg(
         F.array_sort(F.collect_list(F.struct("number", "block", "total"))).alias("s"),
         *(F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("kind", "page_id", "payload_digest", "refers_to", "uri", "length")))
-    block = F.aggregate("s", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["block"]))
-    joined = pieces.withColumn("block", block).withColumn("segments", F.size("s"))
+    length = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x["block"]))
+    joined = pieces.withColumn("blocks", F.col("s.block")).withColumn("segments", F.size("s"))
     last = F.element_at("s", -1)
     error = (F.when(F.transform("s", lambda x: x["number"]) != F.sequence(F.lit(1), F.col("segments")), "missing segment")
              .when(last["total"].isNull(), "missing last segment")
-             .when(last["total"] != F.octet_length("block"), "total length"))
-    joined = joined.select(F.col("origin").alias("record_id"), "kind", "page_id", "payload_digest", "refers_to", "uri", "length", "block", "segments", error.alias("error"))
+             .when(last["total"] != length, "total length"))
+    joined = joined.select(F.col("origin").alias("record_id"), "kind", "page_id", "payload_digest", "refers_to", "uri", "length", "blocks", "segments", error.alias("error"))
 
     def run(batches):
         import pyarrow as pa
@@ -238,10 +293,11 @@ def reassembled(every: DataFrame) -> DataFrame:
         names = ("record_id", "page_id", "uri", "kind", "refers_to")
         for batch in batches:
             payloads, sizes, errors = [], [], []
-            for kind, block, digest, length, wrong in zip(*(batch.column(c).to_pylist() for c in ("kind", "block", "payload_digest", "length", "error"))):
+            columns = (batch.column(c) for c in ("kind", "blocks", "payload_digest", "length", "error"))
+            for kind, blocks, digest, length, wrong in (tuple(v.as_py() for v in row) for row in zip(*columns)):
                 payload = None
                 if not wrong:
-                    payload, wrong = decoded(kind, block, digest)
+                    payload, wrong = decoded(kind, b"".join(blocks), digest)  # the pieces are joined once, here
                 payloads.append(payload)
                 sizes.append(length if kind == "revisit" else None if payload is None else len(payload))
                 errors.append(wrong)

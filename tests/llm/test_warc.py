@@ -66,3 +66,44 @@ def test_damaged_records_are_reported(spark):
     files = spark.createDataFrame([(bytearray(data),)], "content binary")
     got = {r.page_id: (r.error, r.payload and bytes(r.payload)) for r in warc.reassembled(warc.segments(files)).collect()}
     assert got == {1: ("missing segment", None), 2: ("payload digest", None), 3: ("missing last segment", None), 4: (None, b"w" * 500)}
+
+
+def damaged(*records):
+    return b"".join(r if isinstance(r, bytes) else r[0] + b"\r\n\r\n" for r in records)
+
+
+def one(i, size=500):
+    payload = b"%d" % i * size
+    return list(warc.records(i, "u", payload, hashlib.sha256(payload).hexdigest(), None, f"k{i}", 1 << 20))
+
+
+def test_a_damaged_file_costs_its_own_records_only(spark):
+    cut = one(2)[0][:-300] + b"\r\n\r\n"
+    bare = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 500\r\n\r\nshort"
+    odd = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: many\r\n\r\n\r\n\r\n"
+    plain = damaged(one(1), b"one line of junk\r\n", cut, one(3), odd, one(4), b"\x00\xff junk\n", one(5)[0], b"\r\n\r\n", bare)
+    packed = gzip.compress(plain)
+    files = [plain, packed, gzip.compress(damaged(one(6))) + gzip.compress(damaged(one(7)))[:-40], b"", b"no archive", None]
+    made = spark.createDataFrame([(f if f is None else bytearray(f),) for f in files], "content binary")
+    found = warc.reassembled(warc.segments(made)).collect()
+    whole = sorted(r.page_id for r in found if r.error is None)
+    assert whole == sorted([1, 3, 4, 5] * 2 + [6])
+    errors = sorted(r.error for r in found if r.error)
+    assert errors.count("cut short") >= 4 and errors.count("record header") == 2 and errors.count("no record") >= 3
+    assert "gzip member" in errors
+    assert all(r.payload is None for r in found if r.error)
+
+
+def test_reading_is_linear_in_a_page(spark):
+    import time
+
+    took = {}
+    for mb in (4, 32):
+        text = "x" * (mb << 20)
+        path = shared_folder(spark, "warc-test")
+        warc.write_warc(pages(spark, [(1, "u", text)]), path)
+        start = time.time()
+        r = warc.read_warc(spark, path).first()
+        took[mb] = time.time() - start
+        assert (r.error, r.payload_bytes, bytes(r.payload[-9:])) == (None, mb << 20, b"x" * 9) and r.segments > 100
+    assert took[32] < 20 * took[4]

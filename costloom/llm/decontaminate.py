@@ -32,6 +32,7 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -303,7 +304,7 @@ class Index:
         if not self.items:
             return out
         get = self.vocabulary.get
-        code = np.fromiter((get(w, 0) for words in docs for w in words), np.int32, sum(map(len, docs)))
+        code = np.fromiter(map(get, chain.from_iterable(docs), repeat(0)), np.int32, sum(map(len, docs)))
         ends = np.cumsum([len(words) for words in docs])
         wanted: dict[tuple[int, int], set[int]] = {}
         found = self._candidates(code)

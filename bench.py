@@ -54,6 +54,7 @@ def stage(spark, out: str):
     keyed.write.parquet(f"{out}/tag_key")
     q.cost(spark, SF_DIR).withColumn("usage_load_dt", F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{out}/cost")
     gold.billing_cost_fact(read("cost"), read("workspace"), read("resource"), read("identity")).write.parquet(f"{out}/gold")
+    groups.closure(read("edge")).write.parquet(f"{out}/closed")
     history = read("change")
     cdc.scd2(history.filter("change_time < timestamp_ntz '2024-01-27 00:00:00'"), q.CHANGE_KEYS, "change_time").write.parquet(f"{out}/history_before")
     return read
@@ -98,9 +99,13 @@ def headline(spark, read):
 
     def visible_cost():
         """What one user may see of the cost fact, from the stored factors."""
-        edges = read("edge")
         facts = read("cost").withColumn("member_cd", F.regexp_replace("run_as_cd", "^user([0-9]+)@x.org$", "c$1"))
-        return groups.visible_rows(facts, "member_cd", ["c1"], groups.memberships(edges), groups.closure(edges))
+        return groups.visible_rows(facts, "member_cd", ["c1"], groups.memberships(read("edge")), read("closed"))
+
+    def visible_pairs():
+        """Pairs of the users that a report names, from the stored factors."""
+        users = spark.read.parquet(f"{SF_DIR}/customer.parquet").select(F.concat(F.lit("c"), "c_custkey").alias("user_cd"), "c_acctbal")
+        return groups.visible_to(users.filter("c_acctbal > 9900"), users, groups.memberships(read("edge")), read("closed"))
 
     def untagged():
         held = tags.resource_labels(read("tag_map"), read("tag_key"))
@@ -126,7 +131,7 @@ def headline(spark, read):
         "merge_one_percent": merge_one_percent,
         "merge_one_day": merge_one_day,
         "merge_resources": resources,
-        "visibility_of_named_users": lambda: q.QUERIES["visibility_of_named_users"](spark, SF_DIR),
+        "visibility_of_named_users": visible_pairs,
         "cost_visible_to_user": visible_cost,
         "group_closure": lambda: groups.closure(read("edge")),
         "tag_bridge": bridge,

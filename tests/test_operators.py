@@ -12,6 +12,7 @@ from costloom.operators.latest import latest, latest_snapshot
 from costloom.operators.merge import align_schemas, merge
 from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expect, expectation_report
+from costloom.plans import identities as ids
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -610,3 +611,41 @@ def test_expectations_count_and_keep(frame):
     assert kept.count() == 3
     assert seen.get == {"rows": 3, "a not null": 1, "a positive": 2}
     assert rows(expectation_report(df, {"a positive": "a > 0"})) == [("a positive", 3, 2)]
+
+
+def _company(frame, n=90):
+    """Two nested groups of many users, one user in both, a NULL user, a NULL member and a user without a group."""
+    edges = [("top", "low", "Groups")] + [("low" if i % 3 else "top", f"u{i}", "Users") for i in range(n)]
+    edges += [("low", "u0", "Users"), ("low", None, "Users"), ("top", None, "ServicePrincipals"), (None, "u1", "Users")]
+    df = frame("group_cd string, member_cd string, member_type_lb string", edges)
+    return df, frame("user_cd string", [(f"u{i}",) for i in range(n)] + [("alone",), ("alone",), (None,)])
+
+
+def _plainly(users, edges, closed):
+    own = groups.memberships(edges)
+    return own.join(closed, "group_cd").select("user_cd", "member_cd").union(users.selectExpr("user_cd", "user_cd")).distinct()
+
+
+def test_visible_pairs_are_neither_shuffled_nor_made_distinct(frame, monkeypatch):
+    monkeypatch.setattr(groups, "BLOCK", 16)
+    df, users = _company(frame)
+    closed = groups.closure(df).checkpoint()
+    out, want = groups.visibility(users, df, closed), _plainly(users, df, closed)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "user_cd" in x.partition("functions")[0] and "member_cd" in x.partition("functions")[0]]
+    assert out.count() == want.count() and not out.exceptAll(want).count()
+
+
+def test_visibility_is_merged_without_meeting_the_pairs(frame, monkeypatch):
+    monkeypatch.setattr(groups, "BLOCK", 16)
+    df, users = _company(frame)
+    closed = groups.closure(df).checkpoint()
+    old = dt.datetime(2020, 1, 1)
+    known = [("u0", "u1"), ("u0", "u1"), ("alone", "alone"), ("u4", "gone"), (None, "u1"), (None, None)] + [(f"u{i}", f"u{i + 1}") for i in range(0, 80, 2)]
+    bridge = frame("user_cd string, member_cd string, sys_create_dt timestamp, note string", [(*k, old, "n") for k in known])
+    bridge = bridge.select("user_cd", "member_cd", "sys_create_dt", F.col("sys_create_dt").alias("sys_update_dt"), "note")
+    told = lambda d: d.selectExpr("user_cd", "member_cd", "note", "year(sys_create_dt) > 2020 as new", "year(sys_update_dt) > 2020 as fresh")
+    out = ids.merge_visible(bridge, users, df, closed)
+    want = ids.merge_visibility(bridge, _plainly(users, df, closed))
+    assert out.schema.simpleString() == want.schema.simpleString()
+    assert not told(out).exceptAll(told(want)).count() and not told(want).exceptAll(told(out)).count()

@@ -74,13 +74,16 @@ def merge(
     )
     has_update = bool(assignments)
 
+    # Plain columns rather than structs: those that no later step reads are not shuffled.
     left = target.select(
-        F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("t"),
+        *[F.col(f"`{c}`").alias(c) for c in target.columns],
+        F.lit(True).alias("__in_t"),
         *[F.col(k).alias(f"__t_{i}") for i, k in enumerate(keys)],
         (F.lit(0) if null_safe else _nullsafe_lane(target, keys)).cast("bigint").alias("__t_lane"),
     )
     right = source.select(
-        F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("s"),
+        *[F.col(f"`{c}`").alias(c) for c in source.columns],
+        F.lit(True).alias("__in_s"),
         *[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)],
         (F.lit(0) if null_safe else _nullsafe_lane(source, keys)).cast("bigint").alias("__s_lane"),
     )
@@ -93,9 +96,9 @@ def merge(
     for i in range(len(keys)):
         same = F.col(f"__t_{i}").eqNullSafe(F.col(f"__s_{i}")) if null_safe else F.col(f"__t_{i}") == F.col(f"__s_{i}")
         condition = condition & same
-    joined = left.join(right, condition, "full_outer")
+    joined = left.alias("t").join(right.alias("s"), condition, "full_outer")
 
-    in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()
+    in_target, in_source = F.col("__in_t").isNotNull(), F.col("__in_s").isNotNull()
     kinds = {f.name: f.dataType for f in target.schema.fields}
     changed = F.lit(False) if also_when is None else F.coalesce(also_when, F.lit(False))
     for c in guard:

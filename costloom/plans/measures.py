@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.ranking import global_rank, percentile_inc, share, top_n
+from ..session import ensure_checkpoint_dir
 
 COST, QUERY = "cost", "query"
 
@@ -167,14 +168,17 @@ def star(
 def ranked(fact: DataFrame, value: str, by: Sequence[str], dense: bool = True,
            filters: Sequence[Column] = ()) -> DataFrame:
     """Every group with its rank by ``value``. Groups are display names, so entities that
-    share a name are one."""
-    return global_rank(measure(fact, value, by, filters), value, dense)
+    share a name are one. The groups are kept in the checkpoint folder: ranking reads them more than once."""
+    ensure_checkpoint_dir(fact.sparkSession)
+    return global_rank(measure(fact, value, by, filters).checkpoint(), value, dense)
 
 
 def top(fact: DataFrame, value: str, by: Sequence[str], n: int = 10, dense: bool = True,
         filters: Sequence[Column] = ()) -> DataFrame:
-    """Groups ranked ``n`` or better; ties at the edge stay, so there may be more than ``n``."""
-    return top_n(measure(fact, value, by, filters), value, n, dense)
+    """Groups ranked ``n`` or better; ties at the edge stay, so there may be more than ``n``. The groups are kept
+    in the checkpoint folder: the best values and the rows that hold them are read from there."""
+    ensure_checkpoint_dir(fact.sparkSession)
+    return top_n(measure(fact, value, by, filters).checkpoint(), value, n, dense)
 
 
 def is_job(column: str = "resource_type_lb") -> Column:
@@ -186,4 +190,5 @@ def cost_share(fact: DataFrame, by: Sequence[str], within: Sequence[str] = (),
     """Share of each group in the total of ``within`` (default: of everything selected);
     ``usage`` switches from cost to DBUs."""
     value = "total_usage_dbu" if usage else "total_cost"
-    return share(measure(fact, value, [*within, *by], filters), value, within, "share_pct")
+    ensure_checkpoint_dir(fact.sparkSession)
+    return share(measure(fact, value, [*within, *by], filters).checkpoint(), value, within, "share_pct")

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from costloom.operators.latest import latest, latest_snapshot
 from costloom.operators.merge import align_schemas, merge
 from costloom.operators.pricing import price_lines, price_lines_asof, price_overlaps, reprice
 from costloom.operators.quality import expect, expectation_report
-from costloom.plans import identities as ids
+from costloom.plans import identities as ids, measures as kpi
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -649,3 +650,19 @@ def test_visibility_is_merged_without_meeting_the_pairs(frame, monkeypatch):
     want = ids.merge_visibility(bridge, _plainly(users, df, closed))
     assert out.schema.simpleString() == want.schema.simpleString()
     assert not told(out).exceptAll(told(want)).count() and not told(want).exceptAll(told(out)).count()
+
+
+def test_merge_shuffles_only_what_is_read(frame):
+    target = frame("k int, v int, wide string", [(1, 1, "a"), (2, 2, "b"), (None, 3, "c")])
+    source = frame("k int, v int, wide string", [(1, 5, "x"), (4, 4, "y"), (None, 3, "z")])
+    out = merge(target, source, ["k"], guard=["v"], update=["v", "wide"], actions=True)
+    assert rows(out) == sorted([(1, 5, "x", "update"), (2, 2, "b", "keep"), (None, 3, "c", "keep"), (4, 4, "y", "insert"), (None, 3, "z", "insert")], key=repr)
+    plan = out.select("k", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Project" in x and "wide" in re.sub(r"xxhash64\([^)]*\)", "", x)]
+
+
+def test_ranks_and_shares_compute_the_measure_once(frame):
+    fact = frame("g string, line_cost_usd int", [("a", 3), ("b", 5), (None, 5)])
+    for out in (kpi.ranked(fact, "total_cost", ["g"]), kpi.top(fact, "total_cost", ["g"]), kpi.cost_share(fact, ["g"])):
+        assert "line_cost_usd" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(kpi.ranked(fact, "total_cost", ["g"])) == sorted([("a", 3, 2), ("b", 5, 1), (None, 5, 1)], key=repr)

@@ -49,3 +49,10 @@ def test_entry_has_a_stable_schema(spark):
     out = e.entry(spark)
     assert out.columns == ["usage_dt", "workspace_cd", "product_lb", "total_cost", "lines_nb"]
     assert out.limit(1).count() == 1
+
+
+def test_star_finds_the_resources_once(spark):
+    from checks import queries as q
+
+    plan = q.star_cost(spark, "/root/testdata/sf0.001").select("resource_lb", "resource_id")._jdf.queryExecution().analyzed().toString()
+    assert plan.count("resource_type_lb") and "having" not in plan and not [x for x in plan.splitlines() if "max(usage_dt" in x]

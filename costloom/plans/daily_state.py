@@ -23,9 +23,17 @@ DAY = "usage_dt"
 def distinct_state(fact: DataFrame, column: str = "resource_id", by: Sequence[str] = (), day: str = DAY) -> DataFrame:
     """``(day, *by, bucket_nb, seen)``: the surrogates of a day, 32,768 to a bitmap. NULL surrogates are not counted.
 
-    Made for dense surrogates, as ``operators.keys`` numbers them."""
-    return fact.filter(F.col(column).isNotNull()).groupBy(day, *by, F.bitmap_bucket_number(column).alias("bucket_nb")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("seen"))
+    Made for dense surrogates, as ``operators.keys`` numbers them. Rows are brought together before bitmaps are made: a task that sees
+    few rows of a day would make a bitmap of 4 KB for nearly each of them, to be shuffled and sorted."""
+    bits = fact.filter(F.col(column).isNotNull()).select(
+        day, *by, F.bitmap_bucket_number(column).alias("bucket_nb"), F.bitmap_bit_position(column).alias("__bit"))
+    return _dealt(bits, day, *by, "bucket_nb").groupBy(day, *by, "bucket_nb").agg(F.bitmap_construct_agg("__bit").alias("seen"))
+
+
+def _dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by ``columns`` to as many tasks as the session shuffles to. Adaptive execution would merge these by their size on disk, which says little
+    of what bitmaps take in memory."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
 def count_state(fact: DataFrame, value: str, by: Sequence[str] = (), day: str = DAY) -> DataFrame:
@@ -65,8 +73,8 @@ def distinct_trend(state: DataFrame, by: Sequence[str] = (), day: str = DAY) ->
     Days are merged to months first. Each month's bitmaps are then sent to the months that look back on it, at most 26.
     """
     by = list(by)
-    monthly = state.groupBy(*by, month_index(F.col(day)).alias("__m"), "bucket_nb").agg(
-        F.bitmap_or_agg("seen").alias("seen"))
+    months = _dealt(state.select(*by, month_index(F.col(day)).alias("__m"), "bucket_nb", "seen"), *by, "__m", "bucket_nb")
+    monthly = months.groupBy(*by, "__m", "bucket_nb").agg(F.bitmap_or_agg("seen").alias("seen"))
     to = lambda form, first, last: F.transform(
         F.sequence(first, last), lambda m: F.struct(F.lit(form).alias("form"), m.alias("m")))
     month = F.col("__m")

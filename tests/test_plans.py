@@ -222,6 +222,16 @@ def test_star_keeps_rows(frame):
     assert rows(out, "resource_id", "resource_lb", "owner_name_lb") == [(-2, None, None), (1, "one", "Ann"), (2, "two", None)]
 
 
+def test_bitmaps_are_made_after_the_shuffle(frame):
+    from costloom.plans import daily_state as state
+
+    fact = frame("usage_dt date, resource_id bigint", [(D(2024, 1, n % 3 + 1), n) for n in range(50)])
+    plan = state.distinct_state(fact)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("bitmap_construct_agg") < plan.index("Exchange")
+    above = plan[: plan.index("Exchange")]
+    assert above.count("partial_bitmap_construct_agg") and "partial_bitmap_construct_agg" not in plan[plan.index("Exchange"):]
+
+
 def test_daily_state_equals_the_fact(frame):
     """Distinct surrogates and percentiles of every period form, from a state that was replaced in part."""
     import datetime as dt

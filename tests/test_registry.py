@@ -65,3 +65,23 @@ def test_two_batches_price_their_lines_once(spark, monkeypatch):
     monkeypatch.setattr(q, "cost", lambda *a, f=q.cost: runs.append(1) or f(*a))
     q.QUERIES["cost_load_two_batches"](spark, "/root/testdata/sf0.001")
     assert len(runs) == 1
+
+
+def test_facts_of_few_columns_read_the_lines_once_and_skip_joins(spark, monkeypatch):
+    from checks import queries as q
+
+    plan = q.gold_cost(spark, SF, ["usage_dt", "line_cost_usd"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Window" not in plan and "l_orderkey" not in plan
+    tables = q._resource_tables(spark, SF)
+    assert not [n for n, t in tables.items() if "l_orderkey" in t._jdf.queryExecution().analyzed().toString()]
+
+
+def test_lines_in_sparks_order_of_joins_are_those_of_the_view(spark):
+    from checks import fixtures as fx
+
+    frames = {n: fx.table(spark, SF, n) for n in fx.needs("fx_usage")}
+    told = spark.sql(fx._dialect(fx.VIEWS["fx_usage"], 0), **frames)
+    ours = fx.view(spark, SF, "fx_usage")
+    assert ours.schema == told.schema and ours.exceptAll(told).isEmpty() and told.exceptAll(ours).isEmpty()
+    text = ours._jdf.queryExecution().analyzed().toString()
+    assert text.count("Window") == 1 and text.index("AWS") < text.index("Window")

@@ -103,11 +103,7 @@ def measure(
     out = None
     if need:
         out = fact.groupBy(*by).agg(*[BASE[n][1]().alias(n) for n in need])
-        formulas = {
-            n: F.try_divide(ratio(F.col(RATIOS[n][0]), F.col(RATIOS[n][1])), F.lit(float(RATIOS[n][2])))
-            for n in wanted if n in RATIOS
-        }
-        out = out.withColumns(formulas) if formulas else out
+        out = _with_ratios(out, wanted)
     for name in wanted:
         if name in SPECIAL:
             extra = _peak_daily(fact, by) if name == "peak_daily_cost" else _p90(fact, by)
@@ -115,6 +111,35 @@ def measure(
     return out.select(*by, *wanted)
 
 
+# Distinct counts of surrogates that are looked up by a join: name -> column.
+LOOKED_UP = {"active_identities": "identity_id", "active_resources": "resource_id"}
+
+
+def measure_apart(
+    fact_of: Callable[[Sequence[str]], DataFrame], columns: Sequence[str], names: Sequence[str], group_by: Sequence[str],
+) -> DataFrame:
+    """``measure`` of a fact that ``fact_of`` gives with the columns it is asked for, all rows each time.
+
+    Distinct counts of looked-up surrogates read a fact of that surrogate alone, and the other measures one of ``columns``
+    without them, so the join for a surrogate carries nothing else and lines are not repeated per distinct count.
+    """
+    by = list(group_by)
+    need = list(dict.fromkeys(p for n in names for p in (RATIOS[n][:2] if n in RATIOS else (n,))))
+    out = measure(fact_of(columns), [n for n in need if n not in LOOKED_UP], by)
+    for name in need:
+        if name in LOOKED_UP:
+            out = _same_groups(out, measure(fact_of([*by, LOOKED_UP[name]]), name, by), by)
+    return _with_ratios(out, names).select(*by, *names)
+
+
+def _with_ratios(out: DataFrame, names: Sequence[str]) -> DataFrame:
+    formulas = {
+        n: F.try_divide(ratio(F.col(RATIOS[n][0]), F.col(RATIOS[n][1])), F.lit(float(RATIOS[n][2])))
+        for n in names if n in RATIOS
+    }
+    return out.withColumns(formulas) if formulas else out
+
+
 def _same_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Join two per-group results; a NULL group is a group like any other."""
     if not by:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import staged
 from .measures import cost_share, measure, top
 
 TAG_NAME, NO_VALUE = "Appid", "Untagged"
@@ -22,9 +23,9 @@ def month_start(day: str = "usage_dt") -> Column:
 def matrix(df: DataFrame, rows: Sequence[str], cols: str, value: str) -> DataFrame:
     """Rows by columns with summed cells; the columns are all values that ``cols`` has.
 
-    Cells are summed first, so finding the axis and turning it read the small table only.
+    Cells are summed first and written to the checkpoint folder, so finding the axis and turning it read the small table only.
     """
-    cells = df.groupBy(*rows, cols).agg(F.sum(value).alias("__cell"))
+    cells = staged(df.groupBy(*rows, cols).agg(F.sum(value).alias("__cell")))
     return cells.groupBy(*rows).pivot(cols).agg(F.first("__cell", ignorenulls=True))
 
 

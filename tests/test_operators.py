@@ -72,6 +72,21 @@ def test_sentinels_are_added_once(frame):
     assert once.filter("sys_create_dt is null").count() == 0
 
 
+def test_resolve_fk_meets_by_one_hash_and_carries_names(spark, frame):
+    fact = frame("n int, a string, b string", [(1, "x", "y"), (2, "x", None), (3, "y", "x"), (4, "x", "y")])
+    dim = frame("id bigint, a string, b string, name string", [(7, "x", "y", "seven"), (9, "x", "y", "nine"), (-1, None, None, "none"), (5, "x", None, "five")])
+    out = resolve_fk(fact, dim, ["a", "b"], "id", -1, carry=["name"], sentinels=[-1])
+    assert rows(out, "n", "id", "name") == [(1, 7, "seven"), (2, -1, "none"), (3, -1, "none"), (4, 7, "seven")]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = resolve_fk(fact, dim, ["a", "b"], "id", -1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+    assert len(joins) == 1 and joins[0].split("SortMergeJoin ")[1].startswith("[__hash")
+
+
 def test_resolve_fk_falls_back_and_never_multiplies(frame):
     fact = frame("n int, login string", [(1, "a"), (2, "b"), (3, None), (4, "a")])
     dim = frame("id bigint, login string, active int", [(5, "a", 0), (9, "a", 1), (None, "b", 1)])

@@ -157,6 +157,35 @@ def test_billing_fact_compat_leaves_monitors_unresolved(spark, frame):
     assert fact(False) == 5 and fact(True) == -11
 
 
+def billed(spark, frame, twice=False):
+    """Lines of two jobs, an unknown one and one without a login, and their dimensions; ``twice``: an identity stands in two rows."""
+    line = lambda n, job, login: landing.usage(n, meta={"job_id": job}, identity_metadata={"run_as": login, "run_by": None, "created_by": None, "owned_by": None})
+    landed = landing.frame(spark, "billing_usage", [line("r1", "j1", "ann"), line("r2", "j2", "bob"), line("r3", "j9", "ann"), line("r4", "j1", None)])
+    lines = silver.usage_fact(landed).withColumn("line_cost_usd", F.lit(1.0))
+    spaces = frame("workspace_id bigint, account_cd string, workspace_cd string, workspace_lb string", [(1, "acct", "w1", "space")])
+    things = frame("resource_id bigint, resource_type_lb string, source_cd string, account_cd string, workspace_cd string, display_name_lb string, owned_by_cd string, is_active_fl int",
+                   [(5, "JOB", "j1", "acct", "w1", "job 1", "ann", 1), (6, "JOB", "j2", "acct", "w1", "job 2", None, 0), (-3, "JOB", "UNK", "UNK", "UNK", "Unknown", None, 1)])
+    people = frame("identity_id bigint, account_cd string, identity_cd string, identity_type_lb string, display_name_lb string, is_active_fl int",
+                   [(1, "acct", "ann", "USER", "Ann", 1), (2, "acct", "bob", "USER", "Bob", 1), (0, "UNK", "UNK", "NONE", "No login", 1)] + [(1, "acct", "ann", "USER", "Ann", 1)] * twice)
+    return lines, spaces, things, people
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_star_of_the_billing_fact_joins_each_dimension_once(spark, frame, twice):
+    lines, spaces, things, people = billed(spark, frame, twice)
+    whole = kpi.star(gold.billing_cost_fact(lines, spaces, things, people), *[
+        (dim, k, {c: n for n, c in gold.STAR[k].items()})
+        for k, dim in (("workspace_id", spaces), ("resource_id", gold.resource_dim(things)), ("identity_id", people))])
+    for names in (["record_cd", "workspace_lb", "resource_lb", "resource_type_lb", "owned_by_cd", "is_active_fl", "identity_lb", "identity_id"],
+                  ["record_cd", "workspace_lb"], ["record_cd", "resource_id", "resource_lb"]):
+        out = gold.billing_cost_star(lines, spaces, things, people, names)
+        assert rows(out) == rows(whole.select(*names)), names
+    few = gold.billing_cost_star(lines, spaces, things, people, ["record_cd", "workspace_lb"])
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join") == (4 if twice else 2)
+    fact = gold.billing_cost_fact(lines, spaces, things, people, surrogates=["workspace_id"])
+    assert fact.columns[4] == "workspace_id" and "resource_id" not in fact.columns and fact.count() == 4
+
+
 # ---- measures and reports --------------------------------------------------
 
 def cost_fact(frame):
@@ -179,6 +208,15 @@ def test_measure_groups_and_blank_ratios(frame):
     assert empty.avg_daily_cost is None
 
 
+def test_measures_apart_read_only_their_columns(frame):
+    fact, asked = cost_fact(frame), []
+    names = ["total_cost", "avg_daily_cost", "active_resources", "cost_per_identity", "peak_daily_cost"]
+    part = lambda columns: asked.append(list(columns)) or fact.select(*columns)
+    columns = ["g", "usage_dt", "line_cost_usd"]
+    assert rows(kpi.measure_apart(part, columns, names, ["g"])) == rows(kpi.measure(fact, names, ["g"]))
+    assert sorted(asked) == sorted([columns, ["g", "resource_id"], ["g", "identity_id"]])
+
+
 def test_every_measure_computes(frame, spark):
     queries = frame("statement_cd string, identity_id bigint, attributed_cost_usd double, warehouse_cost_usd double, read_gb_nb double, "
                     "total_duration_ms_nb bigint, waiting_at_capacity_ms_nb bigint, waiting_for_compute_ms_nb bigint, "
@@ -200,6 +238,7 @@ def test_matrix_has_every_value(frame):
     out = reports.matrix(df, ["r"], "c", "v")
     assert set(out.columns) == {"r", "a", "b", "null"}
     assert rows(out, "r", "a", "b", "null") == [("x", 2.5, 1.0, None), ("y", 3.0, None, 4.0)]
+    assert all("staged-" in f for f in out.inputFiles()) and out.inputFiles()
 
 
 def test_shared_resources_count_once_per_cell(frame):

@@ -288,7 +288,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # What Spark runs in place of some words of a view, with the same rows. Its planner keeps the order of joins that it is told, which for the
 # usage lines would shuffle every line by order, customer, part and order again; and it numbers the copies of a line after all columns
-# are spelled out, which would sort these instead of what they are made from.
+# are spelled out, which would sort these instead of what they are made from. A resource is in use since a day if one of its lines is, so
+# older lines need not be grouped.
 _COPY = "row_number() over (partition by l_orderkey,l_linenumber order by l_partkey,l_suppkey,l_quantity,l_extendedprice,l_discount,l_tax,l_shipdate)"
 _IN_SPARK = {"fx_usage": [
     (_COPY, "copy_nb"), ("n.n_", "n_"), ("p.p_brand", "p_brand"),
@@ -296,6 +297,9 @@ _IN_SPARK = {"fx_usage": [
  join {nation} n on c_nationkey=n_nationkey join {part} p on l_partkey=p_partkey""".replace("n.n_", "n_"),
      f"""from (select *, {_COPY} as copy_nb from ({{lineitem}} join {{part}} on l_partkey=p_partkey)
  join ({{orders}} join {{customer}} on o_custkey=c_custkey join {{nation}} on c_nationkey=n_nationkey) on l_orderkey=o_orderkey)"""),
+], "fx_resource": [
+    ("where source_cd is not null group by", "where source_cd is not null and usage_dt>=date '2000-01-01' group by"),
+    (" having max(usage_dt)>=date '2000-01-01'", ""),
 ]}
 
 

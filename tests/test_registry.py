@@ -85,3 +85,12 @@ def test_lines_in_sparks_order_of_joins_are_those_of_the_view(spark):
     assert ours.schema == told.schema and ours.exceptAll(told).isEmpty() and told.exceptAll(ours).isEmpty()
     text = ours._jdf.queryExecution().analyzed().toString()
     assert text.count("Window") == 1 and text.index("AWS") < text.index("Window")
+
+
+def test_only_lines_since_the_day_are_grouped_to_resources(spark):
+    from checks import fixtures as fx
+
+    ours = fx.view(spark, SF, "fx_resource")
+    told = spark.sql(fx._dialect(fx.VIEWS["fx_resource"], 0), fx_usage=fx.view(spark, SF, "fx_usage"))
+    assert ours.schema == told.schema and ours.exceptAll(told).isEmpty() and told.exceptAll(ours).isEmpty()
+    assert "max(usage_dt" not in ours._jdf.queryExecution().optimizedPlan().toString()

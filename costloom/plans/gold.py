@@ -211,17 +211,19 @@ STAR = {
 
 def billing_cost_star(
     cost: DataFrame, workspaces: DataFrame, resources: DataFrame, identities: DataFrame, columns: Sequence[str],
+    unique: Sequence[str] = (),
 ) -> DataFrame:
     """``columns`` of the billing fact and of the names in its dimensions.
 
     A dimension is joined once: its names come along when its surrogate is looked up, so no fact is shuffled by a surrogate
     that many lines share as fallback. A dimension of which nothing is asked is not joined at all. Either
     holds where surrogates are unique, which one aggregate per dimension tells; where one repeats, a line is repeated as by ``star``.
+    Surrogates that the caller knows to be ``unique`` are not counted: a dimension of which nothing else is asked is then not read.
     """
     dims = {"workspace_id": workspaces, "resource_id": resources, "identity_id": identities}
     shown = {"workspace_id": dims["workspace_id"], "resource_id": resource_dim(resources), "identity_id": dims["identity_id"]}
     names = {k: {n: c for n, c in STAR[k].items() if n in columns} for k in dims}
-    repeated = {k for k, dim in dims.items() if repeated_keys(dim, k)}
+    repeated = {k for k, dim in dims.items() if k not in unique and repeated_keys(dim, k)}
     keyed = [k for k in SURROGATES if k in columns or names[k] or k in repeated]
     carry = {k: [f"__name_{n}" for n in names[k]] for k in keyed if names[k] and k not in repeated}
     views = {"resource_type_lb": F.initcap("resource_type_lb"), "is_active_fl": yes_no("is_active_fl")}

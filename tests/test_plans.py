@@ -186,6 +186,13 @@ def test_star_of_the_billing_fact_joins_each_dimension_once(spark, frame, twice)
     assert fact.columns[4] == "workspace_id" and "resource_id" not in fact.columns and fact.count() == 4
 
 
+def test_dimensions_known_to_be_unique_and_not_asked_for_are_never_read(spark, frame):
+    lines, spaces, things, people = billed(spark, frame)
+    broken = things.withColumn("resource_id", F.raise_error(F.lit("read")).cast("bigint"))
+    out = gold.billing_cost_star(lines, spaces, broken, people, ["record_cd", "workspace_lb"], unique=["resource_id", "identity_id"])
+    assert rows(out) == [(f"r{n}", "space") for n in range(1, 5)]
+
+
 # ---- measures and reports --------------------------------------------------
 
 def cost_fact(frame):

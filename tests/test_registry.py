@@ -87,6 +87,28 @@ def test_lines_in_sparks_order_of_joins_are_those_of_the_view(spark):
     assert text.count("Window") == 1 and text.index("AWS") < text.index("Window")
 
 
+def test_reports_that_ask_for_no_resource_find_none(spark, monkeypatch):
+    from checks import queries as q
+
+    kept = []
+    monkeypatch.setattr(q, "kept_usage", lambda spark, sf, columns, f=q.kept_usage: kept.append(columns) or f(spark, sf, columns))
+    out = q.star_cost(spark, SF, ["product_lb", "identity_type_lb", "line_cost_usd"])
+    assert "source_cd" not in out._jdf.queryExecution().optimizedPlan().toString()
+    q.star_cost(spark, SF, ["product_lb", "line_cost_usd"])
+    assert not {*q._CODES} & {*kept[0]} and {*q._LOGINS} <= {*kept[0]} and not {*q._LOGINS} & {*kept[1]}
+
+
+@pytest.mark.parametrize("places, parts, apart", [
+    ([(1, 0), (2, 0)], [(5, 7), (None, None)], True), ([(1, 0), (1, 0), (None, 2)], [(5, 7)], True), ([], [], True), ([(1, 0), (1, 2)], [(5, 7)], False),
+    ([(1, 0), (1, None)], [(5, 7)], False), ([(100, 0)], [(5, 7)], False), ([(1, 0)], [(5, 100000000)], False), ([(1, 0)], [(-5, 7)], False)])
+def test_numbers_that_could_meet_in_one_resource_are_counted(spark, frame, tmp_path, places, parts, apart):
+    from checks import queries as q
+
+    frame("n_nationkey int, n_regionkey int", places).write.parquet(f"{tmp_path}/nation.parquet")
+    frame("l_partkey bigint, l_suppkey bigint", parts).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert q._numbers_apart(spark, str(tmp_path)) is apart
+
+
 def test_only_lines_since_the_day_are_grouped_to_resources(spark):
     from checks import fixtures as fx
 

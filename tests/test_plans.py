@@ -186,6 +186,17 @@ def test_star_of_the_billing_fact_joins_each_dimension_once(spark, frame, twice)
     assert fact.columns[4] == "workspace_id" and "resource_id" not in fact.columns and fact.count() == 4
 
 
+def test_what_other_columns_tell_does_not_travel_with_the_lines(spark, frame):
+    inputs = billed(spark, frame)
+    fact = gold.billing_cost_fact(*inputs)
+    below = lambda df: [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines()[1:] if "Project" in x]
+    assert not [x for x in below(fact) if "Yes" in x or "THEN JOB" in x]
+    few = ["record_cd", "is_photon_fl", "resource_id"]
+    narrow = gold.billing_cost_fact(*inputs, shown=few).select(*few)
+    assert rows(narrow) == rows(fact, *few) and {r[2] for r in rows(narrow)} == {5, 6, -3}
+    assert [x for x in below(narrow) if "THEN JOB" in x]
+
+
 def test_dimensions_known_to_be_unique_and_not_asked_for_are_never_read(spark, frame):
     lines, spaces, things, people = billed(spark, frame)
     broken = things.withColumn("resource_id", F.raise_error(F.lit("read")).cast("bigint"))

@@ -652,6 +652,18 @@ def test_visible_pairs_are_neither_shuffled_nor_made_distinct(frame, monkeypatch
     assert out.count() == want.count() and not out.exceptAll(want).count()
 
 
+def test_pairs_are_handed_on_a_few_users_at_a_time(frame, monkeypatch):
+    monkeypatch.setattr(groups, "BLOCK", 16)
+    monkeypatch.setattr(groups, "USERS_AT_ONCE", 3)
+    df, users = _company(frame)
+    closed = groups.closure(df).checkpoint()
+    out, want = groups.visibility(users, df, closed), _plainly(users, df, closed)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    step = lambda word: next(i for i, x in enumerate(plan) if word in x)
+    assert step("Generate inline") < step("Coalesce") < step("slice(")
+    assert out.count() == want.count() and not out.exceptAll(want).count() and not want.exceptAll(out).count()
+
+
 def test_visibility_is_merged_without_meeting_the_pairs(frame, monkeypatch):
     monkeypatch.setattr(groups, "BLOCK", 16)
     df, users = _company(frame)

@@ -26,6 +26,15 @@ def _nullsafe_lane(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.when(any_null(keys), F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint"))
 
 
+#: Key types of which equal values always hash alike.
+_PLAIN = (T.IntegralType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.DecimalType)
+
+
+def _hash_alike(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
+    kinds = [{f.name: f.dataType for f in df.schema.fields} for df in (target, source)]
+    return all(kinds[0][k] == kinds[1][k] and (kinds[0][k] == T.StringType() or isinstance(kinds[0][k], _PLAIN)) for k in keys)
+
+
 def _as_column(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
@@ -62,6 +71,9 @@ def merge(
     ``actions`` keeps the ``__action`` column: insert, update, keep, close.
     ``null_safe`` lets NULL key parts match each other; the keys must then tell rows apart all
     the same, so that no partition collects what is NULL.
+
+    Rows meet by one hash of their keys, so they are shuffled and sorted by a number and carry no second copy of the keys; the
+    keys themselves are compared where hashes are equal. Keys of other types, or of two types, are joined as they are.
     """
     if evolve:
         target, source = align_schemas(target, source)
@@ -75,27 +87,34 @@ def merge(
     has_update = bool(assignments)
 
     # Plain columns rather than structs: those that no later step reads are not shuffled.
-    left = target.select(
-        *[F.col(f"`{c}`").alias(c) for c in target.columns],
-        F.lit(True).alias("__in_t"),
-        *[F.col(k).alias(f"__t_{i}") for i, k in enumerate(keys)],
-        (F.lit(0) if null_safe else _nullsafe_lane(target, keys)).cast("bigint").alias("__t_lane"),
-    )
-    right = source.select(
-        *[F.col(f"`{c}`").alias(c) for c in source.columns],
-        F.lit(True).alias("__in_s"),
-        *[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)],
-        (F.lit(0) if null_safe else _nullsafe_lane(source, keys)).cast("bigint").alias("__s_lane"),
-    )
-    source_keys = [f"__s_{i}" for i in range(len(keys))] + ["__s_lane"]
+    hashed = _hash_alike(target, source, keys)
+    sides = []
+    for df, side in ((target, "t"), (source, "s")):
+        lane = (F.lit(0) if null_safe else _nullsafe_lane(df, keys)).cast("bigint")
+        if hashed:
+            lane = F.xxhash64(*keys) if null_safe else F.when(any_null(keys), lane).otherwise(F.xxhash64(*keys))
+        copies = [] if hashed else [F.col(k).alias(f"__{side}_{i}") for i, k in enumerate(keys)]
+        sides.append(df.select(*[F.col(f"`{c}`").alias(c) for c in df.columns], F.lit(True).alias(f"__in_{side}"), *copies,
+                               lane.alias(f"__{side}_lane")))
+    left, right = sides
     if has_update:
-        # Same clustering as the join below, so the numbering costs no extra shuffle.
-        numbered = Window.partitionBy(*source_keys).orderBy(*source_keys)
-        right = right.withColumn("__dup", F.row_number().over(numbered))
-    condition = F.col("__t_lane") == F.col("__s_lane")
-    for i in range(len(keys)):
-        same = F.col(f"__t_{i}").eqNullSafe(F.col(f"__s_{i}")) if null_safe else F.col(f"__t_{i}") == F.col(f"__s_{i}")
-        condition = condition & same
+        # Same clustering as the join below, so looking for duplicates costs no extra shuffle.
+        if hashed:
+            along = Window.partitionBy("__s_lane").orderBy(*keys)
+            again = F.lag(F.lit(True)).over(along).isNotNull()
+            for k in keys:
+                again = again & F.lag(k).over(along).eqNullSafe(F.col(k))
+        else:
+            source_keys = [f"__s_{i}" for i in range(len(keys))] + ["__s_lane"]
+            again = F.row_number().over(Window.partitionBy(*source_keys).orderBy(*source_keys)) > 1
+        right = right.withColumn("__dup", again)
+    condition = F.lit(True)
+    for i, k in enumerate(keys):
+        t, s = (F.col(f"t.`{k}`"), F.col(f"s.`{k}`")) if hashed else (F.col(f"__t_{i}"), F.col(f"__s_{i}"))
+        condition = condition & (t.eqNullSafe(s) if null_safe else t == s)
+    lanes = F.col("__t_lane") == F.col("__s_lane")
+    # Only the hash is a join key: what stands under a condition on both sides is not taken for one.
+    condition = lanes & (F.coalesce(F.when(lanes, condition), F.lit(False)) if hashed else condition)
     joined = left.alias("t").join(right.alias("s"), condition, "full_outer")
 
     in_target, in_source = F.col("__in_t").isNotNull(), F.col("__in_s").isNotNull()
@@ -118,7 +137,7 @@ def merge(
     if has_update:
         clash = F.raise_error(F.lit("merge: several source rows match one target row"))
         joined = joined.filter(
-            F.when(in_target & in_source & (F.col("__dup") > 1), clash.cast("boolean")).otherwise(True)
+            F.when(in_target & in_source & F.col("__dup"), clash.cast("boolean")).otherwise(True)
         )
     if by_source == "delete":
         joined = joined.filter(F.col(ACTION) != "close")

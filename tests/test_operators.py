@@ -688,6 +688,34 @@ def test_merge_shuffles_only_what_is_read(frame):
     assert not [x for x in plan.splitlines() if "Project" in x and "wide" in re.sub(r"xxhash64\([^)]*\)", "", x)]
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_merge_shuffles_each_side_once_and_its_keys_once(frame, monkeypatch, null_safe):
+    shape = "a string, b string, d date, v int"
+    day = dt.date(2024, 1, 1)
+    target = frame(shape, [("x", "y", day, 1), ("xy", "", day, 1), (None, "n", day, 1), ("x", "z", None, 1)])
+    source = frame(shape, [("x", "y", day, 2), ("xy", "", day, 1), (None, "n", day, 2), ("q", None, None, 2), ("x", "z", day, 2)])
+    out = merge(target, source, ["a", "b", "d"], guard=["v"], actions=True, null_safe=null_safe)
+    met = [(None, "n", day, 2, "update")] if null_safe else [(None, "n", day, 1, "keep"), (None, "n", day, 2, "insert")]
+    want = [("x", "y", day, 2, "update"), ("xy", "", day, 1, "keep"), ("x", "z", None, 1, "keep"), ("q", None, None, 2, "insert"),
+            ("x", "z", day, 2, "insert"), *met]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out) == sorted(want, key=repr)
+    assert len(re.findall(r"Exchange hashpartitioning\(__\w_lane#\d+L, \d+\)", plan)) == len(re.findall("Exchange", plan)) == 2
+    assert re.search(r"SortMergeJoin \[__t_lane#\d+L\], \[__s_lane#\d+L\], FullOuter", plan)
+    # Keys that only share their hash neither match nor count as doubled.
+    monkeypatch.setattr("costloom.operators.merge.F.xxhash64", lambda *c: F.lit(7).cast("bigint"))
+    assert rows(merge(target, source, ["a", "b", "d"], guard=["v"], actions=True, null_safe=null_safe)) == rows(out)
+    with pytest.raises(Exception, match="several source rows"):
+        merge(target, source.unionByName(source), ["a", "b", "d"], guard=["v"], null_safe=null_safe).collect()
+
+
+def test_merge_of_other_key_types(frame):
+    target = frame("k int, x double, v int", [(1, 0.0, 1), (2, None, 1)])
+    source = frame("k bigint, x double, v int", [(1, -0.0, 2), (2, None, 2)])
+    assert sorted(r.v for r in merge(target, source, ["k", "x"], guard=["v"], null_safe=True).collect()) == [2, 2]
+    assert sorted(r.v for r in merge(target, source, ["k", "x"], guard=["v"]).collect()) == [1, 2, 2]
+
+
 def test_ranks_and_shares_compute_the_measure_once(frame):
     fact = frame("g string, line_cost_usd int", [("a", 3), ("b", 5), (None, 5)])
     for out in (kpi.ranked(fact, "total_cost", ["g"]), kpi.top(fact, "total_cost", ["g"]), kpi.cost_share(fact, ["g"])):

@@ -87,6 +87,16 @@ def test_lines_in_sparks_order_of_joins_are_those_of_the_view(spark):
     assert text.count("Window") == 1 and text.index("AWS") < text.index("Window")
 
 
+@pytest.mark.parametrize("name", ["cost_load_null_keys", "cost_load_two_batches", "merge_cost_increment"])
+def test_usage_lines_are_found_once_for_prices_and_loads(spark, monkeypatch, name):
+    from checks import queries as q
+
+    read = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey")
+    kept = []
+    monkeypatch.setattr(q, "staged", lambda df, f=q.staged: kept.append(read(df)) or f(df))
+    assert read(q.QUERIES[name](spark, SF)) == 0 and sum(kept) == 1
+
+
 def test_reports_that_ask_for_no_resource_find_none(spark, monkeypatch):
     from checks import queries as q
 

@@ -72,35 +72,38 @@ def price_lines_asof(
     """
     if currency is not None:
         prices = prices.filter(F.col("currency_code_lb") == currency)
-    on, key = list(on), [f"__k{i}" for i in range(len(on))]
+    on = list(on)
+    kinds, known = ({f.name: f.dataType for f in df.schema.fields} for df in (usage, prices))
+    # Plain columns rather than structs: those that no later step reads are not shuffled. Keys and times of one type are not copied.
+    key = [c if kinds[c] == known[c] else f"__k{i}" for i, c in enumerate(on)]
+    time = at if kinds[at] == known["price_start_dt"] else "__time"
     whole = reduce(lambda a, c: a & c, [F.col(c).isNotNull() for c in [*on, at]])
     slice_of = lambda c: F.floor(F.unix_date(F.to_date(c)) / slice_days).cast("int")
     window = F.struct(F.col("price_end_dt").alias("until"), F.coalesce("effective_list_price_nb", "default_price_nb").alias("price"))
     starts = prices.filter(F.col("price_start_dt").isNotNull()).select(
         *[F.col(c).alias(k) for c, k in zip(on, key)], slice_of("price_start_dt").alias("__slice"),
-        F.col("price_start_dt").alias("__time"), window.alias("__window"))
-    row = F.struct(*[F.col(f"`{c}`") for c in usage.columns])
+        F.col("price_start_dt").alias(time), window.alias("__window"))
     plain = [f"`{f.name}`" for f in usage.schema.fields if not _has_map(f.dataType)]
     deal = F.pmod(F.xxhash64(*plain), F.lit(lanes)).cast("int")
-    lines = usage.filter(whole).select(
-        *[F.col(c).alias(k) for c, k in zip(on, key)], slice_of(at).alias("__slice"), F.col(at).alias("__time"),
-        row.alias("__line"), deal.alias("__lane"))
+    copies = {k: F.col(c) for c, k in zip([*on, at], [*key, time]) if c != k}
+    lines = usage.filter(whole).withColumns({"__slice": slice_of(at), "__lane": deal, "__is_line": F.lit(True), **copies})
     # What each SKU's slices begin with: the last start of any slice before, over one row per SKU and slice.
-    ended = starts.groupBy(*key, "__slice").agg(F.max_by("__window", "__time").alias("__last"))
+    ended = starts.groupBy(*key, "__slice").agg(F.max_by("__window", time).alias("__last"))
     asked = lines.select(*key, "__slice").distinct().withColumn("__last", F.lit(None).cast(ended.schema["__last"].dataType))
     slices = ended.unionByName(asked).groupBy(*key, "__slice").agg(F.first("__last", ignorenulls=True).alias("__last"))
     before = Window.partitionBy(*key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = slices.select(*key, "__slice", F.last("__last", ignorenulls=True).over(before).alias("__window")).filter(
-        F.col("__window").isNotNull()).withColumn("__time", F.lit(None).cast(starts.schema["__time"].dataType))
+        F.col("__window").isNotNull()).withColumn(time, F.lit(None).cast(starts.schema[time].dataType))
     # The carried price comes first in its slice: a NULL time sorts before all others.
     offered = starts.unionByName(carried).withColumn("__lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     both = lines.unionByName(offered, allowMissingColumns=True)
-    along = Window.partitionBy(*key, "__slice", "__lane").orderBy(F.col("__time").asc_nulls_first(), F.col("__line").isNotNull()).rowsBetween(
+    along = Window.partitionBy(*key, "__slice", "__lane").orderBy(F.col(time).asc_nulls_first(), F.col("__is_line").isNotNull()).rowsBetween(
         Window.unboundedPreceding, 0)
-    held = both.withColumn("__held", F.last("__window", ignorenulls=True).over(along)).filter(F.col("__line").isNotNull())
-    valid = F.col("__held.until").isNull() | (F.col("__time") < F.col("__held.until"))
-    priced = held.select("__line.*", F.when(valid, F.col(f"__line.`{quantity}`") * F.col("__held.price")).alias(out))
-    rest = usage.filter(~whole).select(*usage.columns, F.lit(None).cast(priced.schema[out].dataType).alias(out))
+    held = both.withColumn("__held", F.last("__window", ignorenulls=True).over(along)).filter(F.col("__is_line").isNotNull())
+    valid = F.col("__held.until").isNull() | (F.col(time) < F.col("__held.until"))
+    names = [F.col(f"`{c}`") for c in usage.columns if c != out]
+    priced = held.select(*names, F.when(valid, F.col(f"`{quantity}`") * F.col("__held.price")).alias(out))
+    rest = usage.filter(~whole).select(*names, F.lit(None).cast(priced.schema[out].dataType).alias(out))
     return priced.unionByName(rest)
 
 

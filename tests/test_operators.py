@@ -716,6 +716,19 @@ def test_merge_of_other_key_types(frame):
     assert sorted(r.v for r in merge(target, source, ["k", "x"], guard=["v"]).collect()) == [1, 2, 2]
 
 
+def test_prices_as_of_shuffle_only_what_is_read(frame):
+    when = lambda m: dt.datetime(2024, m, 1)
+    usage = frame("sku string, at timestamp, qty int, wide string, n int", [("a", when(2), 2, "w", 1), ("a", None, 2, "w", 2), ("b", when(2), 3, "w", 3)])
+    prices = frame("sku string, price_start_dt timestamp, price_end_dt timestamp, effective_list_price_nb int, default_price_nb int, currency_code_lb string",
+                   [("a", when(1), when(3), None, 5, "USD")])
+    out = price_lines_asof(usage, prices, on=["sku"], at="at", quantity="qty")
+    assert out.columns == [*usage.columns, "line_cost_usd"]
+    assert rows(out, "sku", "n", "line_cost_usd", "wide") == sorted([("a", 1, 10, "w"), ("a", 2, None, "w"), ("b", 3, None, "w")], key=repr)
+    few = out.select("sku", "line_cost_usd")._jdf.queryExecution().executedPlan().toString()
+    window = next(x for x in few.splitlines() if "Window" in x and "__lane" in x)
+    assert "wide" not in window and not [x for x in few.splitlines() if "Sort" in x and "__k" in x] and "__line." not in few
+
+
 def test_ranks_and_shares_compute_the_measure_once(frame):
     fact = frame("g string, line_cost_usd int", [("a", 3), ("b", 5), (None, 5)])
     for out in (kpi.ranked(fact, "total_cost", ["g"]), kpi.top(fact, "total_cost", ["g"]), kpi.cost_share(fact, ["g"])):

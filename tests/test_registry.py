@@ -87,7 +87,7 @@ def test_lines_in_sparks_order_of_joins_are_those_of_the_view(spark):
     assert text.count("Window") == 1 and text.index("AWS") < text.index("Window")
 
 
-@pytest.mark.parametrize("name", ["cost_load_null_keys", "cost_load_two_batches", "merge_cost_increment"])
+@pytest.mark.parametrize("name", ["cost_load_null_keys", "cost_load_two_batches", "merge_cost_increment", "price_line_cost_asof"])
 def test_usage_lines_are_found_once_for_prices_and_loads(spark, monkeypatch, name):
     from checks import queries as q
 
